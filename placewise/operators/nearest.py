@@ -3,21 +3,32 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from placewise.functions.columns import planar_distance
+from placewise.session import scratch_path, shuffle_partitions
 
 # Grid depths, coarse to fine: a cell at depth d is 360 / 2**d degrees wide.
-LEVELS = (4, 8, 12, 16)
+LEVELS = (3, 6, 9, 12, 15)
+# Down to this depth a grid has at most 2**9 * 2**8 = 131,072 cells, about 8 MB.
+BROADCAST_DEPTH = 9
 
+_PLACE = ["place", "at_lat", "at_lon"]
 
-def located(features: DataFrame) -> DataFrame:
-    """Distinct (business_id, latitude, longitude) with usable coordinates."""
+
+def usable_locations(features: DataFrame) -> DataFrame:
+    """(business_id, latitude, longitude) rows whose coordinates are present and numbers."""
     usable = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     real = ~F.isnan("latitude") & ~F.isnan("longitude")
-    return features.select("business_id", "latitude", "longitude").where(usable & real).distinct()
+    return features.select("business_id", "latitude", "longitude").where(usable & real)
+
+
+def located(features: DataFrame) -> DataFrame:
+    """One row per business and location; the feature table repeats them per category."""
+    return usable_locations(features).distinct()
 
 
 def nearest_to(features: DataFrame, latitude: float, longitude: float, n: int = 5) -> DataFrame:
@@ -32,111 +43,147 @@ def nearest_to(features: DataFrame, latitude: float, longitude: float, n: int =
             .select("business_id", "distance"))
 
 
+@dataclass(frozen=True)
+class LocationIndex:
+    """A written grid over the businesses, good for any number of searches up to ``n``."""
+
+    path: str
+    n: int
+    levels: tuple[int, ...]
+
+
+def location_index(features: DataFrame, n: int, path: str | None = None,
+                   levels: Sequence[int] = LEVELS) -> LocationIndex:
+    """Write candidate businesses by finest cell and, per depth, the occupied cells.
+
+    A cell holds its number of businesses and the box around them.
+    """
+    spark = features.sparkSession
+    path = path or scratch_path(spark, "locations")
+    finest = levels[-1]
+    (_candidates(features, n).withColumns(_cell(finest))
+     .write.mode("overwrite").parquet(f"{path}/sites"))
+    cells = spark.read.parquet(f"{path}/sites").groupBy("cx", "cy").agg(
+        F.count(F.lit(1)).alias("held"),
+        F.min("latitude").alias("south"), F.max("latitude").alias("north"),
+        F.min("longitude").alias("west"), F.max("longitude").alias("east"))
+    coarser = (cells.withColumn("depth", F.explode(F.array(*[F.lit(d) for d in levels])))
+               .withColumns({"cx": F.expr(f"shiftright(cx, {finest} - depth)"),
+                             "cy": F.expr(f"shiftright(cy, {finest} - depth)")}))
+    (coarser.groupBy("depth", "cx", "cy").agg(
+        F.sum("held").alias("held"),
+        F.min("south").alias("south"), F.max("north").alias("north"),
+        F.min("west").alias("west"), F.max("east").alias("east"))
+     .write.mode("overwrite").partitionBy("depth").parquet(f"{path}/cells"))
+    return LocationIndex(path, n, tuple(levels))
+
+
 def nearest(features: DataFrame, points: DataFrame, n: int = 5,
             levels: Sequence[int] = LEVELS) -> DataFrame:
-    """Exact ``n`` nearest businesses for every point of a table, without a cross join.
+    """Exact ``n`` nearest businesses for every point of a table.
 
     ``points`` has (point_id, latitude, longitude). Result: (point_id, business_id,
-    distance, rank). The search descends a grid. At each depth a point keeps the cells
-    that may still hold one of its n nearest: those no farther than the distance within
-    which other cells already guarantee n businesses. Only the surviving finest cells
-    are joined with businesses, so the work follows the answers and not points x
-    businesses.
+    distance, rank). To answer several tables, build the index once and use ``search``.
     """
-    sites = _candidates_per_site(features, n)
-    # A popular place may be asked for by a third of all points: search it once.
+    return search(location_index(features, n, levels=levels), points, n)
+
+
+def search(index: LocationIndex, points: DataFrame, n: int) -> DataFrame:
+    """Exact ``n`` nearest businesses per point, without a cross join.
+
+    The search descends the grid. At each depth a point keeps the cells that may still
+    hold one of its n nearest: those no farther than the distance within which other
+    cells already guarantee n businesses. Only the surviving finest cells are joined
+    with businesses, so the work follows the answers and not points x businesses.
+    """
+    if n > index.n:
+        raise ValueError(f"the index answers up to {index.n} businesses, not {n}")
+    spark = points.sparkSession
+    cells = spark.read.parquet(f"{index.path}/cells")
+    sites = spark.read.parquet(f"{index.path}/sites")
+    # A popular place may be asked for by a third of all points: search it once. The
+    # search multiplies the rows of a place, so places are spread by number, not by bytes.
     places = (points.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
               .select(F.col("latitude").alias("at_lat"), F.col("longitude").alias("at_lon"))
-              .distinct())
+              .distinct().withColumn("place", F.xxhash64("at_lat", "at_lon"))
+              .repartition(shuffle_partitions(spark), "place"))
 
-    finest = levels[-1]
-    finest_cells = _cell(F.col("latitude"), F.col("longitude"), finest)
-    sites = sites.select("*", *finest_cells)
-    counts = sites.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("held"))
-
-    found = None
-    for above, depth in zip((None, *levels), levels):
-        grid = _coarsen(counts, finest, depth)
-        if above is None:
-            found = _start(places, grid)
-        else:
-            grid = grid.withColumn("px", F.shiftright("cx", depth - above)) \
-                       .withColumn("py", F.shiftright("cy", depth - above))
-            found = (found.withColumnsRenamed({"cx": "px", "cy": "py"})
-                     .join(grid, ["px", "py"]).drop("px", "py"))
-        found = _still_possible(found, depth, n)
+    def grid(depth: int) -> DataFrame:
+        return cells.where(F.col("depth") == depth).drop("depth")
+
+    found = _still_possible(_start(places, grid(index.levels[0])), n)
+    for above, depth in zip(index.levels, index.levels[1:]):
+        below = grid(depth).withColumns({"px": F.shiftright("cx", depth - above),
+                                         "py": F.shiftright("cy", depth - above)})
+        if depth <= BROADCAST_DEPTH:
+            below = F.broadcast(below)
+        parents = found.withColumnsRenamed({"cx": "px", "cy": "py"})
+        found = _still_possible(parents.join(below, ["px", "py"]).drop("px", "py"), n)
 
     distance = planar_distance(F.col("latitude"), F.col("longitude"), F.col("at_lat"), F.col("at_lon"))
-    # Rank with limit: each task keeps at most n rows per place before the shuffle.
-    best = Window.partitionBy("at_lat", "at_lon").orderBy("distance", "business_id")
+    # A rank with a limit: each task keeps at most n rows per place before the shuffle.
+    best = Window.partitionBy(*_PLACE).orderBy("distance", "business_id")
     answers = (found.join(sites, ["cx", "cy"])
-               .select("at_lat", "at_lon", "business_id", distance.alias("distance"))
+               .select(*_PLACE, "business_id", "reach", distance.alias("distance"))
+               .where(F.col("distance") <= F.col("reach"))
                .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n))
     return (points.select("point_id", F.col("latitude").alias("at_lat"), F.col("longitude").alias("at_lon"))
             .join(answers, ["at_lat", "at_lon"])
             .select("point_id", "business_id", "distance", "rank"))
 
 
-def _candidates_per_site(features: DataFrame, n: int) -> DataFrame:
+def _candidates(features: DataFrame, n: int) -> DataFrame:
     """Businesses that can be among the n nearest of any point.
 
     Businesses at one coordinate tie for every point and ties go to the smallest ids,
-    so past the n smallest ids of a coordinate none can be an answer. This also takes
-    the repeats of a business (one row per category) out before the shuffle.
+    so past the n smallest ids of a coordinate none can be an answer. The ranking also
+    drops most repeats of a business (one row per category) before the shuffle.
     """
-    usable = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
-    real = ~F.isnan("latitude") & ~F.isnan("longitude")
-    at_site = Window.partitionBy("latitude", "longitude").orderBy("business_id")
-    return (features.select("business_id", "latitude", "longitude").where(usable & real)
-            .withColumn("_place", F.dense_rank().over(at_site)).where(F.col("_place") <= n)
-            .drop("_place").distinct())
+    here = Window.partitionBy("latitude", "longitude").orderBy("business_id")
+    return (usable_locations(features).withColumn("_place", F.dense_rank().over(here))
+            .where(F.col("_place") <= n).drop("_place").distinct())
 
 
-def _cell(lat: Column, lon: Column, depth: int) -> list[Column]:
-    per_degree = float(1 << depth) / 360.0
-    return [F.floor((lon + 180.0) * per_degree).alias("cx"),
-            F.floor((lat + 90.0) * per_degree).alias("cy")]
+def _cell(depth: int) -> dict[str, Column]:
+    """Cell numbers of a location; anything off the map counts to the border cells."""
+    per_degree, last = float(1 << depth) / 360.0, float((1 << depth) - 1)
 
+    def step(degrees: Column, limit: float) -> Column:
+        return F.floor(F.least(F.greatest(degrees * per_degree, F.lit(0.0)), F.lit(limit)))
 
-def _coarsen(counts: DataFrame, finest: int, depth: int) -> DataFrame:
-    if depth == finest:
-        return counts
-    shift = finest - depth
-    return (counts.groupBy(F.shiftright("cx", shift).alias("cx"), F.shiftright("cy", shift).alias("cy"))
-            .agg(F.sum("held").alias("held")))
+    return {"cx": step(F.col("longitude") + 180.0, last),
+            "cy": step(F.col("latitude") + 90.0, (last + 1) / 2 - 1)}
 
 
 def _start(places: DataFrame, grid: DataFrame) -> DataFrame:
-    """Every place with every occupied cell of the coarsest grid (at most 16 x 9 cells)."""
-    cells = grid.agg(F.collect_list(F.struct("cx", "cy", "held")).alias("cells"))
+    """Every place with every occupied cell of the coarsest grid, a list of a few dozen."""
+    cells = grid.agg(F.collect_list(F.struct(*grid.columns)).alias("cells"))
     return (places.withColumn("_cell", F.explode(cells.scalar()))
-            .select("at_lat", "at_lon", "_cell.*"))
-
+            .select(*_PLACE, F.lit(float("inf")).alias("reach"), "_cell.*"))
 
-def _still_possible(found: DataFrame, depth: int, n: int) -> DataFrame:
-    """Drop the cells that lie beyond the distance at which n businesses are certain."""
-    width = 360.0 / (1 << depth)
-    west, south = F.col("cx") * width - 180.0, F.col("cy") * width - 90.0
-    to_west, to_south = west - F.col("at_lon"), south - F.col("at_lat")
-    to_east, to_north = to_west + width, to_south + width
 
-    def gap(low: Column, high: Column) -> Column:
-        return F.greatest(low, -high, F.lit(0.0))
+def _still_possible(found: DataFrame, n: int) -> DataFrame:
+    """Drop the cells beyond ``reach``, the distance at which n businesses are certain.
 
-    def reach(low: Column, high: Column) -> Column:
-        return F.greatest(F.abs(low), F.abs(high))
-
-    def hypot(x: Column, y: Column) -> Column:
-        return F.sqrt(x * x + y * y)
-
-    place = Window.partitionBy("at_lat", "at_lon")
+    The reach of the depth above applies first and spares most cells the ranking.
+    """
+    lat, lon = F.col("at_lat"), F.col("at_lon")
+    south, north, west, east = F.col("south"), F.col("north"), F.col("west"), F.col("east")
+    gap_lat = F.greatest(south - lat, lat - north, F.lit(0.0))
+    gap_lon = F.greatest(west - lon, lon - east, F.lit(0.0))
+    far_lat = F.greatest(F.abs(lat - south), F.abs(lat - north))
+    far_lon = F.greatest(F.abs(lon - west), F.abs(lon - east))
+    place = Window.partitionBy(*_PLACE)
     inward = place.orderBy("farthest", "cx", "cy").rowsBetween(Window.unboundedPreceding, 0)
-    # A little slack keeps rounding of cell borders from dropping a border business.
-    limit = F.coalesce("certain", F.lit(float("inf"))) * (1 + 1e-9) + 1e-9
+    certain = F.min(F.when(F.col("so_far") >= n, F.col("farthest"))).over(place)
+    # A little slack, so that rounding cannot drop a business at exactly the limit.
+    reach = F.coalesce(certain, F.lit(float("inf"))) * (1 + 1e-9) + 1e-9
+    within = F.col("closest") <= F.col("reach")
     return (found
-            .withColumn("closest", hypot(gap(to_west, to_east), gap(to_south, to_north)))
-            .withColumn("farthest", hypot(reach(to_west, to_east), reach(to_south, to_north)))
-            .withColumn("_so_far", F.sum("held").over(inward))
-            .withColumn("certain", F.min(F.when(F.col("_so_far") >= n, F.col("farthest"))).over(place))
-            .where(F.col("closest") <= limit)
-            .select("at_lat", "at_lon", "cx", "cy"))
+            .select(*_PLACE, "reach", "cx", "cy", "held",
+                    F.sqrt(gap_lat * gap_lat + gap_lon * gap_lon).alias("closest"),
+                    F.sqrt(far_lat * far_lat + far_lon * far_lon).alias("farthest"))
+            .where(within)
+            .select("*", F.sum("held").over(inward).alias("so_far"))
+            .select(*_PLACE, "cx", "cy", "closest", reach.alias("reach"))
+            .where(within).drop("closest"))

@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 
 from placewise.functions.columns import CATEGORY_SEPARATOR, split_categories
 from placewise.operators.indexing import frequency_index
+from placewise.session import shuffle_partitions
+
+PIECE_ROWS = 4096
+MAX_CUT_KEYS = 1000
 
 
 def category_sets(business: DataFrame, pattern: str = CATEGORY_SEPARATOR,
@@ -48,17 +52,44 @@ def similar_profiles(known: DataFrame, max_distance: float) -> DataFrame:
     alike = max(0.0, 1.0 - max_distance)
     n = F.size("slots")
     prefix = F.least(n, n - F.ceil(n * alike - 1e-9).cast("int") + 1)
-    side = known.select("profile", "slots", F.slice("slots", F.lit(1), prefix).alias("prefix"))
-    a = side.select(F.col("profile").alias("profile_a"), F.col("slots").alias("slots_a"),
-                    F.col("prefix").alias("prefix_a"), F.explode("prefix").alias("slot"))
-    b = side.select(F.col("profile").alias("profile_b"), F.col("slots").alias("slots_b"),
-                    F.col("prefix").alias("prefix_b"), F.explode("prefix").alias("slot"))
-    size_a, size_b = F.size("slots_a"), F.size("slots_b")
+    entries = (known.select("profile", "slots", n.alias("n"), F.slice("slots", F.lit(1), prefix).alias("prefix"))
+               .select("*", F.posexplode("prefix").alias("at", "slot")))
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    close_sizes = (n_a >= n_b * alike - 1e-9) & (n_b >= n_a * alike - 1e-9)
+    # If this is the first shared category, only it and the rest of the lists can be shared.
+    may_share = F.least(n_a - F.col("at_a"), n_b - F.col("at_b"))
+    must_share = (n_a + n_b) * (alike / (1.0 + alike)) - 1e-9
     first_shared = F.array_intersect("prefix_a", "prefix_b")[0] == F.col("slot")
-    close_sizes = (size_a >= size_b * alike - 1e-9) & (size_b >= size_a * alike - 1e-9)
-    pairs = a.join(b, "slot").where((F.col("profile_a") < F.col("profile_b")) & close_sizes & first_shared)
-    return (pairs.select("profile_a", "profile_b", _jaccard_distance("slots_a", "slots_b").alias("distance"))
-            .where(F.col("distance") < max_distance))
+    distance = _jaccard_distance("slots_a", "slots_b")
+    keep = close_sizes & (may_share >= must_share) & first_shared & (distance < max_distance)
+    return (_meet(entries, ["slot"], ["slots", "n", "prefix", "at"], keep)
+            .select("profile_a", "profile_b", distance.alias("distance")))
+
+
+def _meet(entries: DataFrame, keys: list[str], carried: list[str], keep: Column) -> DataFrame:
+    """Pairs of profiles that share a key and pass ``keep``, smaller id first.
+
+    A popular key is cut into a square of pieces: its left rows go to one row of the square
+    and its right rows to one column, so a pair meets in exactly one piece and no task gets
+    the whole key. Pieces are sized so that at most MAX_CUT_KEYS keys are cut at all.
+    """
+    counts = entries.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    piece = F.greatest(F.lit(PIECE_ROWS), counts.agg(F.sum("n")).scalar() / MAX_CUT_KEYS)
+    cut = (counts.withColumn("piece", piece).where(F.col("n") > F.col("piece"))
+           .select(*keys, F.ceil(F.col("n") / F.col("piece")).cast("int").alias("cuts")))
+    spread = (entries.join(F.broadcast(cut), keys, "left")
+              .withColumn("cuts", F.coalesce("cuts", F.lit(1)))
+              .withColumns({"own": F.pmod(F.xxhash64("profile"), F.col("cuts")).cast("int"),
+                            "all": F.sequence(F.lit(0), F.col("cuts") - 1)}))
+    pieces = [*keys, "across", "down"]
+
+    def side(mark: str, fixed: str, repeated: str) -> DataFrame:
+        return (spread.select(*keys, F.col("own").alias(fixed), F.explode("all").alias(repeated),
+                              *[F.col(c).alias(f"{c}_{mark}") for c in ("profile", *carried)])
+                .repartition(shuffle_partitions(entries.sparkSession), *pieces))
+
+    return (side("a", "across", "down").join(side("b", "down", "across"), pieces)
+            .where((F.col("profile_a") < F.col("profile_b")) & keep))
 
 
 def signatures(features: DataFrame, column: str = "features", tables: int = 5, seed: int = 42) -> DataFrame:
@@ -82,17 +113,13 @@ def approx_similar_profiles(signed: DataFrame, max_distance: float, tables: int
     which it agrees.
     """
     marks = F.array(*[vector_to_array(F.col("hashes")[i])[0].cast("long") for i in range(tables)])
-    flat = signed.select("profile", "slots", marks.alias("marks"))
-    a = flat.select(F.col("profile").alias("profile_a"), F.col("slots").alias("slots_a"),
-                    F.col("marks").alias("marks_a"), F.posexplode("marks").alias("table", "mark"))
-    b = flat.select(F.col("profile").alias("profile_b"), F.col("slots").alias("slots_b"),
-                    F.col("marks").alias("marks_b"), F.posexplode("marks").alias("table", "mark"))
+    entries = (signed.select("profile", "slots", marks.alias("marks"))
+               .select("*", F.posexplode("marks").alias("table", "mark")))
     agree = F.zip_with("marks_a", "marks_b", lambda x, y: x == y)
-    pairs = (a.join(b, ["table", "mark"])
-             .where((F.col("profile_a") < F.col("profile_b"))
-                    & (F.array_position(agree, True) == F.col("table") + 1)))
-    return (pairs.select("profile_a", "profile_b", _jaccard_distance("slots_a", "slots_b").alias("distance"))
-            .where(F.col("distance") < max_distance))
+    first_agreed = F.array_position(agree, True) == F.col("table") + 1
+    distance = _jaccard_distance("slots_a", "slots_b")
+    return (_meet(entries, ["table", "mark"], ["slots", "marks"], first_agreed & (distance < max_distance))
+            .select("profile_a", "profile_b", distance.alias("distance")))
 
 
 def _jaccard_distance(a: str, b: str) -> Column:

@@ -48,3 +48,12 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other job uses."""
     return f"{shared_dir(spark)}/placewise/{label}-{uuid.uuid4().hex}"
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """Partitions for rows that are few in bytes but costly in work.
+
+    AQE sizes partitions by bytes, so it would put such rows into one task; an explicit
+    repartition to this number keeps them spread.
+    """
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

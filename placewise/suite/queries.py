@@ -691,8 +691,11 @@ def _sets(t: Tables) -> DataFrame:
     return tables.read_path(t.spark, path)
 
 
+@shared
 def _profiles(t: Tables) -> DataFrame:
-    return similar.profiles(_sets(t))
+    path = scratch_path(t.spark, "profiles")
+    tables.overwrite_path(similar.profiles(_sets(t)), path)
+    return tables.read_path(t.spark, path)
 
 
 @shared

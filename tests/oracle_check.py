@@ -58,7 +58,8 @@ def main(folder: str, names: list[str]) -> int:
     from placewise.session import builder
 
     spark = (builder("oracle-check").master("local[8]").config("spark.sql.shuffle.partitions", "8")
-             .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").getOrCreate())
+             .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con, queries, oracle = connect(folder), entry.queries(), entry.oracle_sql()
     failed = 0
