@@ -576,7 +576,7 @@ def rating_refit(t: Tables) -> DataFrame:
 
 def _rating_quality(t: Tables, kind: str) -> DataFrame:
     rows = feature_plan.rating_features(t.business, t.review)
-    _, quality = rating.train_rating_model(rows, _train_business(), kind=kind)
+    _, quality = rating.train_rating_model(rows, _train_business(), kind=kind, rounds=30)
     _, unseen = rating.split_by_business(rows, _train_business())
     spread = unseen.agg(F.stddev_samp("label").alias("spread")).scalar()
     # Near-zero error would mean that the label had leaked into the features.
