@@ -73,7 +73,7 @@ def main() -> None:
         model, read_path(spark, built.user_map), read_path(spark, built.business_map)), lists, "user_id"))
     timed("list_lookup", lambda: materialize(recommendations_for(read_path(spark, lists), user)))
 
-    rows = rating_features(business, review)
+    rows = rating_features(business, read_path(spark, built.review_counts).drop("n"))
     linear = timed("linear_fit", lambda: rating.fit_rating_model(rows, "linear"))
     timed("trees_fit_20_rounds", lambda: rating.fit_rating_model(rows, "gbt", rounds=20))
     timed("rank_all", lambda: materialize(rating.rank_businesses(linear, rows, review.where("stars >= 4"))))

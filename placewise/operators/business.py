@@ -24,10 +24,20 @@ def category_rows(business: DataFrame, pattern: str = CATEGORY_SEPARATOR) -> Dat
 
 def review_counts(review: DataFrame, positive_from: float = POSITIVE_FROM) -> DataFrame:
     """Positive and negative reviews per business; reviews without stars count as neither."""
+    return review_totals(review, positive_from).drop("n")
+
+
+def review_totals(review: DataFrame, positive_from: float = POSITIVE_FROM) -> DataFrame:
+    """Review counts plus the number ``n`` of all reviews, from one pass over the reviews.
+
+    Each task counts before the shuffle, so a business with a third of all reviews sends
+    one row per task.
+    """
     stars = F.col("stars")
     return review.groupBy("business_id").agg(
         F.count(F.when(stars >= positive_from, True)).alias("positive_review_count"),
-        F.count(F.when(stars < positive_from, True)).alias("negative_review_count"))
+        F.count(F.when(stars < positive_from, True)).alias("negative_review_count"),
+        F.count(F.lit(1)).alias("n"))
 
 
 def with_review_counts(business: DataFrame, review: DataFrame,

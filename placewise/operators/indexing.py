@@ -19,7 +19,12 @@ def label_counts(df: DataFrame, column: str) -> DataFrame:
 
 def frequency_index(df: DataFrame, column: str, index: str, path: str | None = None) -> DataFrame:
     """(column, index) for any number of labels; nothing is gathered on the driver."""
-    counts = label_counts(df, column)
+    return index_counts(label_counts(df, column), column, index, path)
+
+
+def index_counts(counts: DataFrame, column: str, index: str, path: str | None = None) -> DataFrame:
+    """(column, index) from already counted labels (column, n)."""
+    counts = counts.where(F.col(column).isNotNull()).select(column, "n")
     return number_rows(counts, [F.desc("n"), F.asc(column)], index, path=path).select(column, index)
 
 

@@ -7,27 +7,34 @@ businesses. Distances are strict: a pair counts when its distance is below the l
 
 from __future__ import annotations
 
-from pyspark.ml.feature import CountVectorizerModel, MinHashLSH
+from pyspark.ml.feature import CountVectorizerModel, MinHashLSH, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placewise.functions.columns import CATEGORY_SEPARATOR, split_categories
-from placewise.operators.indexing import frequency_index
+from placewise.operators.indexing import vocabulary
 from placewise.session import shuffle_partitions
 
 PIECE_ROWS = 4096
 MAX_CUT_KEYS = 1000
 
 
-def category_sets(business: DataFrame, pattern: str = CATEGORY_SEPARATOR,
-                  path: str | None = None) -> DataFrame:
-    """(business_id, slots): distinct category numbers, rarest category first."""
+def category_sets(business: DataFrame, pattern: str = CATEGORY_SEPARATOR) -> DataFrame:
+    """(business_id, slots): distinct category numbers, rarest category first.
+
+    The most frequent category is 0. The category list is small and checked, so the
+    numbering needs no join.
+    """
     rows = business.select("business_id",
                            F.explode(split_categories(F.col("categories"), pattern)).alias("category"))
-    numbers = frequency_index(rows, "category", "slot", path=path)
-    return (rows.join(numbers, "category").groupBy("business_id")
-            .agg(F.sort_array(F.collect_set("slot"), asc=False).alias("slots")))
+    names = vocabulary(rows, "category")
+    if not names:
+        raise ValueError("no categories to compare")
+    numbered = StringIndexerModel.from_labels(names, inputCol="category", outputCol="slot",
+                                              handleInvalid="error").transform(rows)
+    return numbered.groupBy("business_id").agg(
+        F.sort_array(F.collect_set(F.col("slot").cast("int")), asc=False).alias("slots"))
 
 
 def profiles(sets: DataFrame) -> DataFrame:

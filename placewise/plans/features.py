@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placewise.functions.columns import CATEGORY_SEPARATOR, POSITIVE_FROM, split_categories
-from placewise.operators.business import (category_rows, review_counts, with_categories,
+from placewise.operators.business import (category_rows, review_totals, with_categories,
                                           without_missing)
-from placewise.operators.indexing import frequency_index, index_reviews, vocabulary
+from placewise.operators.indexing import frequency_index, index_counts, index_reviews, vocabulary
 from placewise.operators.similar import signatures
 from placewise.session import scratch_path
 from placewise.sources.tables import overwrite_path, read_path, write_by_key
@@ -23,12 +23,10 @@ NUMERIC_INPUTS = ["stars", "review_count", "latitude", "longitude",
 LABEL = "stars"
 
 
-def joined_features(business: DataFrame, review: DataFrame, positive_from: float = POSITIVE_FROM,
-                    pattern: str = CATEGORY_SEPARATOR) -> DataFrame:
+def joined_features(business: DataFrame, counts: DataFrame, pattern: str = CATEGORY_SEPARATOR) -> DataFrame:
     """Numerics, review counts and one row per category; businesses without any stay."""
     numeric = business.select("business_id", "stars", "review_count", "latitude", "longitude", "categories")
-    counted = numeric.join(review_counts(review, positive_from), "business_id", "left")
-    return with_categories(counted, pattern)
+    return with_categories(numeric.join(counts, "business_id", "left"), pattern)
 
 
 def encode_categories(joined: DataFrame, names: list[str]) -> DataFrame:
@@ -51,21 +49,22 @@ def assemble(encoded: DataFrame, inputs: list[str], output: str = "features") ->
     return VectorAssembler(inputCols=inputs, outputCol=output, handleInvalid="skip").transform(encoded)
 
 
-def business_features(business: DataFrame, review: DataFrame, positive_from: float = POSITIVE_FROM,
-                      pattern: str = CATEGORY_SEPARATOR, names: list[str] | None = None) -> DataFrame:
-    """The feature table: one row per (business, category) with its assembled vector."""
-    names = names if names is not None else vocabulary(category_rows(business, pattern), "category")
-    encoded = encode_categories(joined_features(business, review, positive_from, pattern), names)
+def business_features(business: DataFrame, counts: DataFrame, pattern: str = CATEGORY_SEPARATOR) -> DataFrame:
+    """The feature table: one row per (business, category) with its assembled vector.
+
+    ``counts`` are the review counts per business.
+    """
+    names = vocabulary(category_rows(business, pattern), "category")
+    encoded = encode_categories(joined_features(business, counts, pattern), names)
     return assemble(encoded, [*NUMERIC_INPUTS, "categoryVec"])
 
 
-def rating_features(business: DataFrame, review: DataFrame, positive_from: float = POSITIVE_FROM,
-                    pattern: str = CATEGORY_SEPARATOR, names: list[str] | None = None) -> DataFrame:
+def rating_features(business: DataFrame, counts: DataFrame, pattern: str = CATEGORY_SEPARATOR) -> DataFrame:
     """One row per business for rating models: categories multi-hot, the label left out."""
-    names = names if names is not None else vocabulary(category_rows(business, pattern), "category")
+    names = vocabulary(category_rows(business, pattern), "category")
     counted = business.select("business_id", "stars", "review_count", "latitude", "longitude",
                               split_categories(F.col("categories"), pattern).alias("names"))
-    counted = counted.join(review_counts(review, positive_from), "business_id", "left")
+    counted = counted.join(counts, "business_id", "left")
     complete = without_missing(counted, [*NUMERIC_INPUTS, "names"])
     multi_hot = CountVectorizerModel.from_vocabulary(names, inputCol="names",
                                                      outputCol="categoryVec").setBinary(True)
@@ -79,6 +78,7 @@ class FeatureTables:
     """Paths of everything one feature build wrote; maps, ratings and models share its run."""
 
     business: str
+    review_counts: str
     business_hashed: str
     review_transformed: str
     user_map: str
@@ -94,15 +94,18 @@ def build_features(business: DataFrame, review: DataFrame, base: str | None = No
     spark = business.sparkSession
     base = base or scratch_path(spark, "features")
     out = FeatureTables(*[f"{base}/{name}" for name in
-                          ("business", "business_hashed", "review_transformed", "user_map", "business_map")])
+                          ("business", "review_counts", "business_hashed", "review_transformed", "user_map", "business_map")])
     write_by_key(business, out.business, "business_id")
     business = read_path(spark, out.business)
-    hashed = signatures(business_features(business, review, positive_from), tables=tables, seed=seed)
+    # One pass over the reviews serves both the sentiment features and the business index.
+    overwrite_path(review_totals(review, positive_from), out.review_counts)
+    totals = read_path(spark, out.review_counts)
+    hashed = signatures(business_features(business, totals.drop("n")), tables=tables, seed=seed)
     overwrite_path(hashed, out.business_hashed)
 
+    overwrite_path(index_counts(totals, "business_id", "businessIndex"), out.business_map)
     # Users are counted on the reviews left once those without a business are gone.
     rated = review.where(F.col("business_id").isNotNull())
-    overwrite_path(frequency_index(rated, "business_id", "businessIndex"), out.business_map)
     overwrite_path(frequency_index(rated, "user_id", "userIndex"), out.user_map)
     indexed = index_reviews(review, read_path(spark, out.user_map), read_path(spark, out.business_map))
     overwrite_path(indexed, out.review_transformed)

@@ -20,6 +20,8 @@ IMPLICIT = {"rank": 10, "maxIter": 5, "implicitPrefs": True, "nonnegative": True
 LIST_LENGTH = 20
 IMPLICIT_FRACTION = 0.01
 
+MAX_ITEM_BLOCKS = 64
+
 
 def rating_rows(indexed: DataFrame, repeats: str = "keep") -> DataFrame:
     """userIndex, businessIndex, stars. ``repeats='mean'`` folds a user's reviews of one
@@ -38,17 +40,21 @@ def random_split(df: DataFrame, seed: int, train: float = 0.8) -> tuple[DataFram
     return left, right
 
 
-def fit_als(ratings: DataFrame, blocks: int | None = None, **settings) -> ALSModel:
+def fit_als(ratings: DataFrame, user_blocks: int | None = None, item_blocks: int | None = None,
+            **settings) -> ALSModel:
     """Fit ALS on (userIndex, businessIndex, stars); defaults are those of the explicit model.
 
-    ``blocks`` spreads users and items over that many partitions; the default follows the
-    session's parallelism. A checkpoint folder is set first so that ALS cuts its lineage.
+    Users and businesses are spread over ``user_blocks`` and ``item_blocks`` partitions.
+    The defaults follow the session's parallelism, with at most MAX_ITEM_BLOCKS for
+    businesses: scoring everything takes user_blocks x item_blocks tasks. A checkpoint
+    folder is set first, so that ALS cuts its lineage.
     """
     spark = ratings.sparkSession
     shared_dir(spark)
-    blocks = blocks or max(8, spark.sparkContext.defaultParallelism)
+    user_blocks = user_blocks or max(8, spark.sparkContext.defaultParallelism)
+    item_blocks = item_blocks or min(user_blocks, MAX_ITEM_BLOCKS)
     als = ALS(userCol="userIndex", itemCol="businessIndex", ratingCol="stars",
-              numUserBlocks=blocks, numItemBlocks=blocks, **{**EXPLICIT, **settings})
+              numUserBlocks=user_blocks, numItemBlocks=item_blocks, **{**EXPLICIT, **settings})
     return als.fit(_int_keys(ratings))
 
 

@@ -195,7 +195,7 @@ def sink_metric(t: Tables) -> DataFrame:
 
 @query
 def sink_model(t: Tables) -> DataFrame:
-    rows = feature_plan.rating_features(t.business, t.review)
+    rows = _rating_rows(t)
     model, path = _linear(t), scratch_path(t.spark, "model")
     runs.save_model(model, path)
     before = rating.predict(model, rows).select("business_id", F.col("prediction").alias("before"))
@@ -253,13 +253,13 @@ def distance_column(t: Tables) -> DataFrame:
 @query
 def skip_unlabelled(t: Tables) -> DataFrame:
     names = vocabulary(ops.category_rows(t.business), "category")
-    encoded = feature_plan.encode_categories(feature_plan.joined_features(t.business, t.review), names)
+    encoded = feature_plan.encode_categories(_joined_rows(t), names)
     return encoded.select("business_id", "category", F.col("categoryIndex").cast("long").alias("categoryIndex"))
 
 
 @query
 def skip_incomplete(t: Tables) -> DataFrame:
-    joined = feature_plan.joined_features(t.business, t.review)
+    joined = _joined_rows(t)
     return ops.without_missing(joined, [*feature_plan.NUMERIC_INPUTS, "category"])
 
 
@@ -301,7 +301,7 @@ def join_review_counts(t: Tables) -> DataFrame:
 
 @query
 def join_categories(t: Tables) -> DataFrame:
-    return feature_plan.joined_features(t.business, t.review)
+    return _joined_rows(t)
 
 
 @query
@@ -339,8 +339,8 @@ def similar_members(t: Tables) -> DataFrame:
 
 @query
 def similar_minhash(t: Tables) -> DataFrame:
-    width = len(vocabulary(ops.category_rows(t.business), "category"))
-    signed = similar.profile_signatures(_profiles(t), width)
+    names = vocabulary(ops.category_rows(t.business), "category")
+    signed = similar.profile_signatures(_profiles(t), len(names))
     return (similar.approx_similar_profiles(signed, SIMILAR_BELOW)
             .select("profile_a", "profile_b", rounded("distance")))
 
@@ -384,7 +384,7 @@ def row_counts(t: Tables) -> DataFrame:
 
 @query
 def nearest_to_point(t: Tables) -> DataFrame:
-    features = feature_plan.business_features(t.business, t.review)
+    features = _feature_rows(t)
     return nearest_to(features, *POINT, n=POINT_HITS).select("business_id", rounded("distance"))
 
 
@@ -403,7 +403,7 @@ def rank_fixed_scores(t: Tables) -> DataFrame:
 @query
 def rank_given_businesses(t: Tables) -> DataFrame:
     wanted = t.review.where(F.col("stars") >= 5).select("business_id")
-    ranked = rating.rank_businesses(_linear(t), feature_plan.rating_features(t.business, t.review), wanted)
+    ranked = rating.rank_businesses(_linear(t), _rating_rows(t), wanted)
     return ranked.select("business_id", rounded("prediction", 4), "rank")
 
 
@@ -422,19 +422,19 @@ def category_rows_trimmed(t: Tables) -> DataFrame:
 
 @query
 def feature_slots(t: Tables) -> DataFrame:
-    features = feature_plan.business_features(t.business, t.review)
+    features = _feature_rows(t)
     return _slots(features, "features")
 
 
 @query
 def category_slots(t: Tables) -> DataFrame:
-    features = feature_plan.business_features(t.business, t.review)
+    features = _feature_rows(t)
     return _slots(features, "categoryVec")
 
 
 @query
 def rating_feature_slots(t: Tables) -> DataFrame:
-    rows = feature_plan.rating_features(t.business, t.review).withColumn("category", F.lit("all"))
+    rows = _rating_rows(t).withColumn("category", F.lit("all"))
     return _slots(rows, "features").drop("category")
 
 
@@ -466,7 +466,7 @@ def business_index_map(t: Tables) -> DataFrame:
 
 @query
 def minhash_signatures(t: Tables) -> DataFrame:
-    hashed = similar.signatures(feature_plan.business_features(t.business, t.review))
+    hashed = similar.signatures(_feature_rows(t))
     return hashed.select("business_id", "category",
                          *[densify(F.col("hashes")[i])[0].cast("long").alias(f"h{i}") for i in range(5)])
 
@@ -559,13 +559,13 @@ def rating_linear(t: Tables) -> DataFrame:
 
 @query
 def rating_predictions(t: Tables) -> DataFrame:
-    rows = feature_plan.rating_features(t.business, t.review)
+    rows = _rating_rows(t)
     return rating.predict(_linear(t), rows).select("business_id", "label", "prediction")
 
 
 @query
 def rating_refit(t: Tables) -> DataFrame:
-    rows = feature_plan.rating_features(t.business, t.review)
+    rows = _rating_rows(t)
     stored, arrived = rating.split_by_business(rows, _train_business())
     model = rating.refit(stored, arrived, kind="linear")
     spread = F.stddev_samp("label")
@@ -575,7 +575,7 @@ def rating_refit(t: Tables) -> DataFrame:
 
 
 def _rating_quality(t: Tables, kind: str) -> DataFrame:
-    rows = feature_plan.rating_features(t.business, t.review)
+    rows = _rating_rows(t)
     _, quality = rating.train_rating_model(rows, _train_business(), kind=kind, rounds=30)
     _, unseen = rating.split_by_business(rows, _train_business())
     spread = unseen.agg(F.stddev_samp("label").alias("spread")).scalar()
@@ -656,6 +656,18 @@ def business_details(t: Tables) -> DataFrame:
 
 # ---------------------------------------------------------------- shared inputs
 
+def _joined_rows(t: Tables) -> DataFrame:
+    return feature_plan.joined_features(t.business, ops.review_counts(t.review))
+
+
+def _feature_rows(t: Tables) -> DataFrame:
+    return feature_plan.business_features(t.business, ops.review_counts(t.review))
+
+
+def _rating_rows(t: Tables) -> DataFrame:
+    return feature_plan.rating_features(t.business, ops.review_counts(t.review))
+
+
 @shared
 def _built(t: Tables) -> feature_plan.FeatureTables:
     return feature_plan.build_features(t.business, t.review)
@@ -680,7 +692,7 @@ def _als_lists(t: Tables) -> DataFrame:
 
 @shared
 def _linear(t: Tables):
-    rows = feature_plan.rating_features(t.business, t.review)
+    rows = _rating_rows(t)
     return rating.fit_rating_model(rating.split_by_business(rows, _train_business())[0], kind="linear")
 
 

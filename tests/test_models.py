@@ -3,6 +3,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import functions as F
 
+from placewise.operators.business import review_counts
 from placewise.plans import features, rating, recommend
 from placewise.sources import runs
 from placewise.sources.tables import read_path
@@ -75,7 +76,7 @@ def test_implicit_model_on_a_sample(ratings):
 
 @pytest.mark.parametrize("kind", ["linear", "gbt"])
 def test_rating_models(tables, kind):
-    rows = features.rating_features(tables.business, tables.review)
+    rows = features.rating_features(tables.business, review_counts(tables.review))
     model, quality = rating.train_rating_model(rows, kind=kind, rounds=3)
     assert quality.first().n > 0 and quality.first().rmse > 0
     scored = rating.predict(model, rows)
@@ -90,15 +91,15 @@ def test_rating_models(tables, kind):
 
 def test_leaked_label_shows_as_near_zero_error(tables):
     """The assembled table contains the label; training on it must be recognisable."""
-    leaky = (features.business_features(tables.business, tables.review)
+    leaky = (features.business_features(tables.business, review_counts(tables.review))
              .select("business_id", F.col("stars").alias("label"), "features"))
     _, leaked = rating.train_rating_model(leaky, kind="linear")
-    _, clean = rating.train_rating_model(features.rating_features(tables.business, tables.review), kind="linear")
+    _, clean = rating.train_rating_model(features.rating_features(tables.business, review_counts(tables.review)), kind="linear")
     assert leaked.first().rmse < 0.01 < 0.3 < clean.first().rmse
 
 
 def test_split_keeps_a_business_on_one_side(tables):
-    rows = features.business_features(tables.business, tables.review)
+    rows = features.business_features(tables.business, review_counts(tables.review))
     train, test = rating.split_by_business(rows)
     assert train.join(test, "business_id", "left_semi").count() == 0
     assert train.count() + test.count() == rows.count()

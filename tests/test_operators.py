@@ -213,12 +213,12 @@ def test_features_of_awkward_businesses(spark):
         "business_id string, categories string, stars double, review_count long, latitude double, longitude double")
     review = spark.createDataFrame([("u", b, 5.0) for b in ("full", "nocat", "noplace")],
                                    "user_id string, business_id string, stars double")
-    rows = features.business_features(business, review).collect()
+    rows = features.business_features(business, ops.review_counts(review)).collect()
     assert sorted((r.business_id, r.category, r.categoryIndex) for r in rows) == [("full", "A", 0.0), ("full", "B", 1.0)]
-    one = features.rating_features(business, review).collect()
+    one = features.rating_features(business, ops.review_counts(review)).collect()
     assert [(r.business_id, r.label, len(r.features)) for r in one] == [("full", 4.0, 7)]
     with pytest.raises(ValueError):
-        features.encode_categories(features.joined_features(business, review), [])
+        features.encode_categories(features.joined_features(business, ops.review_counts(review)), [])
 
 
 def test_shared_folder_comes_from_the_session(spark, monkeypatch):
