@@ -113,8 +113,8 @@ def search(index: LocationIndex, points: DataFrame, n: int) -> DataFrame:
 
     found = _still_possible(_start(places, grid(index.levels[0])), n)
     for above, depth in zip(index.levels, index.levels[1:]):
-        below = grid(depth).withColumns({"px": F.shiftright("cx", depth - above),
-                                         "py": F.shiftright("cy", depth - above)})
+        below = grid(depth).selectExpr("*", f"shiftright(cx, {depth - above}) AS px",
+                                       f"shiftright(cy, {depth - above}) AS py")
         if depth <= BROADCAST_DEPTH:
             below = F.broadcast(below)
         parents = found.withColumnsRenamed({"cx": "px", "cy": "py"})
@@ -167,23 +167,19 @@ def _still_possible(found: DataFrame, n: int) -> DataFrame:
 
     The reach of the depth above applies first and spares most cells the ranking.
     """
-    lat, lon = F.col("at_lat"), F.col("at_lon")
-    south, north, west, east = F.col("south"), F.col("north"), F.col("west"), F.col("east")
-    gap_lat = F.greatest(south - lat, lat - north, F.lit(0.0))
-    gap_lon = F.greatest(west - lon, lon - east, F.lit(0.0))
-    far_lat = F.greatest(F.abs(lat - south), F.abs(lat - north))
-    far_lon = F.greatest(F.abs(lon - west), F.abs(lon - east))
-    place = Window.partitionBy(*_PLACE)
-    inward = place.orderBy("farthest", "cx", "cy").rowsBetween(Window.unboundedPreceding, 0)
-    certain = F.min(F.when(F.col("so_far") >= n, F.col("farthest"))).over(place)
+    place = "PARTITION BY place, at_lat, at_lon"
     # A little slack, so that rounding cannot drop a business at exactly the limit.
-    reach = F.coalesce(certain, F.lit(float("inf"))) * (1 + 1e-9) + 1e-9
-    within = F.col("closest") <= F.col("reach")
+    certain = f"min(CASE WHEN so_far >= {int(n)} THEN farthest END) OVER ({place})"
+    reach = f"coalesce({certain}, double('inf')) * 1.000000001D + 0.000000001D"
     return (found
-            .select(*_PLACE, "reach", "cx", "cy", "held",
-                    F.sqrt(gap_lat * gap_lat + gap_lon * gap_lon).alias("closest"),
-                    F.sqrt(far_lat * far_lat + far_lon * far_lon).alias("farthest"))
-            .where(within)
-            .select("*", F.sum("held").over(inward).alias("so_far"))
-            .select(*_PLACE, "cx", "cy", "closest", reach.alias("reach"))
-            .where(within).drop("closest"))
+            .selectExpr("*", "greatest(south - at_lat, at_lat - north, 0D) AS gap_lat",
+                        "greatest(west - at_lon, at_lon - east, 0D) AS gap_lon",
+                        "greatest(abs(at_lat - south), abs(at_lat - north)) AS far_lat",
+                        "greatest(abs(at_lon - west), abs(at_lon - east)) AS far_lon")
+            .selectExpr(*_PLACE, "reach", "cx", "cy", "held",
+                        "sqrt(gap_lat * gap_lat + gap_lon * gap_lon) AS closest",
+                        "sqrt(far_lat * far_lat + far_lon * far_lon) AS farthest")
+            .where("closest <= reach")
+            .selectExpr("*", f"sum(held) OVER ({place} ORDER BY farthest, cx, cy ROWS UNBOUNDED PRECEDING) AS so_far")
+            .selectExpr(*_PLACE, "cx", "cy", "closest", f"{reach} AS reach")
+            .where("closest <= reach").drop("closest"))

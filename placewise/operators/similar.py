@@ -67,8 +67,10 @@ def similar_profiles(known: DataFrame, max_distance: float) -> DataFrame:
     may_share = F.least(n_a - F.col("at_a"), n_b - F.col("at_b"))
     must_share = (n_a + n_b) * (alike / (1.0 + alike)) - 1e-9
     first_shared = F.array_intersect("prefix_a", "prefix_b")[0] == F.col("slot")
+    enough = F.size(F.array_intersect("slots_a", "slots_b")) >= must_share
     distance = _jaccard_distance("slots_a", "slots_b")
-    keep = close_sizes & (may_share >= must_share) & first_shared & (distance < max_distance)
+    # Cheap integer tests first; the exact distance is left for the few that pass them.
+    keep = close_sizes & (may_share >= must_share) & first_shared & enough & (distance < max_distance)
     return (_meet(entries, ["slot"], ["slots", "n", "prefix", "at"], keep)
             .select("profile_a", "profile_b", distance.alias("distance")))
 
