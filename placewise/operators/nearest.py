@@ -13,7 +13,7 @@ from placewise.session import scratch_path, shuffle_partitions
 
 # Grid depths, coarse to fine: a cell at depth d is 360 / 2**d degrees wide.
 LEVELS = (3, 6, 9, 12, 15)
-# Down to this depth a grid has at most 2**9 * 2**8 = 131,072 cells, about 8 MB.
+# Down to this depth a grid has at most 2**9 * 2**8 = 131,072 cells, some 13 MB.
 BROADCAST_DEPTH = 9
 
 _PLACE = ["place", "at_lat", "at_lon"]

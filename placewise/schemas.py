@@ -27,12 +27,9 @@ RUNS_DDL = "experiment STRING, run_id STRING, start_time TIMESTAMP, metric STRIN
 
 ENTITY_DDL = {"business": BUSINESS_DDL, "review": REVIEW_DDL, "user": USER_DDL}
 
-# Columns that must be present for a record to be accepted at ingest.
-ENTITY_KEY = {
-    "business": ("business_id",),
-    "review": ("user_id", "business_id"),
-    "user": ("user_id",),
-}
+# Columns that must be present for a record to be accepted at ingest. A review has no key;
+# without user it still counts for its business.
+ENTITY_KEY = {"business": ("business_id",), "review": (), "user": ("user_id",)}
 
 
 def entity_schema(entity: str) -> T.StructType:

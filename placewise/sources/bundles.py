@@ -33,18 +33,30 @@ def list_bundles(spark: SparkSession, path: str) -> DataFrame:
 
 def member_lines(bundles: DataFrame, entity: str) -> DataFrame:
     """(line) of one entity for a table of archive paths."""
-    member = MEMBERS[entity]
+    member, batch_lines = MEMBERS[entity], _LINES_PER_BATCH
+
+    # Self-contained, so that tasks run it without importing this package.
+    def open_stream(path: str):
+        from pyarrow import fs
+
+        scheme, _, rest = path.partition(":")
+        if scheme in ("s3a", "s3n"):
+            path = f"s3:{rest}"
+        elif scheme == "file":
+            path = f"file:///{rest.lstrip('/')}"
+        filesystem, location = fs.FileSystem.from_uri(path)
+        return filesystem.open_input_file(location)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path in batch["path"]:
-                with _open(path) as raw, zipfile.ZipFile(raw) as archive:
+                with open_stream(path) as raw, zipfile.ZipFile(raw) as archive:
                     if member not in archive.namelist():
                         continue
                     with archive.open(member) as stream:
                         text = (line.rstrip("\r\n") for line in io.TextIOWrapper(stream, "utf-8"))
                         lines = (line for line in text if line.strip())
-                        while chunk := list(itertools.islice(lines, _LINES_PER_BATCH)):
+                        while chunk := list(itertools.islice(lines, batch_lines)):
                             yield pd.DataFrame({"line": chunk})
 
     return bundles.select("path").mapInPandas(read, "line STRING")
@@ -63,16 +75,3 @@ def scan_member(bundles: DataFrame, entity: str, spread: int | None = None) -> D
 def read_bundle(spark: SparkSession, path: str, entity: str, spread: int | None = None) -> DataFrame:
     """Accepted records of one entity from all archives under ``path``."""
     return accepted(scan_member(list_bundles(spark, path), entity, spread), entity)
-
-
-def _open(path: str):
-    """A seekable stream for a local or remote file URI."""
-    from pyarrow import fs
-
-    scheme, _, rest = path.partition(":")
-    if scheme in ("s3a", "s3n"):
-        path = f"s3:{rest}"
-    elif scheme == "file":
-        path = f"file:///{rest.lstrip('/')}"
-    filesystem, location = fs.FileSystem.from_uri(path)
-    return filesystem.open_input_file(location)

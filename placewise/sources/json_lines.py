@@ -29,8 +29,8 @@ def scan_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def _is_good(entity: str) -> Column:
-    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in ENTITY_KEY[entity]])
-    return keyed & F.col(BAD_LINE).isNull()
+    keyed = [F.col(k).isNotNull() for k in ENTITY_KEY[entity]]
+    return reduce(lambda a, b: a & b, keyed, F.col(BAD_LINE).isNull())
 
 
 def accepted(scanned: DataFrame, entity: str) -> DataFrame:

@@ -7,12 +7,14 @@ run repeated after a failure adds a record twice.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placewise.operators.business import latest_by_key
 from placewise.schemas import entity_schema
-from placewise.sources.bundles import BINARY_FILE_DDL, scan_member
+from placewise.sources.bundles import BINARY_FILE_DDL, MEMBERS, scan_member
 from placewise.sources.json_lines import BAD_LINE, accepted, with_bad_line
 
 ARRIVED = "_arrived"
@@ -24,15 +26,16 @@ def ingest_new_files(spark: SparkSession, source: str, entity: str, target: str,
     arriving = (spark.readStream.schema(with_bad_line(entity_schema(entity)))
                 .option("columnNameOfCorruptRecord", BAD_LINE)
                 .option("maxFilesPerTrigger", files_per_batch).json(source))
-    _take(accepted(arriving, entity), target, checkpoint)
+    _take(accepted(arriving, entity), target, f"{checkpoint}/{entity}")
 
 
-def ingest_new_bundles(spark: SparkSession, source: str, entity: str, target: str, checkpoint: str,
-                       bundles_per_batch: int = 100) -> None:
-    """Take one entity of the zip bundles that arrived since the last call, then stop."""
-    arriving = (spark.readStream.format("binaryFile").schema(BINARY_FILE_DDL)
-                .option("maxFilesPerTrigger", bundles_per_batch).load(source).select("path"))
-    _take(accepted(scan_member(arriving, entity), entity), target, checkpoint)
+def ingest_new_bundles(spark: SparkSession, source: str, target: str, checkpoint: str,
+                       entities: Iterable[str] = tuple(MEMBERS), bundles_per_batch: int = 100) -> None:
+    """Take the zip bundles that arrived since the last call into ``<target>/<entity>``, then stop."""
+    for entity in entities:
+        arriving = (spark.readStream.format("binaryFile").schema(BINARY_FILE_DDL)
+                    .option("maxFilesPerTrigger", bundles_per_batch).load(source).select("path"))
+        _take(accepted(scan_member(arriving, entity), entity), f"{target}/{entity}", f"{checkpoint}/{entity}")
 
 
 def all_records(spark: SparkSession, target: str) -> DataFrame:
@@ -42,7 +45,18 @@ def all_records(spark: SparkSession, target: str) -> DataFrame:
 
 def current_records(spark: SparkSession, target: str, key: str) -> DataFrame:
     """The record of each key that arrived last; within one batch the greatest record."""
-    stored = spark.read.parquet(target)
+    return _newest(spark.read.parquet(target), key)
+
+
+def with_increments(base: DataFrame, target: str, key: str | None = None) -> DataFrame:
+    """A bootstrap table followed by what arrived since; with ``key`` the newest record of each."""
+    taken = base.sparkSession.read.parquet(target)
+    if key is None:
+        return base.unionByName(taken.drop(ARRIVED))
+    return _newest(base.withColumn(ARRIVED, F.lit(None).cast("timestamp")).unionByName(taken), key)
+
+
+def _newest(stored: DataFrame, key: str) -> DataFrame:
     rest = [F.col(c) for c in stored.columns if c not in (key, ARRIVED)]
     return latest_by_key(stored, key, [F.col(ARRIVED), *rest]).drop(ARRIVED)
 

@@ -237,6 +237,9 @@ _SELECTS = {
         SELECT * REPLACE (CASE WHEN CAST(substr(user_id, 2) AS BIGINT) % 3 = 0
                                THEN average_stars + 1 ELSE average_stars END AS average_stars) FROM users""",
     "incremental_bundles": "SELECT user_id, count(*) AS n, sum(stars) AS stars FROM review GROUP BY 1",
+    "table_with_increments": """
+        SELECT * REPLACE (fans + CASE WHEN CAST(substr(user_id, 2) AS BIGINT) % 3 = 0 THEN 1 ELSE 0 END AS fans)
+        FROM users""",
     "feature_build": "SELECT * FROM hashed",
     "business_details": "SELECT * FROM business WHERE business_id IN (SELECT business_id FROM best)",
     "list_lookup": f"""

@@ -635,11 +635,20 @@ def incremental_bundles(t: Tables) -> DataFrame:
     pattern = write_bundles(entities, 4, source)
     target, checkpoint = scratch_path(t.spark, "taken"), scratch_path(t.spark, "progress")
     for _ in range(2):
-        increments.ingest_new_bundles(t.spark, pattern, "review", target, checkpoint)
-    return (increments.all_records(t.spark, target).groupBy("user_id")
+        increments.ingest_new_bundles(t.spark, pattern, target, checkpoint)
+    return (increments.all_records(t.spark, f"{target}/review").groupBy("user_id")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("stars").alias("stars")))
 
 
+@query
+def table_with_increments(t: Tables) -> DataFrame:
+    source, target = scratch_path(t.spark, "arriving"), scratch_path(t.spark, "taken")
+    newer = t.user.where(number("user_id") % 3 == 0).withColumn("fans", F.col("fans") + 1)
+    newer.write.json(source)
+    increments.ingest_new_files(t.spark, source, "user", target, scratch_path(t.spark, "progress"))
+    return increments.with_increments(t.user, target, "user_id")
+
+
 @query
 def feature_build(t: Tables) -> DataFrame:
     hashed = tables.read_path(t.spark, _built(t).business_hashed)

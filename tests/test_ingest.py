@@ -106,8 +106,17 @@ def test_new_bundles_are_taken_once(spark, tmp_path):
     for i in range(3):
         write_zip(source / f"{i}.zip", {"review.json": [{"user_id": f"u{i}", "business_id": "b", "stars": 1}]})
         for _ in range(2):
-            increments.ingest_new_bundles(spark, str(source), "review", target, done)
-    assert increments.all_records(spark, target).count() == 3
+            increments.ingest_new_bundles(spark, str(source), target, done)
+    assert increments.all_records(spark, f"{target}/review").count() == 3
+    assert increments.all_records(spark, f"{target}/user").count() == 0
+    base = spark.createDataFrame([("u0", "b", 5.0)], "user_id string, business_id string, stars double")
+    both = increments.with_increments(base, f"{target}/review").groupBy("user_id").count().collect()
+    assert {r.user_id: r["count"] for r in both} == {"u0": 2, "u1": 1, "u2": 1}
+
+
+def test_reviews_without_user_are_kept(spark, tmp_path):
+    path = write_lines(tmp_path / "review.json", [{"business_id": "b1", "stars": 5}, "junk"])
+    assert json_lines.read_entity(spark, path, "review").collect() == [(None, "b1", 5.0)]
 
 
 def test_json_view(spark, tmp_path):
