@@ -93,6 +93,9 @@ def resolve_ids(recommended: DataFrame, user_map: DataFrame, business_map: DataF
 
     The rank travels with each entry, because a join and regrouping alone lose the order.
     """
+    # ALS indexes are 32-bit; maps of the same type let the last join reuse the grouping's shuffle.
+    user_map = user_map.withColumn("userIndex", F.col("userIndex").cast("int"))
+    business_map = business_map.withColumn("businessIndex", F.col("businessIndex").cast("int"))
     flat = recommended.select("userIndex", F.posexplode("recommendations").alias("rank", "entry"))
     named = (flat.withColumn("businessIndex", F.col("entry.businessIndex"))
              .join(business_map, "businessIndex")
@@ -119,8 +122,9 @@ def flatten(recs: DataFrame) -> DataFrame:
 
 def nest(ranked: DataFrame, rank: str = "rk") -> DataFrame:
     """Rows (userIndex, businessIndex, rating, rank) as the nested lists a model returns."""
-    entry = F.struct(F.col(rank).alias("rank"), F.col("businessIndex"), F.col("rating").cast("float").alias("rating"))
-    return (ranked.groupBy("userIndex").agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    entry = F.struct(F.col(rank).alias("rank"), F.col("businessIndex").cast("int").alias("businessIndex"),
+                     F.col("rating").cast("float").alias("rating"))
+    return (ranked.groupBy(F.col("userIndex").cast("int").alias("userIndex")).agg(F.array_sort(F.collect_list(entry)).alias("e"))
             .select("userIndex", F.transform("e", lambda e: F.struct(
                 e["businessIndex"].alias("businessIndex"), e["rating"].alias("rating"))).alias("recommendations")))
 
