@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from placewise.functions.columns import planar_distance
 from placewise.session import scratch_path, shuffle_partitions
 
-# Grid depths, coarse to fine: a cell at depth d is 360 / 2**d degrees wide.
-LEVELS = (3, 6, 9, 12, 15)
+# Grid depths, coarse to fine: a cell at depth d is 360 / 2**d degrees wide, the finest 150 m.
+LEVELS = (3, 5, 7, 9, 12, 15, 18)
 # Down to this depth a grid has at most 2**9 * 2**8 = 131,072 cells, some 13 MB.
 BROADCAST_DEPTH = 9
 

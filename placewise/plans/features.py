@@ -14,7 +14,7 @@ from placewise.operators.business import (category_rows, review_totals, with_cat
                                           without_missing)
 from placewise.operators.indexing import frequency_index, index_counts, index_reviews, vocabulary
 from placewise.operators.similar import signatures
-from placewise.session import scratch_path
+from placewise.session import scratch_path, shuffle_partitions
 from placewise.sources.tables import overwrite_path, read_path, write_by_key
 
 # Numeric inputs in slot order; the category slots follow.
@@ -24,8 +24,13 @@ LABEL = "stars"
 
 
 def joined_features(business: DataFrame, counts: DataFrame, pattern: str = CATEGORY_SEPARATOR) -> DataFrame:
-    """Numerics, review counts and one row per category; businesses without any stay."""
-    numeric = business.select("business_id", "stars", "review_count", "latitude", "longitude", "categories")
+    """Numerics, review counts and one row per category; businesses without any stay.
+
+    Categories multiply the rows and each row gets a vector, so the few bytes of a
+    business stand for much work: they are spread by number of partitions.
+    """
+    numeric = (business.select("business_id", "stars", "review_count", "latitude", "longitude", "categories")
+               .repartition(shuffle_partitions(business.sparkSession), "business_id"))
     return with_categories(numeric.join(counts, "business_id", "left"), pattern)
 
 

@@ -21,6 +21,8 @@ LIST_LENGTH = 20
 IMPLICIT_FRACTION = 0.01
 
 MAX_ITEM_BLOCKS = 64
+# ALS gathers the ratings of one id in one task, at 12 bytes each.
+MAX_RATINGS_PER_ID = 100_000_000
 
 
 def rating_rows(indexed: DataFrame, repeats: str = "keep") -> DataFrame:
@@ -51,6 +53,7 @@ def fit_als(ratings: DataFrame, user_blocks: int | None = None, item_blocks: int
     """
     spark = ratings.sparkSession
     shared_dir(spark)
+    _check_hottest(ratings)
     user_blocks = user_blocks or max(8, spark.sparkContext.defaultParallelism)
     item_blocks = item_blocks or min(user_blocks, MAX_ITEM_BLOCKS)
     als = ALS(userCol="userIndex", itemCol="businessIndex", ratingCol="stars",
@@ -136,6 +139,13 @@ def top_rated(ratings: DataFrame, k: int = 5) -> DataFrame:
     return means.withColumn("rk", F.row_number().over(best)).where(F.col("rk") <= k)
 
 
+def _check_hottest(ratings: DataFrame) -> None:
+    """Refuse what no single task could hold. Index 0 is the most frequent id, so no grouping is needed."""
+    first = ratings.agg(F.count_if(F.col("userIndex") == 0), F.count_if(F.col("businessIndex") == 0)).first()
+    if max(first) > MAX_RATINGS_PER_ID:
+        raise ValueError(f"one id has {max(first)} ratings; fold repeats with rating_rows(..., repeats='mean')")
+
+
 def _int_keys(ratings: DataFrame) -> DataFrame:
     """ALS takes 32-bit keys; a larger index fails here instead of wrapping around."""
     return ratings.withColumns({"userIndex": F.col("userIndex").cast("int"),

@@ -69,6 +69,12 @@ def test_repeated_ratings_can_be_averaged(spark):
         recommend.rating_rows(rows, "first")
 
 
+def test_an_id_too_hot_for_one_task_is_refused(ratings, monkeypatch):
+    monkeypatch.setattr(recommend, "MAX_RATINGS_PER_ID", 10)
+    with pytest.raises(ValueError, match="repeats='mean'"):
+        recommend.fit_als(ratings)
+
+
 def test_implicit_model_on_a_sample(ratings):
     model = recommend.fit_implicit(ratings, fraction=0.2)
     assert model.rank == 10 and model.recommendForAllUsers(2).count() > 0

@@ -67,7 +67,7 @@ def test_point_table_search_never_crosses(spark, built, tables, shuffled):
     index = nearest.location_index(read_path(spark, built.business_hashed), 5)
     text = plan(nearest.search(index, tables.points, 5))
     assert no_cross_join(text) and "WindowGroupLimit" in text and "EvalPython" not in text
-    assert count("BroadcastHashJoin", text) == 2  # depths 6 and 9, bounded in size
+    assert count("BroadcastHashJoin", text) == 3  # depths 5, 7 and 9, bounded in size
 
 
 def test_similar_pairs_never_cross(tables, shuffled):
