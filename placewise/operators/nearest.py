@@ -17,6 +17,9 @@ LEVELS = (3, 5, 7, 9, 12, 15, 18)
 BROADCAST_DEPTH = 9
 
 _PLACE = ["place", "at_lat", "at_lon"]
+_SITES = "business_id STRING, latitude DOUBLE, longitude DOUBLE, cx BIGINT, cy BIGINT"
+_CELLS = ("cx BIGINT, cy BIGINT, held BIGINT, south DOUBLE, north DOUBLE, west DOUBLE, east DOUBLE, "
+          "depth INT")
 
 
 def usable_locations(features: DataFrame) -> DataFrame:
@@ -63,7 +66,7 @@ def location_index(features: DataFrame, n: int, path: str | None = None,
     finest = levels[-1]
     (_candidates(features, n).withColumns(_cell(finest))
      .write.mode("overwrite").parquet(f"{path}/sites"))
-    cells = spark.read.parquet(f"{path}/sites").groupBy("cx", "cy").agg(
+    cells = spark.read.schema(_SITES).parquet(f"{path}/sites").groupBy("cx", "cy").agg(
         F.count(F.lit(1)).alias("held"),
         F.min("latitude").alias("south"), F.max("latitude").alias("north"),
         F.min("longitude").alias("west"), F.max("longitude").alias("east"))
@@ -99,8 +102,8 @@ def search(index: LocationIndex, points: DataFrame, n: int) -> DataFrame:
     if n > index.n:
         raise ValueError(f"the index answers up to {index.n} businesses, not {n}")
     spark = points.sparkSession
-    cells = spark.read.parquet(f"{index.path}/cells")
-    sites = spark.read.parquet(f"{index.path}/sites")
+    cells = spark.read.schema(_CELLS).parquet(f"{index.path}/cells")
+    sites = spark.read.schema(_SITES).parquet(f"{index.path}/sites")
     # A popular place may be asked for by a third of all points: search it once. The
     # search multiplies the rows of a place, so places are spread by number, not by bytes.
     places = (points.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())

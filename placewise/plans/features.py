@@ -98,8 +98,8 @@ def build_features(business: DataFrame, review: DataFrame, base: str | None = No
     """
     spark = business.sparkSession
     base = base or scratch_path(spark, "features")
-    out = FeatureTables(*[f"{base}/{name}" for name in
-                          ("business", "review_counts", "business_hashed", "review_transformed", "user_map", "business_map")])
+    names = ("business", "review_counts", "business_hashed", "review_transformed", "user_map", "business_map")
+    out = FeatureTables(*[f"{base}/{name}" for name in names])
     write_by_key(business, out.business, "business_id")
     business = read_path(spark, out.business)
     # One pass over the reviews serves both the sentiment features and the business index.

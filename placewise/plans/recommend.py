@@ -102,8 +102,8 @@ def resolve_ids(recommended: DataFrame, user_map: DataFrame, business_map: DataF
     flat = recommended.select("userIndex", F.posexplode("recommendations").alias("rank", "entry"))
     named = (flat.withColumn("businessIndex", F.col("entry.businessIndex"))
              .join(business_map, "businessIndex")
-             .select("userIndex", "rank",
-                     F.struct("businessIndex", "business_id", F.col("entry.rating").alias("rating")).alias("entry")))
+             .select("userIndex", "rank", F.struct("businessIndex", "business_id",
+                                                   F.col("entry.rating").alias("rating")).alias("entry")))
     lists = named.groupBy("userIndex").agg(
         F.array_sort(F.collect_list(F.struct("rank", "entry"))).alias("ranked"))
     return (lists.select("userIndex", F.col("ranked.entry").alias("recommendations"))

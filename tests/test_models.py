@@ -115,8 +115,11 @@ def test_models_survive_storage(spark, tmp_path, als, ratings, tables):
     path = str(tmp_path / "als")
     runs.save_model(als[0], path)
     again = runs.load_model(path, ALSModel)
-    pick = lambda m: sorted((r.userIndex, r.businessIndex, r.prediction) for r in recommend.score(m, ratings).collect())
-    assert pick(again) == pick(als[0])
+
+    def scores(model):
+        return sorted((r.userIndex, r.businessIndex, r.prediction) for r in recommend.score(model, ratings).collect())
+
+    assert scores(again) == scores(als[0])
 
 
 def test_rmse_equals_evaluator(als, ratings):

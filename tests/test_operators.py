@@ -54,6 +54,7 @@ def test_nearest_few_businesses_and_bad_coordinates(spark):
     points = [("p", 1.0, 2.0), ("q", None, 2.0)]
     assert searched(spark, sites, points, 5) == {"p": ["a", "d"]}
     assert searched(spark, sites, points, 1, levels=(2, 4)) == {"p": ["a"]}
+    assert searched(spark, sites[1:3], points, 5) == {}
     one = nearest.nearest_to(spark.createDataFrame(sites, FEATURES), 1.0, 2.0, 5).collect()
     assert [(r.business_id, r.distance) for r in one] == [("a", 1.0), ("d", 1.0)]
     index = nearest.location_index(spark.createDataFrame(sites, FEATURES), 1)
