@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placewise.llm import quality
+from placewise.llm import quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,3 +27,9 @@ def op9_quality_bands(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.judge(documents(spark, folder), row=["doc_id"])
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept", F.round("ratio", 6).alias("ratio"), "n_chunks", "n_bad_chunks")
+
+
+@query
+def op3_simhash_covering(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, folder))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
