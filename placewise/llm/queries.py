@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placewise.llm import quality, simhash
+from placewise.llm import decontaminate, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,3 +33,12 @@ def op9_quality_bands(spark: SparkSession, folder: str) -> DataFrame:
 def op3_simhash_covering(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, folder))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"),
+                                        row=["doc_id"])
+    return found.select("row.doc_id", "n_words", "n_hit", "n_items",
+                        decontaminate.items_digest(F.col("items")).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
