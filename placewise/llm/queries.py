@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placewise.llm import decontaminate, quality, simhash
+from placewise.llm import decontaminate, quality, simhash, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,3 +42,8 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("row.doc_id", "n_words", "n_hit", "n_items",
                         decontaminate.items_digest(F.col("items")).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.tokens_round_trip(documents(spark, folder))
