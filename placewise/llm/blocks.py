@@ -18,6 +18,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from placewise.session import scratch_path
+
 BLOCK_BYTES = 8 << 20
 
 Step = Callable[[dict[str, pa.Array]], list]
@@ -29,6 +31,13 @@ def whole_text(column: str | Column = "text") -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: cuts the plan, survives lost executors."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def slices(batches: Iterable[pa.RecordBatch], sized: str, limit: int) -> Iterator[pa.RecordBatch]:
     """The same rows, cut so that column ``sized`` has about ``limit`` bytes in each batch."""
     for batch in batches:

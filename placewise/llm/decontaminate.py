@@ -31,8 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from placewise.llm.blocks import WORDS_ONLY, as_bytes, bounds, over_blocks, totals, whole_text
-from placewise.session import scratch_path
+from placewise.llm.blocks import WORDS_ONLY, as_bytes, bounds, over_blocks, stored, whole_text
 
 WINDOW = 10
 PIECE_BYTES = 16 << 20
@@ -231,8 +230,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str | Column = "t
     if second is None:
         found = one_pass(docs, first, kept)
     else:  # the documents are numbered once, and the passes are joined by that number
-        numbered = _stored(docs.withColumn(UID, F.monotonically_increasing_id()), "numbered")
-        passes = [_stored(one_pass(numbered, rows, [UID]), "hits") for rows in chain([first, second], parts)]
+        numbered = stored(docs.withColumn(UID, F.monotonically_increasing_id()), "numbered")
+        passes = [stored(one_pass(numbered, rows, [UID]), "hits") for rows in chain([first, second], parts)]
         joined = (reduce(DataFrame.union, passes).groupBy(F.col(f"row.{UID}").alias(UID))
                   .agg(F.max("n_words").alias("n_words"), F.sum("n_unnamed").alias("n_unnamed"),
                        F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"),
@@ -244,12 +243,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str | Column = "t
                         F.array_sort("items").alias("items"))
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents without a hit, with their own columns."""
     return contamination(docs, benchmark, **options).where("n_hit = 0").select("row.*")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placewise.llm import decontaminate, quality, simhash, token_files
+from placewise.llm import decontaminate, mixing, quality, simhash, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -47,3 +47,13 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.tokens_round_trip(documents(spark, folder))
+
+
+@query
+def op4_raked_mix(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, folder), row=["doc_id"])
+    return mixed.select("row.doc_id", "source", "lang", "topic", "tokens", F.round("weight", 3).alias("weight"),
+                        F.round("probability", 6).alias("probability"), "kept")
+
+
+ORACLE["op4_raked_mix"] = mixing.mix_sql()
