@@ -4,15 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from placewise.llm import quality
+from placewise.llm import decontaminate, mixing, quality, simhash, token_files
 from placewise.session import scratch_path
 
 
-def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the compression bands."""
     return quality.keep_good(docs)
 
 
-STAGES = [("quality rules", keep_quality)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, that of the smallest doc_id."""
+    return simhash.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of a benchmark item."""
+    return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn so that sources, languages and topics approach their target weights."""
+    return mixing.sampled(docs)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the documents, and a row for each document as read back from them."""
+    return token_files.tokens_round_trip(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("simhash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("source mixing", mixture),
+    ("token output", token_output),
+]
 
 #: Compression, tokenization and file layout are not expressible in SQL; tests compare with brute force.
 ORACLE_SQL = None
