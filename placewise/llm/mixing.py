@@ -3,12 +3,14 @@
 Documents are summed to cells of (source, language, topic) once. A round then scales the cells'
 token weights so that their sums meet the source targets, then the language targets, then the
 topic targets; repeated rounds converge to the weights closest to the data that meet all three.
+The weight of a cell is its tokens times one factor for each margin, so a step recomputes the
+factors of one margin from the cells and the other factors.
 A document of a cell is drawn with probability rate * weight / tokens of the cell, at most 1.
 The draw is a hash of id and text, so a recomputed task decides alike.
 
 All of it is DataFrame work. Only cells and margins are shuffled more than once, each margin is
 summed before its shuffle, and joins to cells and margins broadcast only where Spark finds the
-side small. Each round is written to the shared folder, so none is computed twice.
+side small. Factors are written to the shared folder, so no step is computed twice.
 
 Defined results: null source, language or topic is a value of its own; a null text has no
 tokens and meets no topic cue; a cell without tokens has rate ``rate`` (its documents add nothing to any
@@ -83,18 +85,26 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     The weights sum to all tokens. Values without a target keep their weight.
     """
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
-    now = cells.withColumn("weight", F.col("tokens").cast("double"))
+    now = cells
     for margin, target in targets.items():
         now = _joined(now, target.withColumnRenamed("share", f"to_{margin}"), (margin,))
-    now = stored(now, "cells-0")
-    for number in range(rounds):
+    now = stored(now, "cells-targets")
+    factors: dict[str, DataFrame] = {}
+
+    def weighted(but: str | None) -> DataFrame:
+        """The cells with their tokens times the factors so far, but for one margin's."""
+        out, weight = now, F.col("tokens").cast("double")
+        for margin, factor in factors.items():
+            if margin != but:
+                out, weight = _joined(out, factor, (margin,)), weight * F.col(f"f_{margin}")
+        return out.withColumn("weight", weight)
+
+    for _ in range(rounds):
         for margin in targets:
-            sums = now.groupBy(margin).agg(F.sum("weight").alias("sum"))
-            wanted = F.col("weight") * (F.col(f"to_{margin}") * F.lit(total)) / F.col("sum")
-            fit = F.when((F.col("sum") > 0) & F.col(f"to_{margin}").isNotNull(), wanted).otherwise(F.col("weight"))
-            now = _joined(now, sums, (margin,)).withColumn("weight", fit).drop("sum")
-        now = stored(now, f"cells-{number + 1}")
-    return now.select(*cells.columns, "weight")
+            sums = weighted(margin).groupBy(margin).agg(F.sum("weight").alias("sum"), F.max(f"to_{margin}").alias("to"))
+            fit = F.when((F.col("sum") > 0) & F.col("to").isNotNull(), F.col("to") * F.lit(total) / F.col("sum")).otherwise(1.0)
+            factors[margin] = stored(sums.select(margin, fit.alias(f"f_{margin}")), f"factors-{margin}")
+    return weighted(None).select(*cells.columns, "weight")
 
 
 def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, powers: dict[str, float] | None = None,

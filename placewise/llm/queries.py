@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placewise.llm import decontaminate, licenses, mixing, quality, simhash, token_files
+from placewise.llm import decontaminate, licenses, mixing, quality, secret_scan, simhash, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -64,3 +64,9 @@ def op1_license_templates(spark: SparkSession, folder: str) -> DataFrame:
     found = licenses.scan_licenses(documents(spark, folder), row=["doc_id"])
     return found.select("row.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels",
                         F.round("score", 6).alias("score"), F.size("matches").cast("long").alias("n_matches"))
+
+
+@query
+def op6_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.find_secrets(documents(spark, folder))
+    return found.withColumn("score", F.round("score", 6))
