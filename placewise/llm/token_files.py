@@ -201,7 +201,9 @@ def read_documents(spark: SparkSession, folder: str, id_type: str) -> DataFrame:
     files = manifest(spark, folder)
     schema = f"part bigint, doc_id {id_type}, at bigint, n_tokens bigint, ids_crc32 bigint"
     read = files.select("part", "sequences", "documents").repartition(shuffle_partitions(spark)).mapInArrow(_read, schema)
-    return (read.join(files.select("part", F.col("start").alias("before")), "part")
+    # One row per range, so this side does not grow with a range; left alone, Spark takes the other one.
+    starts = F.broadcast(files.select("part", F.col("start").alias("before")))
+    return (read.join(starts, "part")
             .select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32"))
 
 
