@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -20,7 +22,7 @@ DEFAULT_FILE = "byte_bpe_50k.json"
 CHUNKS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 ODD_SPACE = re.compile("[^\\S \n]|[\x1c-\x1f\x85]")
 #: Remembered chunks per worker; a full memory starts anew, which costs time and changes nothing.
-MEMORY = 600_000
+MEMORY = 1_000_000
 
 
 def default_path() -> str:
@@ -33,24 +35,29 @@ class Encoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.memory: dict[str, bytes] = {}
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.dtype = np.dtype(self.code).newbyteorder("<")
+        self.memory: dict[str, bytes | None] = {}
 
     def plain(self, texts: list[str]) -> list[bytes]:
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype=self.dtype).tobytes() for x in made]
+        return [array(self.code, x.ids).tobytes() for x in made]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         if len(self.memory) > MEMORY:
             self.memory = {}
-        cut = [None if ODD_SPACE.search(t) else CHUNKS.findall(t) for t in texts]
-        new = {c for chunks in cut if chunks for c in chunks if c not in self.memory}
-        self.memory.update(zip(new, self.plain(list(new))))
-        whole = iter(self.plain([t for t, chunks in zip(texts, cut) if chunks is None]))
-        known = self.memory.__getitem__
-        return [np.frombuffer(next(whole) if chunks is None else b"".join(map(known, chunks)), dtype=self.dtype)
-                for chunks in cut]
+        cut = list(map(CHUNKS.findall, texts))
+        new = [c for c in set(chain.from_iterable(cut)) if c not in self.memory]
+        self.memory.update(zip(new, self.plain(new)))
+        self.memory.update((c, None) for c in filter(ODD_SPACE.search, new))  # not to be joined
+        known, made = self.memory.__getitem__, []
+        for text, chunks in zip(texts, cut):
+            try:
+                made.append(b"".join(map(known, chunks)))
+            except TypeError:
+                made.append(self.plain([text])[0])
+        return [np.frombuffer(x, dtype=self.dtype) for x in made]
 
 
 _ENCODERS: dict[str, Encoder] = {}
