@@ -31,10 +31,10 @@ def whole_text(column: str | Column = "text") -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read again: cuts the plan, survives lost executors."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

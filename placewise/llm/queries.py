@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placewise.llm import decontaminate, licenses, mixing, quality, secret_scan, simhash, token_files
+from placewise.llm import decontaminate, licenses, mixing, quality, secret_scan, simhash, suffix_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -70,3 +70,9 @@ def op1_license_templates(spark: SparkSession, folder: str) -> DataFrame:
 def op6_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.find_secrets(documents(spark, folder))
     return found.withColumn("score", F.round("score", 6))
+
+
+@query
+def op2_suffix_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    done = suffix_dedup.remove_repeats(documents(spark, folder), row=["doc_id"])
+    return done.select("row.doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
