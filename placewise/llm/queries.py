@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placewise.llm import decontaminate, licenses, mixing, quality, secret_scan, simhash, suffix_dedup, token_files
+from placewise.llm import decontaminate, licenses, lm_scoring, mixing, quality, secret_scan, simhash, suffix_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -76,3 +76,9 @@ def op6_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
 def op2_suffix_intervals(spark: SparkSession, folder: str) -> DataFrame:
     done = suffix_dedup.remove_repeats(documents(spark, folder), row=["doc_id"])
     return done.select("row.doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+@query
+def op10_attention_score(spark: SparkSession, folder: str) -> DataFrame:
+    scored = lm_scoring.score(documents(spark, folder), row=["doc_id"])
+    return scored.select("row.doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

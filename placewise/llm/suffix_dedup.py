@@ -35,15 +35,13 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.dataset as ds
 import xxhash
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from placewise.llm.blocks import BLOCK_BYTES, as_bytes, bounds, slices, stored, whole_text
-from placewise.llm.token_files import located
-from placewise.session import scratch_path, shuffle_partitions
+from placewise.llm.side_tables import block_rows, by_block, write_by_block
+from placewise.session import shuffle_partitions
 
 LENGTH = 100
 GRAM = 32
@@ -122,36 +120,12 @@ def _anchors(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Itera
                                               pa.array(np.minimum(n, 2))], names=["anchor", "block", "n"])
 
 
-# ---------------------------------------------------------------- tables of a block
-
-def block_rows(folder: str, block: int, columns: list[str]) -> pa.Table | None:
-    """The rows of one block of a table that was written with a folder for each block."""
-    system, root = located(f"{folder}/block={block}")
-    if system.get_file_info(root).type == fs.FileType.NotFound:
-        return None
-    return ds.dataset(root, filesystem=system, format="parquet").to_table(columns=columns)
-
-
-def write_by_block(df: DataFrame, label: str) -> str:
-    path = scratch_path(df.sparkSession, label)
-    (df.repartition(shuffle_partitions(df.sparkSession), "block").write.partitionBy("block").parquet(path))
-    return path
-
-
-def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
-    for batch in slices(batches, "text", BLOCK_BYTES):
-        blocks = batch.column("block").to_numpy()
-        cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
-        for a, b in zip(cuts, cuts[1:]):
-            yield int(blocks[a]), batch.slice(a, b - a)
-
-
 # ---------------------------------------------------------------- segments
 
 def _pieces(batches: Iterator[pa.RecordBatch], shared: str, length: int, gram: int) -> Iterator[pa.RecordBatch]:
     """Segments of repeated anchors (kind 0), equal ones of a block only once, their repeats (kind 1)."""
     at, known = None, np.zeros(0, dtype=np.int64)
-    for block, batch in _by_block(batches):
+    for block, batch in by_block(batches):
         if block != at:
             rows = block_rows(shared, block, ["anchor"])
             at, known = block, np.unique(rows.column("anchor").to_numpy()) if rows is not None else np.zeros(0, np.int64)
@@ -361,7 +335,7 @@ def _merged(starts: np.ndarray, stops: np.ndarray) -> list[tuple[int, int]]:
 
 def _apply(batches: Iterator[pa.RecordBatch], repeats: str) -> Iterator[pa.RecordBatch]:
     at, spans = None, {}
-    for block, batch in _by_block(batches):
+    for block, batch in by_block(batches):
         if block != at:
             at, spans = block, {}
             table = block_rows(repeats, block, ["uid", "start", "stop"])
