@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placewise.llm import decontaminate, licenses, lm_scoring, mixing, quality, secret_scan, simhash, suffix_dedup, token_files
+from placewise.llm import decontaminate, licenses, line_dedup, lm_scoring, mixing, quality, secret_scan, simhash, suffix_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -82,3 +82,13 @@ def op2_suffix_intervals(spark: SparkSession, folder: str) -> DataFrame:
 def op10_attention_score(spark: SparkSession, folder: str) -> DataFrame:
     scored = lm_scoring.score(documents(spark, folder), row=["doc_id"])
     return scored.select("row.doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op8_line_edit_join(spark: SparkSession, folder: str) -> DataFrame:
+    done = line_dedup.dedupe_lines(documents(spark, folder), row=["doc_id"])
+    return done.select("row.doc_id", "n_lines", "n_equal", "n_near", "n_kept", "n_links",
+                       F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLE["op8_line_edit_join"] = line_dedup.dedupe_sql()
