@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from placewise.operators.ordering import number_rows
 
-# Vocabularies travel through the driver, so their size is checked, never cut.
-MAX_VOCABULARY = 1 << 18
-
-
 def label_counts(df: DataFrame, column: str) -> DataFrame:
     """(label, n) for every non-null label; partial aggregation absorbs hot labels."""
     return (df.where(F.col(column).isNotNull())
@@ -28,19 +24,6 @@ def index_counts(counts: DataFrame, column: str, index: str, path: str | None =
     return number_rows(counts, [F.desc("n"), F.asc(column)], index, path=path).select(column, index)
 
 
-def vocabulary(df: DataFrame, column: str, limit: int = MAX_VOCABULARY) -> list[str]:
-    """Labels of a small dictionary column in frequency order.
-
-    Meant for category names, whose number does not follow the data size. More than
-    ``limit`` labels is an error rather than a cut list.
-    """
-    counts = label_counts(df, column)
-    rows = (counts.orderBy(F.desc("n"), F.asc(column)).select(column).limit(limit + 1).collect())
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} labels; use frequency_index")
-    return [row[0] for row in rows]
-
-
 def index_reviews(review: DataFrame, user_map: DataFrame, business_map: DataFrame) -> DataFrame:
     """Reviews plus userIndex and businessIndex; rows without either id drop out."""
     return (review.join(business_map, "business_id").join(user_map, "user_id")

@@ -7,32 +7,26 @@ businesses. Distances are strict: a pair counts when its distance is below the l
 
 from __future__ import annotations
 
-from pyspark.ml.feature import CountVectorizerModel, MinHashLSH, StringIndexerModel
+from pyspark.ml.feature import CountVectorizerModel, MinHashLSH
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placewise.functions.columns import CATEGORY_SEPARATOR, split_categories
-from placewise.operators.indexing import vocabulary
+from placewise.operators.indexing import frequency_index
 from placewise.session import shuffle_partitions
 
 PIECE_ROWS = 4096
-MAX_CUT_KEYS = 1000
 
 
 def category_sets(business: DataFrame, pattern: str = CATEGORY_SEPARATOR) -> DataFrame:
     """(business_id, slots): distinct category numbers, rarest category first.
 
-    The most frequent category is 0. The category list is small and checked, so the
-    numbering needs no join.
+    The most frequent category is 0. Categories are numbered by a join, however many there are.
     """
     rows = business.select("business_id",
                            F.explode(split_categories(F.col("categories"), pattern)).alias("category"))
-    names = vocabulary(rows, "category")
-    if not names:
-        raise ValueError("no categories to compare")
-    numbered = StringIndexerModel.from_labels(names, inputCol="category", outputCol="slot",
-                                              handleInvalid="error").transform(rows)
+    numbered = rows.join(frequency_index(rows, "category", "slot"), "category")
     return numbered.groupBy("business_id").agg(
         F.sort_array(F.collect_set(F.col("slot").cast("int")), asc=False).alias("slots"))
 
@@ -56,7 +50,8 @@ def similar_profiles(known: DataFrame, max_distance: float) -> DataFrame:
     and mostly stay out of the join. A pair is made only at its first shared category,
     which leaves nothing to deduplicate.
     """
-    alike = max(0.0, 1.0 - max_distance)
+    _check(max_distance)
+    alike = 1.0 - max_distance
     n = F.size("slots")
     prefix = F.least(n, n - F.ceil(n * alike - 1e-9).cast("int") + 1)
     entries = (known.select("profile", "slots", n.alias("n"), F.slice("slots", F.lit(1), prefix).alias("prefix"))
@@ -80,13 +75,13 @@ def _meet(entries: DataFrame, keys: list[str], carried: list[str], keep: Column)
 
     A popular key is cut into a square of pieces: its left rows go to one row of the square
     and its right rows to one column, so a pair meets in exactly one piece and no task gets
-    the whole key. Pieces are sized so that at most MAX_CUT_KEYS keys are cut at all.
+    the whole key. Pieces keep their size as the data grows, and the keys to cut are joined
+    by key, so they may be many; Spark broadcasts them only where it finds them small.
     """
     counts = entries.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    piece = F.greatest(F.lit(PIECE_ROWS), counts.agg(F.sum("n")).scalar() / MAX_CUT_KEYS)
-    cut = (counts.withColumn("piece", piece).where(F.col("n") > F.col("piece"))
-           .select(*keys, F.ceil(F.col("n") / F.col("piece")).cast("int").alias("cuts")))
-    spread = (entries.join(F.broadcast(cut), keys, "left")
+    cut = (counts.where(F.col("n") > PIECE_ROWS)
+           .select(*keys, F.ceil(F.col("n") / PIECE_ROWS).cast("int").alias("cuts")))
+    spread = (entries.join(cut, keys, "left")
               .withColumn("cuts", F.coalesce("cuts", F.lit(1)))
               .withColumns({"own": F.pmod(F.xxhash64("profile"), F.col("cuts")).cast("int"),
                             "all": F.sequence(F.lit(0), F.col("cuts") - 1)}))
@@ -121,6 +116,7 @@ def approx_similar_profiles(signed: DataFrame, max_distance: float, tables: int
     Finds a subset of ``similar_profiles``. Each pair is made in the first table in
     which it agrees.
     """
+    _check(max_distance)
     marks = F.array(*[vector_to_array(F.col("hashes")[i])[0].cast("long") for i in range(tables)])
     entries = (signed.select("profile", "slots", marks.alias("marks"))
                .select("*", F.posexplode("marks").alias("table", "mark")))
@@ -131,6 +127,12 @@ def approx_similar_profiles(signed: DataFrame, max_distance: float, tables: int
             .select("profile_a", "profile_b", distance.alias("distance")))
 
 
+def _check(max_distance: float) -> None:
+    """Sets that share nothing have distance 1 and never meet, so no limit above 1 can be met."""
+    if not 0 < max_distance <= 1:
+        raise ValueError(f"max_distance must be above 0 and at most 1, not {max_distance}")
+
+
 def _jaccard_distance(a: str, b: str) -> Column:
     shared = F.size(F.array_intersect(a, b)).cast("double")
     return F.lit(1.0) - shared / (F.size(a) + F.size(b) - shared)

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import (CountVectorizerModel, OneHotEncoder, StringIndexerModel,
-                                VectorAssembler)
+from pyspark.ml.feature import CountVectorizerModel, OneHotEncoder, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placewise.functions.columns import CATEGORY_SEPARATOR, POSITIVE_FROM, split_categories
 from placewise.operators.business import (category_rows, review_totals, with_categories,
                                           without_missing)
-from placewise.operators.indexing import frequency_index, index_counts, index_reviews, vocabulary
+from placewise.operators.indexing import frequency_index, index_counts, index_reviews
 from placewise.operators.similar import signatures
 from placewise.session import scratch_path, shuffle_partitions
 from placewise.sources.tables import overwrite_path, read_path, write_by_key
@@ -34,19 +33,23 @@ def joined_features(business: DataFrame, counts: DataFrame, pattern: str = CATEG
     return with_categories(numeric.join(counts, "business_id", "left"), pattern)
 
 
-def encode_categories(joined: DataFrame, names: list[str]) -> DataFrame:
+def category_index(business: DataFrame, pattern: str = CATEGORY_SEPARATOR) -> DataFrame:
+    """(category, categoryIndex), the most frequent category first; nothing passes through the driver."""
+    return frequency_index(category_rows(business, pattern), "category", "categoryIndex")
+
+
+def encode_categories(joined: DataFrame, index: DataFrame) -> DataFrame:
     """categoryIndex and one-hot categoryVec; rows without a known category drop out.
 
-    The category list is small and checked, so indexing needs no join. The encoder is
-    fitted on the index range, which is all it needs to know.
+    The encoder is fitted on the index range, which is all it needs to know.
     """
-    if not names:
+    known = index.count()
+    if not known:
         raise ValueError("no categories to encode")
-    indexer = StringIndexerModel.from_labels(names, inputCol="category", outputCol="categoryIndex",
-                                             handleInvalid="skip")
-    span = joined.sparkSession.range(len(names)).select(F.col("id").cast("double").alias("categoryIndex"))
+    index = index.withColumn("categoryIndex", F.col("categoryIndex").cast("double"))
+    span = joined.sparkSession.range(known).select(F.col("id").cast("double").alias("categoryIndex"))
     encoder = OneHotEncoder(inputCol="categoryIndex", outputCol="categoryVec").fit(span)
-    return encoder.transform(indexer.transform(joined))
+    return encoder.transform(joined.join(index, "category").select(*joined.columns, "categoryIndex"))
 
 
 def assemble(encoded: DataFrame, inputs: list[str], output: str = "features") -> DataFrame:
@@ -59,19 +62,21 @@ def business_features(business: DataFrame, counts: DataFrame, pattern: str = CAT
 
     ``counts`` are the review counts per business.
     """
-    names = vocabulary(category_rows(business, pattern), "category")
-    encoded = encode_categories(joined_features(business, counts, pattern), names)
+    encoded = encode_categories(joined_features(business, counts, pattern), category_index(business, pattern))
     return assemble(encoded, [*NUMERIC_INPUTS, "categoryVec"])
 
 
 def rating_features(business: DataFrame, counts: DataFrame, pattern: str = CATEGORY_SEPARATOR) -> DataFrame:
     """One row per business for rating models: categories multi-hot, the label left out."""
-    names = vocabulary(category_rows(business, pattern), "category")
-    counted = business.select("business_id", "stars", "review_count", "latitude", "longitude",
-                              split_categories(F.col("categories"), pattern).alias("names"))
-    counted = counted.join(counts, "business_id", "left")
+    index = category_index(business, pattern)
+    numbered = (category_rows(business, pattern).join(index, "category").groupBy("business_id")
+                .agg(F.collect_set(F.col("categoryIndex").cast("string")).alias("names")))
+    counted = (business.select("business_id", "stars", "review_count", "latitude", "longitude")
+               .join(counts, "business_id", "left").join(numbered, "business_id", "left"))
     complete = without_missing(counted, [*NUMERIC_INPUTS, "names"])
-    multi_hot = CountVectorizerModel.from_vocabulary(names, inputCol="names",
+    # The vector needs the number of categories only; their numbers are its slots.
+    slots = [str(i) for i in range(index.count())]
+    multi_hot = CountVectorizerModel.from_vocabulary(slots, inputCol="names",
                                                      outputCol="categoryVec").setBinary(True)
     inputs = [c for c in NUMERIC_INPUTS if c != LABEL]
     return (assemble(multi_hot.transform(complete), [*inputs, "categoryVec"])

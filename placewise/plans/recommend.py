@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from placewise.operators.business import latest_by_key
 from placewise.operators.lookup import with_ids
 from placewise.operators.stats import rmse
 from placewise.session import shared_dir
@@ -18,16 +20,17 @@ EXPLICIT = {"rank": 20, "maxIter": 20, "regParam": 0.3, "nonnegative": True,
 IMPLICIT = {"rank": 10, "maxIter": 5, "implicitPrefs": True, "nonnegative": True,
             "coldStartStrategy": "drop", "seed": 42}
 LIST_LENGTH = 20
-IMPLICIT_FRACTION = 0.01
 
-MAX_ITEM_BLOCKS = 64
-# ALS gathers the ratings of one id in one task, at 12 bytes each.
-MAX_RATINGS_PER_ID = 100_000_000
+ITEMS_PER_BLOCK = 50_000
 
 
 def rating_rows(indexed: DataFrame, repeats: str = "keep") -> DataFrame:
     """userIndex, businessIndex, stars. ``repeats='mean'`` folds a user's reviews of one
-    business into their average, which also bounds a hot user by the number of businesses."""
+    business into their average, which also bounds a hot user by the number of businesses;
+    ``repeats='last'`` keeps the latest by column ``date`` (ties: the higher stars)."""
+    if repeats == "last":
+        return latest_by_key(indexed.select("userIndex", "businessIndex", "stars", "date"), ["userIndex", "businessIndex"],
+                             [F.col("date"), F.col("stars")]).drop("date")
     rows = indexed.select("userIndex", "businessIndex", "stars")
     if repeats == "keep":
         return rows
@@ -47,23 +50,25 @@ def fit_als(ratings: DataFrame, user_blocks: int | None = None, item_blocks: int
     """Fit ALS on (userIndex, businessIndex, stars); defaults are those of the explicit model.
 
     Users and businesses are spread over ``user_blocks`` and ``item_blocks`` partitions.
-    The defaults follow the session's parallelism, with at most MAX_ITEM_BLOCKS for
-    businesses: scoring everything takes user_blocks x item_blocks tasks. A checkpoint
-    folder is set first, so that ALS cuts its lineage.
+    Users follow the session's parallelism; businesses their number, since scoring
+    everything takes user_blocks x item_blocks tasks. A checkpoint folder is set first, so
+    that ALS cuts its lineage. Spark's ALS gathers the ratings of one id in one task, at 12
+    bytes each; fold the repeats of hotter ids with ``rating_rows(..., repeats='mean')``.
     """
     spark = ratings.sparkSession
     shared_dir(spark)
-    _check_hottest(ratings)
     user_blocks = user_blocks or max(8, spark.sparkContext.defaultParallelism)
-    item_blocks = item_blocks or min(user_blocks, MAX_ITEM_BLOCKS)
+    if item_blocks is None:
+        items = (ratings.agg(F.max("businessIndex")).first()[0] or 0) + 1
+        item_blocks = max(min(user_blocks, 8), math.ceil(items / ITEMS_PER_BLOCK))
     als = ALS(userCol="userIndex", itemCol="businessIndex", ratingCol="stars",
               numUserBlocks=user_blocks, numItemBlocks=item_blocks, **{**EXPLICIT, **settings})
     return als.fit(_int_keys(ratings))
 
 
-def fit_implicit(ratings: DataFrame, fraction: float | None = IMPLICIT_FRACTION, seed: int = 42,
+def fit_implicit(ratings: DataFrame, fraction: float | None = None, seed: int = 42,
                  **settings) -> ALSModel:
-    """Implicit-preference ALS, by default on a 1 % sample of the ratings."""
+    """Implicit-preference ALS on all ratings, or on a sample if a ``fraction`` is asked for."""
     rows = ratings if fraction is None else ratings.sample(False, fraction, seed)
     return fit_als(rows, **{**IMPLICIT, **settings})
 
@@ -139,13 +144,6 @@ def top_rated(ratings: DataFrame, k: int = 5) -> DataFrame:
     return means.withColumn("rk", F.row_number().over(best)).where(F.col("rk") <= k)
 
 
-def _check_hottest(ratings: DataFrame) -> None:
-    """Refuse what no single task could hold. Index 0 is the most frequent id, so no grouping is needed."""
-    first = ratings.agg(F.count_if(F.col("userIndex") == 0), F.count_if(F.col("businessIndex") == 0)).first()
-    if max(first) > MAX_RATINGS_PER_ID:
-        raise ValueError(f"one id has {max(first)} ratings; fold repeats with rating_rows(..., repeats='mean')")
-
-
 def _int_keys(ratings: DataFrame) -> DataFrame:
     """ALS takes 32-bit keys; a larger index fails here instead of wrapping around."""
     return ratings.withColumns({"userIndex": F.col("userIndex").cast("int"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="placewise-")
     if sc.getCheckpointDir() is None:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import io
 import itertools
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placewise.schemas import entity_schema
-from placewise.sources.json_lines import BAD_LINE, accepted, with_bad_line
+from placewise.sources.json_lines import BAD_LINE, LINE, LINE_JSON, PATH, accepted, with_bad_line
 
 # Member name of each entity inside a bundle.
 MEMBERS = {"business": "business.json", "review": "review.json", "user": "user.json"}
@@ -32,7 +33,11 @@ def list_bundles(spark: SparkSession, path: str) -> DataFrame:
 
 
 def member_lines(bundles: DataFrame, entity: str) -> DataFrame:
-    """(line) of one entity for a table of archive paths."""
+    """(path, number, line, failure) of one entity for a table of archive paths.
+
+    Bytes that are no UTF-8 become replacement characters, so the line's JSON is judged like any
+    other. An archive that cannot be read further gives one row with the reason as ``failure``.
+    """
     member, batch_lines = MEMBERS[entity], _LINES_PER_BATCH
 
     # Self-contained, so that tasks run it without importing this package.
@@ -50,26 +55,40 @@ def member_lines(bundles: DataFrame, entity: str) -> DataFrame:
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path in batch["path"]:
-                with open_stream(path) as raw, zipfile.ZipFile(raw) as archive:
-                    if member not in archive.namelist():
-                        continue
-                    with archive.open(member) as stream:
-                        text = (line.rstrip("\r\n") for line in io.TextIOWrapper(stream, "utf-8"))
-                        lines = (line for line in text if line.strip())
-                        while chunk := list(itertools.islice(lines, batch_lines)):
-                            yield pd.DataFrame({"line": chunk})
-
-    return bundles.select("path").mapInPandas(read, "line STRING")
-
-
-def scan_member(bundles: DataFrame, entity: str, spread: int | None = None) -> DataFrame:
-    """Parsed lines of one entity plus ``_bad_line``; works on a stream of archives too."""
+                try:
+                    with open_stream(path) as raw, zipfile.ZipFile(raw) as archive:
+                        if member not in archive.namelist():
+                            continue
+                        with archive.open(member) as stream:
+                            text = (line.rstrip("\r\n") for line in io.TextIOWrapper(stream, "utf-8", errors="replace"))
+                            lines = ((n, line) for n, line in enumerate(text) if line.strip())
+                            while chunk := list(itertools.islice(lines, batch_lines)):
+                                numbers, kept = zip(*chunk)
+                                yield pd.DataFrame({"path": path, "number": numbers, "line": kept, "failure": None})
+                except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError) as error:
+                    reason = f"{type(error).__name__}: {error}"
+                    yield pd.DataFrame({"path": [path], "number": [-1], "line": [None], "failure": [reason]})
+
+    return bundles.select("path").mapInPandas(read, "path STRING, number BIGINT, line STRING, failure STRING")
+
+
+def scan_member(bundles: DataFrame, entity: str, spread: int | None = None, place: bool = False,
+                extras: bool = False) -> DataFrame:
+    """Parsed lines of one entity plus ``_bad_line``; works on a stream of archives too.
+
+    An unreadable archive is a row whose ``_bad_line`` is the reason. ``place`` adds ``_path`` and
+    ``_line``; ``extras`` adds ``_line_json``, the whole line, for columns that are not declared.
+    """
     lines = member_lines(bundles, entity)
     if spread:
         lines = lines.repartition(spread)
     schema = with_bad_line(entity_schema(entity))
     parsed = F.from_json("line", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE})
-    return lines.select(parsed.alias("r")).select("r.*")
+    bad = F.coalesce(F.col(f"r.{BAD_LINE}"), "failure").alias(BAD_LINE)
+    more = [F.col("path").alias(PATH), F.col("number").alias(LINE)] if place else []
+    more += [F.col("line").alias(LINE_JSON)] if extras else []
+    return (lines.select(parsed.alias("r"), "path", "number", "line", "failure")
+            .select(*[F.col(f"r.{f.name}") for f in entity_schema(entity).fields], bad, *more))
 
 
 def read_bundle(spark: SparkSession, path: str, entity: str, spread: int | None = None) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from placewise.schemas import ENTITY_DDL, ENTITY_KEY, entity_schema
 
 BAD_LINE = "_bad_line"
+# Where a record stood: its file, the file's time, and its place in the file.
+PATH, MODIFIED, LINE, LINE_JSON = "_path", "_modified", "_line", "_line_json"
 
 
 def with_bad_line(schema: T.StructType) -> T.StructType:
@@ -24,8 +26,9 @@ def scan_entity(spark: SparkSession, path: str | list[str], entity: str) -> Data
 
 
 def scan_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines with the schema Spark infers from them (reads the input twice)."""
-    return spark.read.json(path)
+    """Lines with the schema Spark infers from them (reads the input twice), and ``_bad_line``."""
+    found = spark.read.option("columnNameOfCorruptRecord", BAD_LINE).json(path)
+    return found if BAD_LINE in found.columns else found.withColumn(BAD_LINE, F.lit(None).cast("string"))
 
 
 def _is_good(entity: str) -> Column:
@@ -33,20 +36,25 @@ def _is_good(entity: str) -> Column:
     return reduce(lambda a, b: a & b, keyed, F.col(BAD_LINE).isNull())
 
 
+def _keyed(scanned: DataFrame, entity: str) -> DataFrame:
+    """Inferred columns may lack the key, if no line has it."""
+    return scanned.withColumns({k: F.lit(None).cast("string") for k in ENTITY_KEY[entity] if k not in scanned.columns})
+
+
 def accepted(scanned: DataFrame, entity: str) -> DataFrame:
     """Parsed records that carry their key; the reader alone would let the others through."""
-    return scanned.where(_is_good(entity)).drop(BAD_LINE)
+    return _keyed(scanned, entity).where(_is_good(entity)).drop(BAD_LINE)
 
 
 def rejected(scanned: DataFrame, entity: str) -> DataFrame:
     """Records for quarantine, with their raw text where the line did not parse."""
-    return scanned.where(~_is_good(entity))
+    return _keyed(scanned, entity).where(~_is_good(entity))
 
 
 def read_entity(spark: SparkSession, path: str | list[str], entity: str, infer: bool = False) -> DataFrame:
     """Records of one entity ready to store; ``infer`` keeps every column found in the files."""
     if infer:
-        return scan_inferred(spark, path)
+        return accepted(scan_inferred(spark, path), entity)
     return accepted(scan_entity(spark, path, entity), entity)
 
 

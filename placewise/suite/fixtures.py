@@ -33,10 +33,9 @@ FROM {part}
 
 REVIEW_SQL = """
 SELECT concat('u', CAST(o_custkey AS STRING)) AS user_id,
-       concat('b', CAST(l_partkey AS STRING)) AS business_id,
+       concat('b', CAST(CASE WHEN l_partkey % 40 = 1 THEN l_partkey + 1 ELSE l_partkey END AS STRING)) AS business_id,
        CAST(greatest(1, 1 + o_custkey % 3 + l_partkey % 3 - l_linenumber % 2) AS DOUBLE) AS stars
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
-WHERE l_partkey % 40 <> 1
 """
 
 USER_SQL = """

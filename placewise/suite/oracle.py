@@ -159,7 +159,17 @@ _SELECTS = {
     "skip_unlabelled": 'SELECT business_id, category, "categoryIndex" FROM joined JOIN category_index USING (category)',
     "skip_incomplete": 'SELECT * EXCLUDE ("categoryIndex") FROM hashed',
     "portable_split": "SELECT user_id, business_id, stars, train FROM split",
-    "random_split": "SELECT count(*) AS n, true AS about_80_percent FROM review",
+    "random_split": """
+        SELECT business_id, count(*) AS n, sum(stars) AS stars, true AS about_80_percent FROM review GROUP BY 1""",
+    "bernoulli_sample": "SELECT CAST(0 AS BIGINT) AS wrong, true AS likely_size",
+    "als_implicit": """
+        SELECT user_id, (SELECT least(5, count(DISTINCT business_id)) FROM review) AS listed, true AS nonnegative
+        FROM review GROUP BY user_id""",
+    "train_als_random": "SELECT true AS beats_spread, true AS scored, count(*) AS split_rows FROM review",
+    "rating_predictions": "SELECT business_id, label, true AS finite FROM complete",
+    "rank_given_businesses": """
+        SELECT business_id, true AS gap_free, true AS best_first FROM complete
+        WHERE business_id IN (SELECT business_id FROM review WHERE stars >= 5)""",
     "distinct_reviews": "SELECT DISTINCT * FROM review",
     "recommended_ids": """
         SELECT user_id, string_agg(business_id, ',' ORDER BY rk) AS business_ids FROM best GROUP BY 1""",
@@ -255,6 +265,9 @@ _SELECTS = {
 # Models have no SQL counterpart; these check what must hold whatever the factors are.
 _TRAINED = {
     "als_holdout": "SELECT count(*) AS scored, true AS beats_spread, true AS nonnegative FROM test",
+    "als_predictions": 'SELECT "userIndex", "businessIndex", stars, true AS finite FROM test',
+    "als_recommendations": """
+        SELECT user_id, unnest(range(1, n + 1)) AS rank FROM trained_users CROSS JOIN list_length""",
     "als_recommendation_lists": """
         SELECT user_id, n AS listed, true AS best_first, n AS different FROM trained_users CROSS JOIN list_length""",
     "als_lookup": f"""

@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 from placewise.functions.columns import as_label, densify, id_list, is_train, planar_distance
 from placewise.operators import business as ops
 from placewise.operators import lookup, similar, stats
-from placewise.operators.indexing import (dimension_map, frequency_index, ids_of, index_reviews,
-                                          vocabulary)
+from placewise.operators.indexing import dimension_map, frequency_index, ids_of, index_reviews
 from placewise.operators.nearest import located, nearest, nearest_to
 from placewise.plans import features as feature_plan
 from placewise.plans import rating, recommend
@@ -252,8 +251,7 @@ def distance_column(t: Tables) -> DataFrame:
 
 @query
 def skip_unlabelled(t: Tables) -> DataFrame:
-    names = vocabulary(ops.category_rows(t.business), "category")
-    encoded = feature_plan.encode_categories(_joined_rows(t), names)
+    encoded = feature_plan.encode_categories(_joined_rows(t), feature_plan.category_index(t.business))
     return encoded.select("business_id", "category", F.col("categoryIndex").cast("long").alias("categoryIndex"))
 
 
@@ -272,14 +270,24 @@ def portable_split(t: Tables) -> DataFrame:
 @query
 def random_split(t: Tables) -> DataFrame:
     train, test = recommend.random_split(t.review, seed=42)
-    both = (train.select(F.lit(1).alias("train")).unionByName(test.select(F.lit(0).alias("train"))))
-    share = F.avg("train")
-    return both.agg(F.count(F.lit(1)).alias("n"), ((share > 0.75) & (share < 0.85)).alias("about_80_percent"))
+    both = train.withColumn("train", F.lit(1)).unionByName(test.withColumn("train", F.lit(0)))
+    # Every review once, on one side: per business the counts of both sides add up to its reviews.
+    share = both.agg(F.avg("train")).scalar()
+    return (both.groupBy("business_id").agg(F.count(F.lit(1)).alias("n"), F.sum("stars").alias("stars"),
+                                            F.max((share > 0.75) & (share < 0.85)).alias("about_80_percent")))
 
 
 @query
 def bernoulli_sample(t: Tables) -> DataFrame:
-    return t.review.sample(False, recommend.IMPLICIT_FRACTION, 42)
+    """Rows of a 1 % sample that are no review or drawn more often than stored, and whether its size is likely."""
+    keys = ["user_id", "business_id", "stars"]
+    drawn = t.review.sample(False, 0.01, 42)
+    have = t.review.groupBy(*keys).agg(F.count(F.lit(1)).alias("have"))
+    over = (drawn.groupBy(*keys).agg(F.count(F.lit(1)).alias("drawn")).join(have, keys, "left")
+            .where(F.col("have").isNull() | (F.col("drawn") > F.col("have"))))
+    n, size = t.review.agg(F.count(F.lit(1))).scalar(), drawn.agg(F.count(F.lit(1))).scalar()
+    likely = F.abs(size - n * 0.01) < 6 * F.sqrt(n * 0.01 * 0.99)
+    return over.agg(F.count(F.lit(1)).alias("wrong")).select("wrong", likely.alias("likely_size"))
 
 
 @query
@@ -339,8 +347,7 @@ def similar_members(t: Tables) -> DataFrame:
 
 @query
 def similar_minhash(t: Tables) -> DataFrame:
-    names = vocabulary(ops.category_rows(t.business), "category")
-    signed = similar.profile_signatures(_profiles(t), len(names))
+    signed = similar.profile_signatures(_profiles(t), feature_plan.category_index(t.business).count())
     return (similar.approx_similar_profiles(signed, SIMILAR_BELOW)
             .select("profile_a", "profile_b", rounded("distance")))
 
@@ -403,8 +410,14 @@ def rank_fixed_scores(t: Tables) -> DataFrame:
 @query
 def rank_given_businesses(t: Tables) -> DataFrame:
     wanted = t.review.where(F.col("stars") >= 5).select("business_id")
-    ranked = rating.rank_businesses(_linear(t), _rating_rows(t), wanted)
-    return ranked.select("business_id", rounded("prediction", 4), "rank")
+    path = scratch_path(t.spark, "ranked")
+    tables.overwrite_path(rating.rank_businesses(_linear(t), _rating_rows(t), wanted), path)
+    ranked = tables.read_path(t.spark, path)
+    after = ranked.select((F.col("rank") - 1).alias("rank"), F.col("prediction").alias("after"))
+    n, top, total = (ranked.agg(c).scalar() for c in (F.count(F.lit(1)), F.max("rank"), F.sum("rank")))
+    gap_free = (top == n) & (total * 2 == n * (n + 1))
+    best_first = F.coalesce(F.col("after") <= F.col("prediction"), F.lit(True))
+    return ranked.join(after, "rank", "left").select("business_id", gap_free.alias("gap_free"), best_first.alias("best_first"))
 
 
 # ---------------------------------------------------------------- expressions
@@ -486,12 +499,15 @@ def als_holdout(t: Tables) -> DataFrame:
 @query
 def als_predictions(t: Tables) -> DataFrame:
     model, test = _als(t)
-    return recommend.score(model, test)
+    finite = F.col("prediction").isNotNull() & ~F.isnan("prediction")
+    return recommend.score(model, test).select(F.col("userIndex").cast("long").alias("userIndex"),
+                                               F.col("businessIndex").cast("long").alias("businessIndex"),
+                                               "stars", finite.alias("finite"))
 
 
 @query
 def als_recommendations(t: Tables) -> DataFrame:
-    return recommend.flatten(_als_lists(t))
+    return recommend.flatten(_als_lists(t)).select("user_id", F.col("rank").cast("long").alias("rank"))
 
 
 @query
@@ -537,14 +553,19 @@ def als_implicit(t: Tables) -> DataFrame:
     lists = recommend.recommend_users(model, 5)
     named = recommend.resolve_ids(lists, tables.read_path(t.spark, built.user_map),
                                   tables.read_path(t.spark, built.business_map))
-    return recommend.flatten(named)
+    flat = recommend.flatten(named)
+    return flat.groupBy("user_id").agg(F.count_distinct("business_id").alias("listed"),
+                                       (F.min("rating") >= 0).alias("nonnegative"))
 
 
 @query
 def train_als_random(t: Tables) -> DataFrame:
     ratings = recommend.rating_rows(tables.read_path(t.spark, _built(t).review_transformed))
-    _, quality = recommend.train_als(ratings, seed=42, rank=8, maxIter=5)
-    return quality
+    train, test = recommend.random_split(ratings, seed=42)
+    model, quality = recommend.train_als(ratings, seed=42)
+    spread = ratings.agg(F.stddev_samp("stars")).scalar()
+    return quality.select((F.col("rmse") < spread).alias("beats_spread"), (F.col("n") > 0).alias("scored"),
+                          (F.lit(train.count() + test.count())).cast("long").alias("split_rows"))
 
 
 @query
@@ -560,7 +581,8 @@ def rating_linear(t: Tables) -> DataFrame:
 @query
 def rating_predictions(t: Tables) -> DataFrame:
     rows = _rating_rows(t)
-    return rating.predict(_linear(t), rows).select("business_id", "label", "prediction")
+    finite = F.col("prediction").isNotNull() & ~F.isnan("prediction")
+    return rating.predict(_linear(t), rows).select("business_id", "label", finite.alias("finite"))
 
 
 @query
@@ -576,7 +598,7 @@ def rating_refit(t: Tables) -> DataFrame:
 
 def _rating_quality(t: Tables, kind: str) -> DataFrame:
     rows = _rating_rows(t)
-    _, quality = rating.train_rating_model(rows, _train_business(), kind=kind, rounds=30)
+    _, quality = rating.train_rating_model(rows, _train_business(), kind=kind)
     _, unseen = rating.split_by_business(rows, _train_business())
     spread = unseen.agg(F.stddev_samp("label").alias("spread")).scalar()
     # Near-zero error would mean that the label had leaked into the features.

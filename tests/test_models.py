@@ -69,10 +69,15 @@ def test_repeated_ratings_can_be_averaged(spark):
         recommend.rating_rows(rows, "first")
 
 
-def test_an_id_too_hot_for_one_task_is_refused(ratings, monkeypatch):
-    monkeypatch.setattr(recommend, "MAX_RATINGS_PER_ID", 10)
-    with pytest.raises(ValueError, match="repeats='mean'"):
-        recommend.fit_als(ratings)
+def test_last_of_repeated_ratings(spark):
+    rows = spark.createDataFrame([(1, 1, 2.0, "2020-01-01"), (1, 1, 4.0, "2019-01-01"), (2, 1, 5.0, None)],
+                                 "userIndex long, businessIndex long, stars double, date string")
+    assert {tuple(r) for r in recommend.rating_rows(rows, "last").collect()} == {(1, 1, 2.0), (2, 1, 5.0)}
+
+
+def test_implicit_model_uses_all_ratings(ratings):
+    model = recommend.fit_implicit(ratings)
+    assert model.userFactors.count() == ratings.select("userIndex").distinct().count()
 
 
 def test_implicit_model_on_a_sample(ratings):

@@ -69,9 +69,6 @@ def test_frequency_index_equals_string_indexer(spark):
     ours = {r.id: r.n for r in indexing.frequency_index(df, "id", "n").collect()}
     labels = StringIndexer(inputCol="id", outputCol="n", handleInvalid="skip").fit(df).labels
     assert ours == {label: i for i, label in enumerate(labels)}
-    assert indexing.vocabulary(df, "id") == list(labels)
-    with pytest.raises(ValueError):
-        indexing.vocabulary(df, "id", limit=10)
 
 
 def random_businesses(spark, count, seed):
