@@ -1,4 +1,8 @@
-"""Bootstrap and incremental ingest of the three entities into catalog tables."""
+"""Bootstrap and incremental ingest of the three entities into catalog tables.
+
+Every job stores what it rejects: ``<prefix><entity>_rejected`` holds the parsed columns, the raw
+text or the reason in ``_bad_line``, and the file in ``_path``.
+"""
 
 from __future__ import annotations
 
@@ -8,58 +12,95 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placewise.operators.business import latest_by_key
+from placewise.schemas import entity_schema
+from placewise.session import scratch_path
 from placewise.sources.bundles import list_bundles, scan_member
-from placewise.sources.json_lines import accepted, read_entity
-from placewise.sources.tables import append_table, overwrite_table
+from placewise.sources.json_lines import (BAD_LINE, LINE, LINE_JSON, MODIFIED, PATH, accepted, extra_columns,
+                                          rejected, scan_entity, scan_inferred, with_place)
+from placewise.sources.tables import append_table, overwrite_table, read_path
 
 # Entities that keep one row per key; a review is an event and stays as it came.
 KEYED = {"business": "business_id", "user": "user_id"}
+PLACE = [MODIFIED, PATH, LINE]
+
 
+def newest(records: DataFrame, entity: str) -> DataFrame:
+    """One record per business or user: that of the newest file, in it the last line.
 
-def unique(records: DataFrame, entity: str) -> DataFrame:
-    """One record per business or user. Among several the choice is the greatest record,
-    so that a rerun picks the same one."""
+    Equal places (records that came without one) are decided by the record, so a rerun picks the same.
+    """
+    place = [c for c in PLACE if c in records.columns]
     if entity not in KEYED:
-        return records
-    key = KEYED[entity]
-    return latest_by_key(records, key, [F.col(c) for c in records.columns if c != key])
+        return records.drop(*place)
+    rest = [F.col(c) for c in records.columns if c not in (KEYED[entity], *place)]
+    return latest_by_key(records, KEYED[entity], [*map(F.col, place), *rest]).drop(*place)
 
 
-def ingest(spark: SparkSession, paths: Mapping[str, str], mode: str = "overwrite",
-           prefix: str = "", fmt: str = "parquet") -> dict[str, str]:
+def ingest(spark: SparkSession, paths: Mapping[str, str], mode: str = "overwrite", prefix: str = "",
+           fmt: str = "parquet", infer: bool = False) -> dict[str, str]:
     """Load JSON-lines files into tables ``<prefix><entity>``; returns the table names.
 
-    ``paths`` maps entity to path. ``mode`` is ``overwrite`` (bootstrap) or ``append``.
+    ``paths`` maps entity to path. ``mode`` is ``overwrite`` (bootstrap) or ``append``: reviews are
+    appended, a business or user replaces the stored one. ``infer`` keeps every column of the files.
     """
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"unknown mode {mode!r}")
     tables = {}
     for entity, path in paths.items():
-        name = f"{prefix}{entity}"
-        records = unique(read_entity(spark, path, entity), entity)
-        _store(records, name, mode, fmt)
-        tables[entity] = name
+        tables[entity] = f"{prefix}{entity}"
+        scan = scan_inferred(spark, path) if infer else scan_entity(spark, path, entity)
+        _store(with_place(scan), entity, tables[entity], mode, fmt)
     return tables
 
 
 def ingest_bundles(spark: SparkSession, path: str, prefix: str = "", fmt: str = "parquet",
-                   entities: tuple[str, ...] = ("business", "review", "user")) -> dict[str, str]:
-    """Append all bundles under ``path`` to the tables.
+                   entities: tuple[str, ...] = ("business", "review", "user"), extras: bool = False) -> dict[str, str]:
+    """Bring all bundles under ``path`` into the tables, as ``ingest`` does with ``mode='append'``.
 
-    Every call appends what it reads. To take each bundle once however often it is
-    offered, use ``placewise.streaming.increments``.
+    ``extras`` keeps columns that are not declared as a map of JSON texts in ``_extra``. Every call
+    takes what it reads; to take each bundle's reviews once however often it is offered, use
+    ``placewise.streaming.increments``.
     """
     bundles = list_bundles(spark, path)
     tables = {}
     for entity in entities:
-        name = f"{prefix}{entity}"
-        _store(accepted(scan_member(bundles, entity), entity), name, "append", fmt)
-        tables[entity] = name
+        tables[entity] = f"{prefix}{entity}"
+        scan = scan_member(bundles, entity, place=True, extras=extras)
+        if extras:
+            scan = scan.withColumn("_extra", extra_columns(F.col(LINE_JSON), entity_schema(entity).names)).drop(LINE_JSON)
+        when = bundles.select(F.col("path").alias(PATH), F.col("modificationTime").alias(MODIFIED))
+        _store(scan.join(when, PATH), entity, tables[entity], "append", fmt)
     return tables
 
 
-def _store(records: DataFrame, name: str, mode: str, fmt: str) -> None:
+def merge_table(records: DataFrame, name: str, key: str, fmt: str = "parquet") -> None:
+    """Replace the stored rows of the keys in ``records`` (one row each) and add the others.
+
+    The new version is written beside the table and then takes its place.
+    """
+    spark = records.sparkSession
+    if not spark.catalog.tableExists(name):
+        return overwrite_table(records, name, fmt)
+    path = scratch_path(spark, "merged")
+    kept = spark.table(name).join(records.select(key), key, "left_anti")
+    kept.unionByName(records, allowMissingColumns=True).write.format(fmt).save(path)
+    return overwrite_table(read_path(spark, path, fmt), name, fmt)
+
+
+def _store(scanned: DataFrame, entity: str, name: str, mode: str, fmt: str) -> None:
+    good = newest(accepted(scanned, entity), entity)
+    bad = rejected(scanned, entity).drop(MODIFIED, LINE)
     if mode == "overwrite":
-        overwrite_table(records, name, fmt)
-    elif mode == "append":
-        append_table(records, name, fmt)
+        overwrite_table(good, name, fmt)
+        overwrite_table(bad, f"{name}_rejected", fmt)
+        return
+    if entity in KEYED:
+        merge_table(good, name, KEYED[entity], fmt)
     else:
-        raise ValueError(f"unknown mode {mode!r}")
+        append_table(good, name, fmt, widen=True)
+    append_table(bad, f"{name}_rejected", fmt, widen=True)
+
+
+def quarantine(spark: SparkSession, name: str) -> DataFrame:
+    """(_path, _bad_line) of everything a job rejected for table ``name``."""
+    return spark.table(f"{name}_rejected").select(PATH, BAD_LINE)

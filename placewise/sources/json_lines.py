@@ -36,6 +36,22 @@ def _is_good(entity: str) -> Column:
     return reduce(lambda a, b: a & b, keyed, F.col(BAD_LINE).isNull())
 
 
+def with_place(scanned: DataFrame) -> DataFrame:
+    """A file scan plus where each record stood (``_modified``, ``_path``, ``_line``).
+
+    Lines of a file are in the order of ``_line``: the start of its split, then the row's number in it.
+    """
+    row = F.monotonically_increasing_id()
+    return scanned.select("*", F.col("_metadata.file_modification_time").alias(MODIFIED), F.col("_metadata.file_path").alias(PATH),
+                          F.struct(F.col("_metadata.file_block_start").alias("split"), row.alias("row")).alias(LINE)).drop("_metadata")
+
+
+def extra_columns(line: Column, declared: list[str]) -> Column:
+    """The members of a JSON line that are not declared, as a map of JSON texts."""
+    every = F.from_json(line, "map<string,string>")
+    return F.map_filter(every, lambda name, _: ~name.isin(declared))
+
+
 def _keyed(scanned: DataFrame, entity: str) -> DataFrame:
     """Inferred columns may lack the key, if no line has it."""
     return scanned.withColumns({k: F.lit(None).cast("string") for k in ENTITY_KEY[entity] if k not in scanned.columns})

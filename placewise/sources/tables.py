@@ -33,10 +33,14 @@ def align_to(df: DataFrame, target: DataFrame) -> DataFrame:
                        .cast(f.dataType).alias(f.name) for f in target.schema.fields])
 
 
-def append_table(df: DataFrame, name: str, fmt: str = DEFAULT_FORMAT) -> None:
-    """Append a batch whose columns may be a subset of the table's."""
+def append_table(df: DataFrame, name: str, fmt: str = DEFAULT_FORMAT, widen: bool = False) -> None:
+    """Append a batch whose columns may be a subset of the table's; ``widen`` adds new columns to the table."""
     spark = df.sparkSession
     if spark.catalog.tableExists(name):
+        known = spark.table(name).columns
+        new = [f for f in df.schema.fields if f.name not in known]
+        if widen and new:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
         df = align_to(df, spark.table(name))
     df.write.mode("append").format(fmt).saveAsTable(name)
 

@@ -1,23 +1,28 @@
 """Incremental ingest: every newly arrived file or bundle is taken exactly once.
 
-The file source remembers in its checkpoint which files it has taken, and the Parquet
-sink publishes a micro-batch only when it is complete, so neither a second run nor a
-run repeated after a failure adds a record twice.
+The file source remembers in its checkpoint which files it has taken. A micro-batch is written to a
+folder of its own number, replacing what a broken attempt left there, so neither a second run nor
+a run repeated after a failure adds a record twice. Rejected records of the same batch go to
+``<target>_rejected`` in the same way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placewise.operators.business import latest_by_key
+from placewise.plans.ingest import KEYED, merge_table
 from placewise.schemas import entity_schema
 from placewise.sources.bundles import BINARY_FILE_DDL, MEMBERS, scan_member
-from placewise.sources.json_lines import BAD_LINE, accepted, with_bad_line
+from placewise.sources.json_lines import (BAD_LINE, LINE, LINE_JSON, MODIFIED, PATH, accepted, extra_columns, rejected,
+                                          with_bad_line, with_place)
 
-ARRIVED = "_arrived"
+BATCH = "_batch"
+PLACE = [MODIFIED, PATH, LINE]
 
 
 def ingest_new_files(spark: SparkSession, source: str, entity: str, target: str, checkpoint: str,
@@ -26,44 +31,89 @@ def ingest_new_files(spark: SparkSession, source: str, entity: str, target: str,
     arriving = (spark.readStream.schema(with_bad_line(entity_schema(entity)))
                 .option("columnNameOfCorruptRecord", BAD_LINE)
                 .option("maxFilesPerTrigger", files_per_batch).json(source))
-    _take(accepted(arriving, entity), target, f"{checkpoint}/{entity}")
+    # A row's number can only be told inside a batch, so the files' metadata travels until there.
+    _take(arriving.select("*", "_metadata"), entity, target, f"{checkpoint}/{entity}", with_place)
 
 
 def ingest_new_bundles(spark: SparkSession, source: str, target: str, checkpoint: str,
-                       entities: Iterable[str] = tuple(MEMBERS), bundles_per_batch: int = 100) -> None:
-    """Take the zip bundles that arrived since the last call into ``<target>/<entity>``, then stop."""
+                       entities: Iterable[str] = tuple(MEMBERS), bundles_per_batch: int = 100, extras: bool = False) -> None:
+    """Take the zip bundles that arrived since the last call into ``<target>/<entity>``, then stop.
+
+    ``extras`` keeps columns that are not declared as a map of JSON texts in ``_extra``.
+    """
     for entity in entities:
         arriving = (spark.readStream.format("binaryFile").schema(BINARY_FILE_DDL)
-                    .option("maxFilesPerTrigger", bundles_per_batch).load(source).select("path"))
-        _take(accepted(scan_member(arriving, entity), entity), f"{target}/{entity}", f"{checkpoint}/{entity}")
+                    .option("maxFilesPerTrigger", bundles_per_batch).load(source)
+                    .select("path", "modificationTime"))
+
+        def scan(batch: DataFrame, entity=entity) -> DataFrame:
+            records = scan_member(batch, entity, place=True, extras=extras)
+            if extras:
+                records = records.withColumn("_extra", extra_columns(F.col(LINE_JSON), entity_schema(entity).names)).drop(LINE_JSON)
+            return records.join(batch.select(F.col("path").alias(PATH), F.col("modificationTime").alias(MODIFIED)), PATH)
+
+        _take(arriving, entity, f"{target}/{entity}", f"{checkpoint}/{entity}", scan)
+
+
+def taken_records(spark: SparkSession, target: str) -> DataFrame:
+    """Everything taken so far with its place (file time, file, line)."""
+    return spark.read.parquet(target).drop(BATCH)
 
 
 def all_records(spark: SparkSession, target: str) -> DataFrame:
     """Everything taken so far, as it came."""
-    return spark.read.parquet(target).drop(ARRIVED)
+    return taken_records(spark, target).drop(*PLACE)
+
+
+def rejected_records(spark: SparkSession, target: str) -> DataFrame:
+    """Everything rejected so far, with its file and raw text or reason."""
+    return spark.read.parquet(f"{target}_rejected").drop(BATCH)
 
 
 def current_records(spark: SparkSession, target: str, key: str) -> DataFrame:
-    """The record of each key that arrived last; within one batch the greatest record."""
-    return _newest(spark.read.parquet(target), key)
+    """The record of each key from the newest file, in it the last line."""
+    return _newest(taken_records(spark, target), key)
 
 
 def with_increments(base: DataFrame, target: str, key: str | None = None) -> DataFrame:
     """A bootstrap table followed by what arrived since; with ``key`` the newest record of each."""
-    taken = base.sparkSession.read.parquet(target)
+    taken = taken_records(base.sparkSession, target)
     if key is None:
-        return base.unionByName(taken.drop(ARRIVED))
-    return _newest(base.withColumn(ARRIVED, F.lit(None).cast("timestamp")).unionByName(taken), key)
+        return base.unionByName(taken.drop(*PLACE), allowMissingColumns=True)
+    arrived = _newest(taken, key)
+    return base.join(arrived.select(key), key, "left_anti").unionByName(arrived, allowMissingColumns=True)
+
+
+def update_tables(spark: SparkSession, source: str, target: str, checkpoint: str, prefix: str = "", fmt: str = "parquet") -> dict[str, str]:
+    """One job from newly arrived bundles to the tables that ``build_features`` reads.
+
+    New bundles are taken once; then a business or user replaces its stored row by its newest record, and the
+    review table is the reviews it started with (``<prefix>review_base``, if any) and all taken ones.
+    """
+    ingest_new_bundles(spark, source, target, checkpoint)
+    tables = {}
+    for entity in MEMBERS:
+        tables[entity] = name = f"{prefix}{entity}"
+        if entity in KEYED:
+            merge_table(current_records(spark, f"{target}/{entity}", KEYED[entity]), name, KEYED[entity], fmt)
+            continue
+        parts = [all_records(spark, f"{target}/{entity}")]
+        if spark.catalog.tableExists(f"{name}_base"):
+            parts.insert(0, spark.table(f"{name}_base"))
+        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).write.mode("overwrite").format(fmt).saveAsTable(name)
+    return tables
 
 
 def _newest(stored: DataFrame, key: str) -> DataFrame:
-    rest = [F.col(c) for c in stored.columns if c not in (key, ARRIVED)]
-    return latest_by_key(stored, key, [F.col(ARRIVED), *rest]).drop(ARRIVED)
+    rest = [F.col(c) for c in stored.columns if c not in (key, *PLACE)]
+    return latest_by_key(stored, key, [*map(F.col, PLACE), *rest]).drop(*PLACE)
+
 
+def _take(arriving: DataFrame, entity: str, target: str, checkpoint: str, scan=None) -> None:
+    def store(batch: DataFrame, number: int) -> None:
+        records = scan(batch) if scan else batch
+        accepted(records, entity).write.mode("overwrite").parquet(f"{target}/{BATCH}={number}")
+        (rejected(records, entity).drop(MODIFIED, LINE).write.mode("overwrite").parquet(f"{target}_rejected/{BATCH}={number}"))
 
-def _take(records: DataFrame, target: str, checkpoint: str) -> None:
-    # In a stream the current timestamp is the start of the micro-batch.
-    (records.withColumn(ARRIVED, F.current_timestamp())
-     .writeStream.format("parquet").option("path", target)
-     .option("checkpointLocation", checkpoint)
+    (arriving.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())

@@ -1,11 +1,12 @@
 import json
+import os
 import zipfile
 
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from placewise.plans.ingest import ingest, ingest_bundles
+from placewise.plans.ingest import ingest, ingest_bundles, quarantine
 from placewise.sources import bundles, json_lines, tables
 from placewise.streaming import increments
 
@@ -40,6 +41,8 @@ def test_inferred_schema_keeps_every_column(spark, tmp_path):
     path = write_lines(tmp_path / "review.json", [{"user_id": "u", "business_id": "b", "stars": 3.0, "text": "hi"}])
     df = json_lines.read_entity(spark, path, "review", infer=True)
     assert sorted(df.columns) == ["business_id", "stars", "text", "user_id"]
+    path = write_lines(tmp_path / "mixed" / "user.json", [{"user_id": "u1"}, {"fans": 2}, "junk"])
+    assert json_lines.read_entity(spark, path, "user", infer=True).select("user_id").collect() == [("u1",)]
 
 
 def test_bootstrap_keeps_one_record_per_key(spark, tmp_path):
@@ -82,7 +85,7 @@ def test_bundles_append_to_tables(spark, tmp_path):
                                          "review.json": [{"user_id": "u1", "business_id": "b1", "stars": 2}]})
     for _ in range(2):
         names = ingest_bundles(spark, f"{tmp_path}/z/*.zip", prefix="zipped.")
-    assert {e: spark.table(n).count() for e, n in names.items()} == {"business": 2, "review": 2, "user": 2}
+    assert {e: spark.table(n).count() for e, n in names.items()} == {"business": 1, "review": 2, "user": 1}
 
 
 def test_new_files_are_taken_once_and_last_record_wins(spark, tmp_path):
@@ -122,3 +125,60 @@ def test_reviews_without_user_are_kept(spark, tmp_path):
 def test_json_view(spark, tmp_path):
     json_lines.create_json_view(spark, "json_users", write_lines(tmp_path / "u.json", [{"user_id": "u1", "fans": 2}]))
     assert spark.sql("SELECT user_id, fans FROM json_users").collect() == [("u1", 2)]
+
+
+def test_rejected_records_and_all_columns_are_stored(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS wide")
+    path = write_lines(tmp_path / "r" / "review.json", [{"user_id": "u", "business_id": "b", "stars": 3.0, "text": "hi", "date": "2020-01-01"}, "junk"])
+    names = ingest(spark, {"review": path}, prefix="wide.", infer=True)
+    assert sorted(spark.table(names["review"]).columns) == ["business_id", "date", "stars", "text", "user_id"]
+    assert spark.table(names["review"]).count() == 1
+    [(source, line)] = quarantine(spark, names["review"]).collect()
+    assert line == "junk" and source.endswith("review.json")
+
+
+def test_newer_file_wins_even_if_smaller(spark, tmp_path):
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    old = write_lines(source / "z.json", [{"user_id": "u", "fans": 99}])
+    write_lines(source / "a.json", [{"user_id": "u", "fans": 5}, {"user_id": "v", "fans": 9}, {"user_id": "v", "fans": 1}, {"fans": 3}])
+    os.utime(old, (1_600_000_000, 1_600_000_000))
+    increments.ingest_new_files(spark, str(source), "user", target, str(tmp_path / "done"))
+    current = {r.user_id: r.fans for r in increments.current_records(spark, target, "user_id").collect()}
+    assert current == {"u": 5, "v": 1}
+    assert [r.fans for r in increments.rejected_records(spark, target).collect()] == [3]
+
+
+def test_append_replaces_stored_keys(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS merged")
+    first = write_lines(tmp_path / "1" / "business.json", [BUSINESS, {**BUSINESS, "business_id": "b2"}])
+    second = write_lines(tmp_path / "2" / "business.json", [{**BUSINESS, "stars": 1.0}, {**BUSINESS, "business_id": "b3"}])
+    ingest(spark, {"business": first}, prefix="merged.")
+    names = ingest(spark, {"business": second}, mode="append", prefix="merged.")
+    assert {r.business_id: r.stars for r in spark.table(names["business"]).collect()} == {"b1": 1.0, "b2": 4.5, "b3": 4.5}
+
+
+def test_hostile_bundles_are_quarantined_and_the_stream_goes_on(spark, tmp_path):
+    folder, target = tmp_path / "zips", str(tmp_path / "out")
+    write_zip(folder / "1.zip", {"user.json": [{"user_id": "u1", "fans": 1, "extra": "kept"}]})
+    with zipfile.ZipFile(folder / "2.zip", "w") as archive:
+        archive.writestr("user.json", b'{"user_id": "u2", "elite": "\xff"}\nbr\xffken\n')
+    (folder / "3.zip").write_bytes((folder / "1.zip").read_bytes()[:40])
+    increments.ingest_new_bundles(spark, f"{folder}/*.zip", target, str(tmp_path / "done"), entities=("user",), extras=True)
+    kept = {r.user_id: (r.elite, r._extra) for r in increments.all_records(spark, f"{target}/user").collect()}
+    assert kept == {"u1": (None, {"extra": "kept"}), "u2": ("\ufffd", {})}
+    bad = increments.rejected_records(spark, f"{target}/user").collect()
+    assert sorted((r._path.rsplit("/", 1)[1], r._bad_line.split(":")[0]) for r in bad) == [("2.zip", "br\ufffdken"), ("3.zip", "BadZipFile")]
+
+
+def test_update_job_from_bundles_to_tables(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS updated")
+    folder, target, done = tmp_path / "zips", str(tmp_path / "out"), str(tmp_path / "done")
+    review = {"user_id": "u1", "business_id": "b1", "stars": 2}
+    write_zip(folder / "1.zip", {"business.json": [BUSINESS], "user.json": [{"user_id": "u1", "fans": 9}], "review.json": [review]})
+    for _ in range(2):
+        increments.update_tables(spark, f"{folder}/*.zip", target, done, prefix="updated.")
+    write_zip(folder / "2.zip", {"business.json": [{**BUSINESS, "stars": 1.0}], "user.json": [{"user_id": "u1", "fans": 3}], "review.json": [review, review]})
+    names = increments.update_tables(spark, f"{folder}/*.zip", target, done, prefix="updated.")
+    assert [r.stars for r in spark.table(names["business"]).collect()] == [1.0]
+    assert [r.fans for r in spark.table(names["user"]).collect()] == [3]
+    assert spark.table(names["review"]).count() == 3

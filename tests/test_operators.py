@@ -216,7 +216,7 @@ def test_features_of_awkward_businesses(spark):
     one = features.rating_features(business, ops.review_counts(review)).collect()
     assert [(r.business_id, r.label, len(r.features)) for r in one] == [("full", 4.0, 7)]
     with pytest.raises(ValueError):
-        features.encode_categories(features.joined_features(business, ops.review_counts(review)), [])
+        features.encode_categories(features.joined_features(business, ops.review_counts(review)), features.category_index(business.limit(0)))
 
 
 def test_shared_folder_comes_from_the_session(spark, monkeypatch):
@@ -238,3 +238,10 @@ def test_shared_folder_comes_from_the_session(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         session.shared_dir(Remote)
+
+
+@pytest.mark.parametrize("limit", [0, -0.1, 1.5])
+def test_limits_that_cannot_be_met_are_refused(spark, limit):
+    known = spark.createDataFrame([("b1", [1, 2])], "profile string, slots array<int>")
+    with pytest.raises(ValueError, match="max_distance"):
+        similar.similar_profiles(known, limit)
