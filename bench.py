@@ -5,9 +5,11 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from placewise.plans import rating, recommend
+from placewise.plans.ingest import ingest_bundles
 from placewise.plans.features import build_features, rating_features
 from placewise.operators import similar
 from placewise.operators.indexing import frequency_index
@@ -16,7 +18,7 @@ from placewise.operators.nearest import nearest, nearest_to
 from placewise.session import builder, scratch_path
 from placewise.sources.tables import overwrite_path, read_path, write_by_key
 from placewise.streaming.increments import ingest_new_files
-from placewise.suite.fixtures import Tables
+from placewise.suite.fixtures import Tables, full_business, write_bundles
 
 
 def materialize(df) -> None:
@@ -29,6 +31,7 @@ def main() -> None:
     spark = (builder("bench").master(f"local[{cpus}]")
              .config("spark.sql.shuffle.partitions", cpus)
              .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
+             .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="bench-"))
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
@@ -51,6 +54,10 @@ def main() -> None:
         print(f"{name}: {seconds[name]}", file=sys.stderr, flush=True)
         return results[name]
 
+    bundled = write_bundles({"business": full_business(business), "review": review, "user": user}, 4, scratch_path(spark, "bench-zips"))
+    spark.range(1000).count()  # the first job pays for the session's start
+    spark.sql("CREATE DATABASE IF NOT EXISTS bench_tables LOCATION '" + scratch_path(spark, "bench-db") + "'")
+    timed("bundle_ingest", lambda: ingest_bundles(spark, bundled, prefix="bench_tables."))
     timed("incremental_ingest", lambda: ingest_new_files(
         spark, arriving, "review", scratch_path(spark, "bench-taken"), scratch_path(spark, "bench-progress")))
     timed("id_index", lambda: materialize(frequency_index(review, "user_id", "userIndex")))
@@ -67,15 +74,19 @@ def main() -> None:
     ratings = recommend.rating_rows(read_path(spark, built.review_transformed))
     train, test = recommend.random_split(ratings, seed=42)
     model = timed("als_fit", lambda: recommend.fit_als(train))
+    timed("als_implicit_fit", lambda: recommend.fit_implicit(ratings))
     timed("als_score", lambda: materialize(recommend.score(model, test)))
     lists = scratch_path(spark, "bench-lists")
     timed("als_top20_all_users", lambda: write_by_key(recommend.recommend_all(
         model, read_path(spark, built.user_map), read_path(spark, built.business_map)), lists, "user_id"))
     timed("list_lookup", lambda: materialize(recommendations_for(read_path(spark, lists), user)))
 
-    rows = rating_features(business, read_path(spark, built.review_counts).drop("n"))
+    rated = scratch_path(spark, "bench-rating-rows")
+    timed("rating_rows", lambda: overwrite_path(
+        rating_features(business, read_path(spark, built.review_counts).drop("n")), rated))
+    rows = read_path(spark, rated)
     linear = timed("linear_fit", lambda: rating.fit_rating_model(rows, "linear"))
-    timed("trees_fit_20_rounds", lambda: rating.fit_rating_model(rows, "gbt", rounds=20))
+    timed("trees_fit", lambda: rating.fit_rating_model(rows, "gbt"))
     timed("rank_all", lambda: materialize(rating.rank_businesses(linear, rows, review.where("stars >= 4"))))
 
     total = round(sum(seconds.values()), 3)

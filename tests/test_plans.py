@@ -50,10 +50,12 @@ def test_category_fan_out_needs_no_join(tables):
     assert count("Exchange", text) == 0 and "Join" not in text
 
 
-def test_feature_table_shuffles_only_for_the_counts(spark, built, shuffled):
+def test_feature_table_shuffles_for_counts_and_category_numbers(spark, built, shuffled):
+    """The rows move once for the review counts and once for the numbers of their categories, which may
+    be many; the index moves once, and twice more as one row for each of its sort partitions."""
     counts = read_path(spark, built.review_counts).drop("n")
     text = plan(features.business_features(read_path(spark, built.business), counts))
-    assert count("Exchange", text) == 2 and count("SortMergeJoin", text) == 1
+    assert count("Exchange", text) == 6 and count("SortMergeJoin", text) == 2
     assert "EvalPython" not in text and no_cross_join(text)
 
 
