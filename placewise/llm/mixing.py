@@ -119,7 +119,8 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, powers: di
     targets = targets or {m: powered_targets(cells, m, p) for m, p in (powers or POWERS).items()}
     probability = F.when(F.col("cell_tokens") > 0, F.least(
         F.lit(1.0), F.lit(rate) * F.col("weight") / F.col("cell_tokens"))).otherwise(F.least(F.lit(1.0), F.lit(rate)))
-    weighted = rake(cells, targets, rounds).withColumnRenamed("tokens", "cell_tokens")
+    # Written, so that Spark knows its size and, where it is small, moves no document to meet it.
+    weighted = stored(rake(cells, targets, rounds).withColumnRenamed("tokens", "cell_tokens"), "cell-weights")
     return (_joined(rows, weighted, MARGINS).withColumn("probability", probability)
             .withColumn("kept", F.col("draw") < F.col("probability")))
 
