@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placewise.llm.blocks import stored
+from placewise.session import shuffle_partitions
 
 EDITS = 1
 LEAST = 16
@@ -157,6 +158,8 @@ def verified_links(docs_lines: DataFrame, pairs: DataFrame, edits: int = EDITS)
                    .dropDuplicates(["high", "low"]), "paired-lines")
     other = texts.select(F.col("high").alias("o_high"), F.col("low").alias("o_low"), F.col("line").alias("o_line"))
     met = pairs.join(texts, ["high", "low"]).join(other, ["o_high", "o_low"])
+    # Few bytes but much work: spread by number of partitions, since sizes would leave it in a few tasks.
+    met = met.repartition(shuffle_partitions(pairs.sparkSession))
     return met.where(within_edits(F.col("line"), F.col("o_line"), edits)).select("high", "low", "o_high", "o_low")
 
 
