@@ -36,7 +36,7 @@ from placewise.session import shuffle_partitions
 EDITS = 1
 LEAST = 16
 #: Letters whose counts are compared before verification; an edit changes at most two counts by one.
-LETTERS = "etaonisr"
+LETTERS = "etaonisrhldumc"
 _LINES_BITS = 31
 
 
