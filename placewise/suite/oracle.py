@@ -256,9 +256,9 @@ _SELECTS = {
         SELECT user_id, coalesce(business_ids, '') AS business_ids FROM {_ASKED} LEFT JOIN
         (SELECT user_id, string_agg(business_id, ',' ORDER BY rk) AS business_ids FROM best GROUP BY 1) USING (user_id)""",
     "rating_trees": """
-        SELECT count(*) AS scored, true AS beats_spread, true AS no_leak FROM complete WHERE NOT train""",
+        SELECT count(*) AS scored, true AS within_spread, true AS no_leak FROM complete WHERE NOT train""",
     "rating_linear": """
-        SELECT count(*) AS scored, true AS beats_spread, true AS no_leak FROM complete WHERE NOT train""",
+        SELECT count(*) AS scored, true AS within_spread, true AS no_leak FROM complete WHERE NOT train""",
     "rating_refit": "SELECT count(*) AS scored, true AS beats_spread FROM complete",
 }
 
