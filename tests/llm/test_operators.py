@@ -435,6 +435,26 @@ def test_gradients():
         assert (sides[0] - sides[1]) / 2e-5 == pytest.approx(grad[name][at], rel=2e-2, abs=1e-6)
 
 
+def test_short_texts_tails_and_ends_are_learned():
+    """One long text among short ones: every text's end is learned."""
+    end, rng = 4999, np.random.default_rng(9)
+    lines = [np.append((np.arange(8) + rng.integers(30)) % 40, end) for _ in range(300)] + [np.append(np.arange(100, 180), end)]
+    counts = np.bincount(np.concatenate(lines), minlength=5000).astype(float)
+    model = attention.train(lines, counts, end, 300)
+    line = lines[0]
+    with_end, without = model.score([line, line[:-1]])
+    assert with_end - without > np.log10(0.3)
+
+
+def test_unscored_targets_have_no_gradient():
+    model, held_out, _ = small_model(3)
+    inputs, targets, scored = model.windows(held_out[0])
+    rows_, classes = model.row_of[inputs], model.class_of[targets]
+    other = np.where(scored, classes, (classes + 1) % attention.CLASSES)
+    (a, one), (b, two) = (attention.loss_and_gradients(model.weights, rows_, c, scored) for c in (classes, other))
+    assert a == b and all((one[k] == two[k]).all() for k in one)
+
+
 def test_chunks_encode_like_whole_texts():
     tokenizer, own = Tokenizer.from_file(subwords.default_path()), subwords.Encoder(subwords.default_path())
     rng = np.random.default_rng(8)
