@@ -446,6 +446,41 @@ def test_short_texts_tails_and_ends_are_learned():
     assert with_end - without > np.log10(0.3)
 
 
+@pytest.mark.parametrize("step", [1, 3, 4])
+def test_batches_take_each_target_once(step):
+    model, _, _ = small_model(1)
+    lines = [np.arange(n) % 40 for n in (1, 31, 33, 57, 5000, 2, 200)]
+    found = Counter()
+    for begin in range(step):
+        for _, targets, scored in attention.batches(model, lines, begin, step, seed=1):
+            found.update(targets[scored].tolist())
+    assert found == Counter(np.concatenate(lines).tolist())
+
+
+def test_model_learns_every_training_text(spark):
+    """More texts than a sample would hold, on several partitions: all ids and ends are learned."""
+    encoder, n = subwords.encoder(subwords.default_path()), 4000
+    end = encoder.tokenizer.get_vocab_size() - 1
+    texts = [f"the word {k % 97} of text {k % 89}" for k in range(n)]
+    ids = encoder.encode(texts)
+    docs = spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in enumerate(ids)], "doc_id bigint, ids binary").repartition(4)
+    counts = np.bincount(np.concatenate(ids), minlength=end + 1).astype(float)
+    counts[end] = n
+    model = lm_scoring.fit(docs, counts, encoder.dtype.str, end, steps=20)
+    assert model.learned == sum(len(x) + 1 for x in ids)
+    assert len(model.weights["rows"]) == (counts > 0).sum() + 1
+
+
+def test_rare_ids_have_rows_and_classes():
+    """Ids far down the counts have an embedding, and a class by their neighbours."""
+    rng = np.random.default_rng(10)
+    lines = [np.array([k, 5000 + k % 2, 5002 + k % 2]) for k in rng.permutation(4900)] * 2
+    counts = np.bincount(np.concatenate(lines), minlength=6000).astype(float)
+    model = attention.train(lines, counts, 5999, 1)
+    assert len(set(model.row_of[:4900])) == 4900
+    assert not (model.class_of[:4900] == attention.CLASSES - 1).any()
+
+
 def test_unscored_targets_have_no_gradient():
     model, held_out, _ = small_model(3)
     inputs, targets, scored = model.windows(held_out[0])
