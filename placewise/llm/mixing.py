@@ -7,6 +7,10 @@ The weight of a cell is its tokens times one factor for each margin, so a step r
 factors of one margin from the cells and the other factors.
 A document of a cell is drawn with probability rate * weight / tokens of the cell, at most 1.
 The draw is a hash of id and text, so a recomputed task decides alike.
+A document can be kept once at most, so a cell whose weight passes its tokens is drawn short of its weight and
+the kept documents stay between the data and the targets. ``copies`` has no such bound: it is
+the whole part of rate * weight / tokens, plus one with the probability of the rest, and meets the targets
+in the mean. ``sampled(docs, repeat=True)`` writes each document so many times.
 
 All of it is DataFrame work. Only cells and margins are shuffled more than once, each margin is
 summed before its shuffle, and joins to cells and margins broadcast only where Spark finds the
@@ -109,7 +113,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
 
 def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, powers: dict[str, float] | None = None,
         rounds: int = ROUNDS, rate: float = RATE, **columns) -> DataFrame:
-    """``described(docs)`` with the cell's weight, the document's ``probability`` and whether it is ``kept``.
+    """``described(docs)`` with the cell's weight, the document's ``probability``, whether it is ``kept`` and its ``copies``.
 
     Without ``targets`` (a table of value and share for each margin) they follow ``powers``.
     """
@@ -117,17 +121,21 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, powers: di
     cells = rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"))
     cells = stored(cells, "cells")
     targets = targets or {m: powered_targets(cells, m, p) for m, p in (powers or POWERS).items()}
-    probability = F.when(F.col("cell_tokens") > 0, F.least(
-        F.lit(1.0), F.lit(rate) * F.col("weight") / F.col("cell_tokens"))).otherwise(F.least(F.lit(1.0), F.lit(rate)))
+    times = F.when(F.col("cell_tokens") > 0, F.lit(rate) * F.col("weight") / F.col("cell_tokens")).otherwise(F.lit(rate))
+    probability, whole = F.least(F.lit(1.0), times), F.floor(times)
+    copies = whole + (F.col("draw") < times - whole).cast("long")
     # Written, so that Spark knows its size and, where it is small, moves no document to meet it.
     weighted = stored(rake(cells, targets, rounds).withColumnRenamed("tokens", "cell_tokens"), "cell-weights")
     return (_joined(rows, weighted, MARGINS).withColumn("probability", probability)
-            .withColumn("kept", F.col("draw") < F.col("probability")))
+            .withColumn("kept", F.col("draw") < F.col("probability")).withColumn("copies", copies))
 
 
-def sampled(docs: DataFrame, **options) -> DataFrame:
-    """The drawn documents, with their own columns."""
-    return mix(docs, **options).where("kept").select("row.*")
+def sampled(docs: DataFrame, repeat: bool = False, **options) -> DataFrame:
+    """The drawn documents, with their own columns; with ``repeat`` each as often as it has ``copies``."""
+    mixed = mix(docs, **options)
+    if not repeat:
+        return mixed.where("kept").select("row.*")
+    return mixed.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
 def mix_sql(rounds: int = ROUNDS, rate: float = RATE, powers: dict[str, float] | None = None) -> str:

@@ -215,6 +215,21 @@ def test_mix_draws_by_probability(odd, rows, spark):
         assert r.got == pytest.approx(r.p, abs=0.05)
 
 
+def test_drawn_copies_meet_targets(spark):
+    """90 % English and a hot source: token shares of what is written, not only the weights, meet the targets."""
+    n = F.col("id")
+    docs = spark.range(6000).select(
+        n.alias("doc_id"), F.concat(F.lit("a b c d "), n).alias("text"), F.when(n % 10 == 0, "de").otherwise("en").alias("lang"),
+        F.when(n % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.floor(n / 3) % 7)).alias("source"))
+    out = mixing.sampled(docs, repeat=True)
+    total = out.count()
+    for column, power in (("lang", 0.5), ("source", 0.7)):
+        sizes = {r[0]: r[1] ** power for r in docs.groupBy(column).count().collect()}
+        for value, count in out.groupBy(column).count().collect():
+            assert count / total == pytest.approx(sizes[value] / sum(sizes.values()), abs=0.01)
+    assert total == pytest.approx(6000, rel=0.02) and out.columns == docs.columns
+
+
 # ---------------------------------------------------------------- 5 tokens
 
 def test_token_files_round_trip(odd, rows):
