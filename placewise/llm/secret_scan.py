@@ -1,18 +1,19 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
-Every run of key-like characters with a digit, and every value assigned to a name, is a
+Every run of key-like characters with a digit or a known prefix, and every value assigned to a name, is a
 candidate. Its features are those that tell keys from ordinary strings: length, character
 transitions (how usual each step from character to character is in the corpus, and how often
-the class changes), coverage by a dictionary of the corpus's short words, signs of a path, and
+the class changes), coverage by a dictionary of the corpus's words, signs of a path, and
 the words around it. A Spark ML random forest, trained from labelled findings, gives each
 candidate its probability of being a secret.
 
 Statistics come from all documents: the table of character steps has ``N_CLASSES`` squared
-cells, and the dictionary keeps the ``DICTIONARY_WORDS`` most frequent words of three or four
-letters, so both have a fixed size, whatever the corpus. The forest is fit on at most
+cells, and the dictionary keeps the ``DICTIONARY_WORDS`` most frequent words of three letters
+or more, so both have a fixed size, whatever the corpus. The forest is fit on at most
 ``TRAIN_ROWS`` labelled findings of each label, those of the smallest hash. Where no labelled
-findings are given, ``rule_labels`` labels the candidates by strict rules on value and name.
-If one label is missing there is nothing to learn, and the label rule decides alone.
+findings are given, ``rule_labels`` labels the candidates by rules on value, name and the words
+before; what they leave open is not learned from. If one label is missing there is nothing to learn:
+the label rule decides alone, and what it leaves open is reported as a secret with score 0.5.
 
 Defined results: a null or empty text has no candidates; repeated rows give repeated findings;
 an empty table gives an empty table; of the input only the id and text columns are read. Values
@@ -35,12 +36,18 @@ from placewise.llm.blocks import as_bytes, over_blocks, stored, whole_text
 
 LEAST = 16
 LEAST_ASSIGNED = 8
-#: A run of key characters, or a quoted or bare value after = or : and a name.
+#: A run of key characters, or a quoted or bare value after = or : and a name (quoted or not), or after Bearer.
 CANDIDATE = re.compile(
-    r"(?P<name>[A-Za-z][A-Za-z0-9_\-]{1,40})[ \t]{0,2}[:=][ \t]{0,2}[\"']?(?P<value>[A-Za-z0-9+/_=\-.~!@#%%^]{%d,})"
-    r"|(?P<run>[A-Za-z0-9+/_=\-]{%d,})" % (LEAST_ASSIGNED, LEAST))
+    r"(?P<name>[A-Za-z][A-Za-z0-9_\-]{1,40})[\"']?[ \t]{0,2}[:=][ \t]{0,2}[\"']?(?:(?i:bearer|basic|token)[ \t]{1,2})?"
+    r"(?P<value>[A-Za-z0-9+/_=\-.~!@#%%^]{%d,})"
+    r"|(?P<scheme>(?i:bearer))[ \t]{1,2}[\"']?(?P<shown>[A-Za-z0-9+/_=\-.~]{%d,})"
+    r"|(?P<run>[A-Za-z0-9+/_=\-]{%d,})" % (LEAST_ASSIGNED, LEAST_ASSIGNED, LEAST))
 HAS_DIGIT = re.compile("[0-9]")
+LETTERS = re.compile(b"[a-z]{3,}")
 NAMES = re.compile("token|secret|passw|pwd|api|key|auth|credential|bearer|private", re.I)
+#: Values that tell by themselves what they are.
+PREFIXED = (r"^((AKIA|ASIA)[0-9A-Z]{16}$|gh[pousr]_[A-Za-z0-9]{20,}|github_pat_[A-Za-z0-9_]{20,}|glpat-[A-Za-z0-9_-]{16,}"
+            r"|[sr]k_(live|test)_[A-Za-z0-9]{10,}|xox[abprs]-[A-Za-z0-9-]{8,}|AIza[A-Za-z0-9_-]{30,})")
 AROUND = 40
 
 N_CLASSES = 38      # a-z, 0-9, capital, other
@@ -60,16 +67,20 @@ CLASS_OF[ord("0"):ord("9") + 1] = 26 + np.arange(10)
 CLASS_OF[ord("A"):ord("Z") + 1] = 36
 
 
+LONGEST = 63
+
+
 def word_code(word: bytes) -> int:
-    """A number for each word of up to four small letters."""
+    """A number for each word of fewer than ``LONGEST`` small letters, modulo 2 ** 64; its last digit to base 64 is the length."""
     code = 0
     for b in word:
         code = code * 27 + b - 96
-    return code
+    code = (code * 64 + len(word)) % (1 << 64)
+    return code - (1 << 64) if code >> 63 else code
 
 
 def _statistics(block: dict[str, pa.Array]) -> dict[tuple[str, int], int]:
-    """Counts of character steps, and of words of three or four letters, in a block."""
+    """Counts of character steps, and of words of three letters or more, in a block."""
     data = b"\n".join(as_bytes(block["text"])) + b"\n"
     raw = np.frombuffer(data, dtype=np.uint8)
     steps = np.zeros(N_CLASSES * N_CLASSES, dtype=np.int64)
@@ -81,12 +92,17 @@ def _statistics(block: dict[str, pa.Array]) -> dict[tuple[str, int], int]:
     edge = np.flatnonzero(np.diff(letters.astype(np.int8), prepend=0, append=0))
     first, end = edge[::2], edge[1::2]
     small = np.frombuffer(data.lower(), dtype=np.uint8).astype(np.int64) - 96
-    for size in (3, 4):
+    for size in np.unique(end - first):
+        if not 3 <= size < LONGEST:
+            continue
         own = first[end - first == size]
         place = own[:, None] + np.arange(size)
         plain = small[place]
         plain = plain[((plain > 0) & (plain < 27)).all(axis=1)]
-        codes = plain @ (27 ** np.arange(size - 1, -1, -1))
+        codes = np.zeros(len(plain), dtype=np.int64)
+        for k in range(size):  # wraps as word_code does
+            codes = codes * 27 + plain[:, k]
+        codes = codes * 64 + size
         for code, n in zip(*np.unique(codes, return_counts=True)):
             words[int(code)] += int(n)
     out = {("step", int(c)): int(steps[c]) for c in np.flatnonzero(steps)}
@@ -123,11 +139,12 @@ def features(value: str, before: str, after: str, name: str | None, steps: np.nd
     kind = np.select([classes < 26, classes < 36, classes == 36], [0, 1, 2], 3)
     small = value.lower().encode()
     covered = np.zeros(len(small), dtype=bool)
-    for size in (3, 4):
-        for at in range(len(small) - size + 1):
-            piece = small[at:at + size]
-            if piece.isalpha() and word_code(piece) in dictionary:
-                covered[at:at + size] = True
+    sizes = sorted({code & 63 for code in dictionary})
+    for letters in LETTERS.finditer(small):
+        for size in sizes:
+            for at in range(letters.start(), letters.end() - size + 1):
+                if word_code(small[at:at + size]) in dictionary:
+                    covered[at:at + size] = True
     n = len(raw)
     return [float(n), float(likely.mean()), float(likely.min()), float((kind[1:] != kind[:-1]).sum() / n),
             float((kind == 1).sum() / n), float((kind == 2).sum() / n), float((kind == 3).sum() / n),
@@ -141,10 +158,11 @@ def candidates_of(text: str) -> list[tuple[int, str, str | None]]:
     """(start, value, assigned name) of each candidate."""
     out = []
     for m in CANDIDATE.finditer(text):
-        group = "value" if m["value"] is not None else "run"
-        value = m[group].rstrip(".") if group == "value" else m[group]
-        if HAS_DIGIT.search(value) or (group == "value" and NAMES.search(m["name"])):
-            out.append((m.start(group), value, m["name"]))
+        group = next(g for g in ("value", "shown", "run") if m[g] is not None)
+        name = m["name"] or m["scheme"]
+        value = m[group] if group == "run" else m[group].rstrip(".")
+        if HAS_DIGIT.search(value) or re.search(PREFIXED, value) or (group == "value" and NAMES.search(name)):
+            out.append((m.start(group), value, name))
     return out
 
 
@@ -172,11 +190,22 @@ def candidates(docs: DataFrame, steps: np.ndarray, dictionary: frozenset[int], d
 # ---------------------------------------------------------------- labels and forest
 
 def rule_labels(found: DataFrame) -> DataFrame:
-    """``found`` with ``label`` by strict rules: a long hexadecimal or base-64 value, or a known key
-    prefix, under a credential name is a secret (1); anything else is not (0)."""
-    value, name = F.col("value"), F.coalesce("name", F.lit(""))
-    shaped = value.rlike("^[0-9a-fA-F]{32,}$") | value.rlike("^[A-Za-z0-9+/_-]{24,}={0,2}$") | value.rlike("^(AKIA|ghp_|sk_live_|xox[bp]-)")
-    return found.withColumn("label", (shaped & value.rlike("[0-9]") & name.rlike("(?i)" + NAMES.pattern)).cast("double"))
+    """``found`` with ``label``: 1 a secret, 0 a false alarm, null where the rules cannot tell.
+
+    A known key prefix is a secret whatever is around it; so are a long hexadecimal or base-64 value
+    under a credential name or after one in the text, and a shorter value of letters and digits
+    assigned to a credential name. Paths, and values that neither look like a key nor stand by a
+    credential name, are false alarms.
+    """
+    value, name, feature = F.col("value"), F.coalesce("name", F.lit("")), lambda n: F.col("features")[FEATURES.index(n)] > 0
+    mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
+    shaped = mixed & (value.rlike("^[0-9a-fA-F]{32,}$") | value.rlike("^[A-Za-z0-9+/_-]{24,}={0,2}$"))
+    prefixed, path = value.rlike(PREFIXED), feature("in_path") | value.rlike("^[./]*/|://")
+    named = name.rlike("(?i)" + NAMES.pattern)
+    by_context = named | feature("named_before")
+    label = (F.when(prefixed, 1.0).when(path, 0.0).when(by_context & shaped, 1.0).when(named & mixed, 1.0)
+             .when(~by_context & ~shaped, 0.0))
+    return found.withColumn("label", label)
 
 
 def fit_forest(labelled: DataFrame, rows: int = TRAIN_ROWS) -> RandomForestClassificationModel | None:
@@ -202,7 +231,7 @@ def find_secrets(docs: DataFrame, labelled: DataFrame | None = None, doc_id: str
     known = by_rule if labelled is None else found.join(labelled.select("doc_id", "start", "label"), ["doc_id", "start"])
     model = fit_forest(known)
     if model is None:
-        scored = by_rule.withColumn("score", F.col("label"))
+        scored = by_rule.withColumn("score", F.coalesce("label", F.lit(0.5)))
     else:
         scored = (model.transform(found.withColumn("vector", array_to_vector("features")))
                   .withColumn("score", vector_to_array("probability")[1]))

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 import zstandard
@@ -275,6 +276,34 @@ def test_secret_candidates_and_forest(spark, odd):
     assert [(r.doc_id, r.start, r.n_chars) for r in odd_found] == [(15, 9, 40)]
 
 
+SECRETS = {
+    "json": ('{{"api_key": "{0}"}}', 40), "bearer": ("Authorization: Bearer {0}", 32), "plain bearer": ("curl with Bearer {0} and", 32),
+    "prefix": ("see AKIA{1} in the log", 20), "running": ("the password for it is {0} as", 40), "short": ("passwd = {2}", 10),
+}
+
+
+@pytest.mark.parametrize("form", SECRETS)
+def test_secret_forms_are_labelled_and_found(spark, form):
+    wording, length = SECRETS[form]
+    rng = np.random.default_rng(11)
+    some = lambda letters, n: "".join(rng.choice(list(letters), n))
+    hexa, capital = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    docs = spark.createDataFrame(
+        [(k, "the ontion " + wording.format("a1" + some(hexa, length - 2), some(capital, 16), "kq" + some(hexa, 7) + "7"))
+         for k in range(60)] + [(100 + k, f"ver {some('0123456789', 16)} in /srv/the/{k}1234567/ontion st") for k in range(60)],
+        "doc_id bigint, text string").coalesce(2)
+    steps, words = secret_scan.corpus_statistics(docs)
+    labels = secret_scan.rule_labels(secret_scan.candidates(docs, steps, words)).collect()
+    assert sorted(r.doc_id for r in labels if r.label == 1 and r.n_chars == length) == list(range(60))
+    assert not [r for r in labels if r.label == 1 and r.doc_id >= 100]
+    assert {r.doc_id for r in secret_scan.find_secrets(docs).where("secret").collect()} == set(range(60))
+
+
+def test_dictionary_has_words_of_every_length():
+    made = secret_scan._statistics({"text": pa.array(["documentation the a extraordinarily-used Documentation"])})
+    assert made["word", secret_scan.word_code(b"documentation")] == 2 and made["word", secret_scan.word_code(b"extraordinarily")] == 1
+
+
 # ---------------------------------------------------------------- 7 decontamination
 
 def brute_hits(rows, items, window):
