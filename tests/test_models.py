@@ -147,3 +147,16 @@ def test_feature_build_is_repeatable(spark, built, tables):
     for name in ("business_map", "user_map", "review_transformed"):
         a, b = read_path(spark, getattr(built, name)), read_path(spark, getattr(again, name))
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_trees_must_beat_the_spread(spark, tables, monkeypatch):
+    """An error above that of predicting the mean does not count as within it."""
+    from placewise.suite import queries
+    from tests.conftest import SF_DIR
+
+    rows = queries._rating_rows(tables)
+    _, unseen = rating.split_by_business(rows, queries._train_business())
+    spread = unseen.agg(F.stddev_samp("label")).first()[0]
+    made = spark.createDataFrame([(35, 1.04 * spread)], "n bigint, rmse double")
+    monkeypatch.setattr(queries.rating, "train_rating_model", lambda *a, **b: (None, made))
+    assert queries.rating_trees(spark, SF_DIR).first().within_spread is False
