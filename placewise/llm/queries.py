@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placewise.llm import decontaminate, licenses, line_dedup, lm_scoring, mixing, quality, secret_scan, simhash, suffix_dedup, token_files
+from placewise.llm import (decontaminate, licenses, line_dedup, lm_scoring, mixing, phrases, quality, secret_scan, simhash,
+                           suffix_dedup, token_counts, token_files)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -92,3 +93,14 @@ def op8_line_edit_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op8_line_edit_join"] = line_dedup.dedupe_sql()
+
+
+@query
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counted = token_counts.count_tokens(documents(spark, folder), row=["doc_id"])
+    return counted.select("row.doc_id", "n_bytes", "n_tokens", "over_limit", "n_direct")
+
+
+@query
+def op13_phrase_cycles(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(documents(spark, folder))
