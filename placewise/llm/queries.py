@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placewise.llm import (decontaminate, licenses, line_dedup, lm_scoring, mixing, phrases, quality, secret_scan, simhash,
+from placewise.llm import (alignment, decontaminate, licenses, line_dedup, lm_scoring, mixing, phrases, quality, secret_scan, simhash,
                            suffix_dedup, token_counts, token_files)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,7 +42,7 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
                                         row=["doc_id"])
     return found.select("row.doc_id", "n_words", "n_hit", "n_items",
                         decontaminate.items_digest(F.col("items")).alias("items_sha256"),
-                        (F.col("n_hit") > 0).alias("contaminated"))
+                        (F.col("n_hit") > 0).alias("contaminated"), "longest", "item_id", "item_word", "doc_word")
 
 
 @query
@@ -95,6 +95,12 @@ def op8_line_edit_join(spark: SparkSession, folder: str) -> DataFrame:
 ORACLE["op8_line_edit_join"] = line_dedup.dedupe_sql()
 
 
+@query
+def op11_pair_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
+    found = alignment.align(documents(spark, folder), row=["doc_id"])
+    return found.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 @query
 def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = token_counts.count_tokens(documents(spark, folder), row=["doc_id"])
@@ -104,3 +110,6 @@ def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op13_phrase_cycles(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(documents(spark, folder))
+
+
+ORACLE["op13_phrase_cycles"] = phrases.collocations_sql()
