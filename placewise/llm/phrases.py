@@ -55,7 +55,7 @@ MOST_SHARDS = (NEVER - 1) // LONGEST
 CUT = b"\xff"         # a byte that no UTF-8 text has
 #: A-Z to lower case, tab to space, the characters that end a piece to the cut.
 PIECES = bytes(0xFF if b in b".,;:!?\n\x0b\x0c\r" else 0x20 if b == 9 else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
-_BLOCK = "shard int, lang string, words array<binary>, ids binary, n_words bigint"
+_BLOCK = "shard int, lang string, words array<binary>, hashes binary, ids binary, n_words bigint"
 _COUNT = "lang string, phrase binary, size int, start int, n bigint"
 
 
@@ -83,8 +83,9 @@ class _Block:
         ids = ids[np.concatenate([[True], (ids[1:] != 0) | (ids[:-1] != 0)])]  # one cut is enough
         return pa.RecordBatch.from_arrays(
             [pa.array([shard], pa.int32()), pa.array([lang]), pa.array([list(self.numbers)], pa.list_(pa.binary())),
+             pa.array([word_hash(lang.encode(), list(self.numbers)).tobytes()], pa.binary()),
              pa.array([ids.tobytes()], pa.binary()), pa.array([int((ids > 0).sum())], pa.int64())],
-            names=["shard", "lang", "words", "ids", "n_words"])
+            names=["shard", "lang", "words", "hashes", "ids", "n_words"])
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], shards: int, most: int) -> Iterator[pa.RecordBatch]:
@@ -197,16 +198,17 @@ def distinct(columns: list[np.ndarray], n_words: int) -> tuple[np.ndarray, np.nd
     return first, n
 
 
-def block_counts(lang: str, words: list[bytes], ids: np.ndarray, table: np.ndarray, step: int,
+def block_counts(own: np.ndarray, ids: np.ndarray, table: np.ndarray, step: int,
                  shards: int) -> Iterator[tuple[int, np.ndarray, list[np.ndarray], np.ndarray]]:
-    """Counts of a block's active phrases: size, start step, word numbers, count, one entry for each phrase."""
-    n_words = len(words)
+    """Counts of a block's active phrases: size, start step, word numbers, count, one entry for each phrase.
+
+    ``own`` are the hashes of the block's words."""
+    n_words = len(own)
     if step < shards:
         n = np.bincount(ids, minlength=n_words)
         n[0] = 0
         at = np.flatnonzero(n)
         yield 1, np.zeros(len(at), dtype=np.int32), [at], n[at]
-    own = word_hash(lang.encode(), words)
     # Places where a phrase of the size at hand may stand: start, its hash, when it counts as reached.
     at = np.flatnonzero(ids)
     hashes, when = own[ids[at]], reached(table, own)[ids[at]]
@@ -229,10 +231,10 @@ def block_counts(lang: str, words: list[bytes], ids: np.ndarray, table: np.ndarr
 
 def _scan(batches: Iterator[pa.RecordBatch], table, step: int, shards: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lang, words, ids in zip(*(batch.column(n) for n in ("lang", "words", "ids"))):
+        for lang, words, hashes, ids in zip(*(batch.column(n) for n in ("lang", "words", "hashes", "ids"))):
             lang, dictionary = lang.as_py(), words.values
-            ids = np.frombuffer(ids.as_buffer(), dtype=np.int32)
-            for size, start, columns, n in block_counts(lang, dictionary.to_pylist(), ids, table.value, step, shards):
+            own, ids = np.frombuffer(hashes.as_buffer(), dtype=np.uint64), np.frombuffer(ids.as_buffer(), dtype=np.int32)
+            for size, start, columns, n in block_counts(own, ids, table.value, step, shards):
                 for a in range(0, len(n), 1 << 17):
                     taken = [dictionary.take(pa.array(c[a:a + (1 << 17)])) for c in columns]
                     phrase = taken[0] if size == 1 else pc.binary_join_element_wise(*taken, pa.scalar(b" ", pa.binary()))
@@ -320,3 +322,31 @@ def collocations(docs: DataFrame, text: str | Column = "text", lang: str | Colum
     frequent = stored(frequent_phrases(blocks, shards, threshold, n_slots), "phrases")
     found = ranked(scored(frequent, covered), first)
     return found.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def collocations_sql(first: int = FIRST, threshold: int = THRESHOLD, covered: int = COVERED) -> str:
+    """The same for DuckDB, by counting every sequence of words."""
+    return f"""WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\\n\\x0B\\x0C\\r]')) AS piece FROM d),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') AS w FROM p),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY 1),
+f AS MATERIALIZED (SELECT lang, phrase, k, count(*) AS n FROM (
+    SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase FROM (
+      SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k))
+  GROUP BY 1, 2, 3 HAVING count(*) >= {threshold}),
+c AS (SELECT lang, phrase, string_split(phrase, ' ') AS w, k AS size, n AS a FROM f WHERE k > 1),
+cut AS (SELECT lang, phrase, a, k, array_to_string(list_slice(w, 1, k), ' ') AS x, array_to_string(list_slice(w, k + 1, size), ' ') AS y
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+best AS (SELECT cut.lang, cut.phrase, cut.a, min((CAST((CAST({SCALE} AS HUGEINT) * a) // (x.n + y.n) AS BIGINT), cut.k, x.n, y.n)) AS s
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = cut.x JOIN f y ON y.lang = cut.lang AND y.phrase = cut.y
+  GROUP BY 1, 2, 3),
+inside AS (SELECT lang, phrase, max(a) AS most FROM (
+    SELECT lang, a, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase FROM (
+      SELECT lang, a, w, m, unnest(range(1, size - m + 2)) AS i FROM (SELECT lang, a, w, size, unnest(range(2, size)) AS m FROM c)))
+  GROUP BY 1, 2),
+kept AS (SELECT lang, phrase, a, s FROM best LEFT JOIN inside USING (lang, phrase)
+  WHERE most IS NULL OR CAST(100 AS HUGEINT) * most < CAST({covered} AS HUGEINT) * a)
+SELECT lang, rank, phrase, a, s[3] AS l, s[4] AS r, n, s[1] AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY s[1] DESC, a DESC, phrase) AS rank FROM kept) JOIN n USING (lang)
+WHERE rank <= {first}"""
