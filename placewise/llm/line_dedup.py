@@ -4,23 +4,25 @@ A line is dropped when an equal line, or one within ``EDITS`` edits, stands earl
 document, or earlier in the same one). Lines shorter than ``LEAST`` characters are only compared
 for equality, since an edit makes another word of them.
 
-1. Lines are exploded and joined to distinct ones by a 128-bit digest, before the shuffle, with
-   their first position. From here on only digests, numbers and keys travel.
+1. Lines are exploded and joined to distinct ones, partly before the shuffle, with their first position,
+   and get a number. From here on only numbers and keys travel until candidates are known.
 2. A line is split into EDITS + 1 segments. Of two lines within EDITS edits the shorter has a
    segment that the longer has unchanged, at a place that its number and the lengths bound. So
    each line is stored under its segments, with number and length, and probes the substrings
    at those places for its own and each smaller length.
-3. Pairs that share a key are kept if the counts of some letters differ by no more than the edits
-   allow, checked inside the join, and are then verified with a banded bit-parallel automaton: for
-   each number of edits one integer holds the diagonals of the band reached so far.
+3. Pairs that share a key are dealt evenly and judged, each pair by itself: by the counts of some letters, which
+   differ by no more than the edits allow; then, without their common start and end, by a banded
+   bit-parallel automaton: for each number of edits one integer holds the diagonals of the band reached so far.
+   The automaton goes over its input once, so a pair costs time in proportion to its lines.
 
 Skew: a line that a third of all documents share is one row from step 1 on; keys with many
 different lines are left to the adaptive splitting of joins.
 
 Defined results: a null text has no lines; lines are split at \\n and compared whole, empty ones
-too; documents with one doc_id are one place, so their equal lines at one number are no repeats of each
-other; null ids come last and are one document; an empty table gives an empty table. Ids must be integers. Input
-columns with other names are not read.
+too; each row is a document of its own, in the order of doc_id, rows of one doc_id in the order of a digest of their
+texts, null ids last; of equal rows any one counts as the first; an empty table gives an empty table. Very long
+lines cost memory and time in proportion. Ids must be integers; a document has fewer than 2**27 lines.
+Input columns travel in one struct and cannot clash.
 """
 
 from __future__ import annotations
@@ -31,17 +33,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placewise.llm.blocks import stored
+from placewise.operators.ordering import number_rows
 from placewise.session import shuffle_partitions
 
 EDITS = 1
 LEAST = 16
 #: Letters whose counts are compared before verification; an edit changes at most two counts by one.
 LETTERS = "etaonisrhldumc"
-_LINES_BITS = 31
-
-
-def digest(line: Column) -> tuple[Column, Column]:
-    return F.xxhash64(line), F.xxhash64(line, F.lit("line"))
+#: A position is the document's place and, in the lower bits, the line's number.
+LINES_BITS = 27
+PLACES = 1 << (63 - LINES_BITS)
 
 
 def _segment(length: Column, number: int, edits: int) -> tuple[Column, Column]:
@@ -73,64 +74,88 @@ def _probe_keys(line: Column, edits: int) -> list[Column]:
     return out
 
 
-def _letter_counts(line: Column) -> Column:
-    return F.array(*[(F.char_length(line) - F.char_length(F.replace(line, F.lit(c), F.lit("")))).cast("int") for c in LETTERS])
-
-
-def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc (id, null last), no, line."""
-    last = F.lit((1 << 63) - 1)
-    return docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), last).alias("doc"),
-                       F.posexplode(F.split(F.col(f"`{text}`").cast("string"), "\n", -1)).alias("no", "line"))
-
-
-def distinct_lines(lines: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
-    """A row for each distinct line: digest (high, low), first position, keys, length; not the text."""
-    high, low = digest(F.col("line"))
-    near = F.char_length("line") >= max(least, edits + 1)
-    position = F.col("doc").cast("decimal(30,0)") * F.lit(1 << _LINES_BITS).cast("decimal(12,0)") + F.col("no")
-    keys = {f"s{k}": c for k, c in enumerate(_stored_keys(F.col("line"), edits))}
-    keys |= {f"p{k}": c for k, c in enumerate(_probe_keys(F.col("line"), edits))}
-    made = lines.select(high.alias("high"), low.alias("low"), position.cast("decimal(38,0)").alias("position"),
-                        F.char_length("line").alias("length"), *[F.when(near, c).alias(n) for n, c in keys.items()],
-                        *[_letter_counts(F.col("line"))[k].alias(f"c{k}") for k in range(len(LETTERS))])
-    same = [c for c in made.columns if c not in ("high", "low", "position")]
-    return made.groupBy("high", "low").agg(F.min("position").alias("position"), F.count(F.lit(1)).alias("n"),
-                                           *[F.max(c).alias(c) for c in same])
-
-
-def candidate_pairs(lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """Digests of a line (high, low) and an as long or shorter one (o_high, o_low), each pair once."""
-    counts = [f"c{k}" for k in range(len(LETTERS))]
-    own = lines.where("s0 is not null").select("high", "low", "length", *counts, *[c for c in lines.columns if c[0] in "sp" and c[1:].isdigit()])
-    stored_keys = [c for c in own.columns if c[0] == "s"]
-    probe_keys = [c for c in own.columns if c[0] == "p"]
-    left = own.select("high", "low", "length", *counts, F.explode(F.array_distinct(F.array(*probe_keys))).alias("key"))
-    right = own.select(F.col("high").alias("o_high"), F.col("low").alias("o_low"), F.col("length").alias("o_length"),
-                       *[F.col(c).alias(f"o_{c}") for c in counts], F.explode(F.array(*stored_keys)).alias("o_key"))
-    apart = reduce(Column.__add__, [F.abs(F.col(c) - F.col(f"o_{c}")) for c in counts])
+def placed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", row: list[str] | None = None) -> DataFrame:
+    """row (a struct), place (a number for each row, in the order of documents), text.
+
+    Ids that are different and small enough are places themselves; otherwise the rows are sorted and numbered.
+    """
+    kept = docs.columns if row is None else row
+    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{doc_id}`").cast("long").alias("doc"),
+                        F.col(f"`{text}`").cast("string").alias("text"))
+    n, different, least, most = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc")).agg(
+        F.count(F.lit(1)), F.count_distinct("doc"), F.min("doc"), F.max("doc")).first()
+    if n == different and (not n or (least >= 0 and most < PLACES)):
+        return plain.withColumnRenamed("doc", "place")
+    order = [F.asc_nulls_last("doc"), F.asc("a"), F.asc("b")]
+    marked = plain.withColumns({"a": F.xxhash64("text"), "b": F.xxhash64("text", F.lit("text"))})
+    return number_rows(marked, order, "place").select("row", "place", "text")
+
+
+def lines_of(documents: DataFrame) -> DataFrame:
+    """position, line of every line of documents with their places."""
+    lines = documents.select("place", F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
+    fits = F.when(F.col("no") < (1 << LINES_BITS), F.col("no")).otherwise(F.raise_error(F.lit("a document has too many lines")).cast("int"))
+    return lines.select((F.shiftleft("place", LINES_BITS) + fits).alias("position"), "line")
+
+
+def distinct_lines(lines: DataFrame) -> DataFrame:
+    """A stored row for each distinct line: id, line, first position, number of places ``n``."""
+    made = lines.groupBy("line").agg(F.min("position").alias("position"), F.count(F.lit(1)).alias("n"))
+    return stored(made.withColumn("id", F.monotonically_increasing_id()), "distinct-lines", "zstd")
+
+
+def candidate_pairs(lines: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
+    """Ids of a line and an as long or shorter one (id, o_id) that share a key, each pair once."""
+    near = lines.where(F.char_length("line") >= max(least, edits + 1))
+    length = F.char_length("line").alias("length")
+    left = near.select("id", length, F.explode(F.array_distinct(F.array(*_probe_keys(F.col("line"), edits)))).alias("key"))
+    right = near.select(F.col("id").alias("o_id"), length.alias("o_length"), F.explode(F.array(*_stored_keys(F.col("line"), edits))).alias("o_key"))
     less = F.col("length") - F.col("o_length")
-    once = (less > 0) | (F.col("high") > F.col("o_high")) | ((F.col("high") == F.col("o_high")) & (F.col("low") > F.col("o_low")))
-    meet = (F.col("key") == F.col("o_key")) & (less >= 0) & (less <= edits) & once & (apart <= 2 * edits)
-    return left.join(right, meet).select("high", "low", "o_high", "o_low").distinct()
+    once = (less > 0) | (F.col("id") > F.col("o_id"))
+    meet = (F.col("key") == F.col("o_key")) & (less >= 0) & (less <= edits) & once
+    return left.join(right, meet).select("id", "o_id").distinct()
+
+
+def letters_apart(a: Column, b: Column) -> Column:
+    """By how much the counts of ``LETTERS`` differ, together."""
+    def times(line: Column, c: str) -> Column:
+        return F.char_length(line) - F.char_length(F.replace(line, F.lit(c), F.lit("")))
+
+    return reduce(Column.__add__, [F.abs(times(a, c) - times(b, c)) for c in LETTERS])
+
+
+def without_common_ends(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """``pairs`` with the strings ``a`` and ``b`` cut to what is between their common start and end.
+
+    Each step is a column of its own, so that nothing is computed once for each use."""
+    def differ(df: DataFrame) -> DataFrame:
+        apart = F.zip_with(F.split(F.col(a), ""), F.split(F.col(b), ""), lambda x, y: ~x.eqNullSafe(y))
+        at = df.withColumn("_at", F.array_position(apart, F.lit(True)))
+        rest = {c: F.when(F.col("_at") == 0, F.lit("")).otherwise(F.substr(F.col(c), F.col("_at").cast("int"))) for c in (a, b)}
+        return at.withColumns({c: F.reverse(x) for c, x in rest.items()}).drop("_at")
+
+    return differ(differ(pairs))
 
 
 def within_edits(a: Column, b: Column, edits: int) -> Column:
     """Whether two strings are within ``edits`` edits, by a banded bit-parallel automaton.
 
     After j characters of b, bit d + edits of state k is set if the first j + d characters of a
-    can be reached with k edits.
+    can be reached with k edits. Each character of b comes with those of a in its band.
     """
     band = (1 << (2 * edits + 1)) - 1
     left, right = F.split(a, ""), F.split(b, "")
+    nothing = F.array(*[F.lit(None).cast("string")] * edits)
+    # Element j of ``shown`` is the character of a in diagonal d; arrays end in nulls where a does.
+    padded = F.concat(nothing, left)
+    shown = {d: F.slice(padded, F.lit(edits + d + 1), F.greatest(F.size(left) - d, F.lit(0))) for d in range(-edits, edits + 1)}
+    bands = F.slice(F.arrays_zip(right.alias("now"), *[x.alias(f"d{d + edits}") for d, x in shown.items()]), F.lit(1), F.size(right))
 
     def shifted(x: Column, by: int) -> Column:
         return (F.shiftleft(x, by) if by > 0 else F.shiftright(x, -by)).bitwiseAND(band)
 
-    def step(state: Column, j: Column) -> Column:
-        now = F.get(right, j)
-        match = reduce(Column.bitwiseOR, [F.when(F.get(left, j + d) == now, F.lit(1 << (d + edits))).otherwise(F.lit(0))
-                                          for d in range(-edits, edits + 1)])
+    def step(state: Column, c: Column) -> Column:
+        match = reduce(Column.bitwiseOR, [F.when(c[f"d{d}"] == c["now"], F.lit(1 << d)).otherwise(F.lit(0)) for d in range(2 * edits + 1)])
         after: list[Column] = []
         for k in range(edits + 1):
             reached = state[f"r{k}"].bitwiseAND(match)
@@ -142,43 +167,39 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
 
     start = [reduce(int.__or__, [1 << (d + edits) for d in range(k + 1)]) for k in range(edits + 1)]
     first = F.struct(*[F.lit(x).alias(f"r{k}") for k, x in enumerate(start)])
-    steps = F.sequence(F.lit(0), F.char_length(b) - 1)
-    last = F.when(F.char_length(b) > 0, F.aggregate(steps, first, step)).otherwise(first)
+    last = F.when(F.char_length(b) > 0, F.aggregate(bands, first, step)).otherwise(first)
     shift = F.char_length(a) - F.char_length(b) + edits
     ok = last[f"r{edits}"].bitwiseAND(reduce(
         lambda so_far, s: F.when(shift == s, F.lit(1 << s)).otherwise(so_far), range(2 * edits + 1), F.lit(0)))
     return (F.abs(F.char_length(a) - F.char_length(b)) <= edits) & (ok != 0)
 
 
-def verified_links(docs_lines: DataFrame, pairs: DataFrame, edits: int = EDITS) -> DataFrame:
-    """The ``pairs`` whose lines are within ``edits`` edits. Texts are fetched for paired lines only."""
-    high, low = digest(F.col("line"))
-    wanted = pairs.select("high", "low").union(pairs.select("o_high", "o_low")).distinct()
-    texts = stored(docs_lines.select(high.alias("high"), low.alias("low"), "line").join(wanted, ["high", "low"], "left_semi")
-                   .dropDuplicates(["high", "low"]), "paired-lines")
-    other = texts.select(F.col("high").alias("o_high"), F.col("low").alias("o_low"), F.col("line").alias("o_line"))
-    met = pairs.join(texts, ["high", "low"]).join(other, ["o_high", "o_low"])
-    # Few bytes but much work: spread by number of partitions, since sizes would leave it in a few tasks.
-    met = met.repartition(shuffle_partitions(pairs.sparkSession))
-    return met.where(within_edits(F.col("line"), F.col("o_line"), edits)).select("high", "low", "o_high", "o_low")
+def judged_pairs(lines: DataFrame, pairs: DataFrame, edits: int = EDITS) -> DataFrame:
+    """The ``pairs`` and whether their lines are within ``edits`` edits (``near``). Only paired lines bring their texts."""
+    wanted = pairs.select("id").union(pairs.select("o_id")).distinct()
+    texts = stored(lines.select("id", "line").join(wanted, "id", "left_semi"), "paired-lines", "zstd")
+    met = (pairs.join(texts, "id").join(texts.select(F.col("id").alias("o_id"), F.col("line").alias("o_line")), "o_id")
+           .where(letters_apart(F.col("line"), F.col("o_line")) <= 2 * edits))
+    # Few bytes but much work: dealt by number, since sizes would leave it in a few tasks. The verdict is a column and
+    # not a filter, which would be moved back into the join.
+    met = met.repartition(shuffle_partitions(pairs.sparkSession)).select("id", "o_id", F.col("line").alias("a"), F.col("o_line").alias("b"))
+    return without_common_ends(met, "a", "b").select("id", "o_id", within_edits(F.col("a"), F.col("b"), edits).alias("near"))
 
 
-def judged_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = EDITS, least: int = LEAST) -> DataFrame:
-    """A row for each distinct line: digest, n, doc and no of its first place, n_links, and whether an
+def judged_lines(documents: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
+    """A row for each distinct line: n, place and no of its first position, n_links, and whether an
     earlier line within the edits makes it ``near``."""
-    lines = lines_of(docs, doc_id, text)
-    known = stored(distinct_lines(lines, edits, least), "distinct-lines")
-    pairs = stored(candidate_pairs(known, edits), "line-pairs")
-    links = stored(verified_links(lines, pairs, edits), "line-links")
-    place = known.select("high", "low", "position")
-    both = links.union(links.select("o_high", "o_low", "high", "low"))
-    other = place.select(F.col("high").alias("o_high"), F.col("low").alias("o_low"), F.col("position").alias("o_position"))
-    earliest = (both.join(other, ["o_high", "o_low"]).groupBy("high", "low")
+    known = distinct_lines(lines_of(documents))
+    pairs = stored(candidate_pairs(known, edits, least), "line-pairs")
+    links = stored(judged_pairs(known, pairs, edits), "line-links").where("near").select("id", "o_id")
+    place = known.select("id", "position")
+    both = links.union(links.select("o_id", "id"))
+    earliest = (both.join(place.select(F.col("id").alias("o_id"), F.col("position").alias("o_position")), "o_id").groupBy("id")
                 .agg(F.min("o_position").alias("o_position"), F.count(F.lit(1)).alias("n_links")))
-    factor = F.lit(1 << _LINES_BITS).cast("decimal(12,0)")
-    return (known.select("high", "low", "n", "position", "length").join(earliest, ["high", "low"], "left")
-            .select("high", "low", "n", "length", F.floor(F.col("position") / factor).cast("long").alias("doc"),
-                    F.pmod("position", factor).cast("int").alias("no"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+    return (known.select("id", "n", "position").join(earliest, "id", "left")
+            .select("n", F.shiftright("position", LINES_BITS).alias("place"),
+                    F.col("position").bitwiseAND(F.lit((1 << LINES_BITS) - 1)).cast("int").alias("no"),
+                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                     F.coalesce(F.col("o_position") < F.col("position"), F.lit(False)).alias("near")))
 
 
@@ -186,19 +207,15 @@ def dedupe_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
                  row: list[str] | None = None) -> DataFrame:
     """Column ``row`` (the document), n_lines, n_equal (dropped for an equal earlier line), n_near (for a
     near one), n_kept, n_links of its first lines, and kept_text."""
-    kept = docs.columns if row is None else row
-    judged = judged_lines(docs, doc_id, text, edits, least)
-    own = judged.groupBy("doc").agg(F.count_if(~F.col("near")).alias("n_kept"), F.count_if("near").alias("n_near"),
-                                    F.sum("n_links").alias("n_links"),
-                                    F.collect_list(F.when(~F.col("near"), F.col("no"))).alias("places"))
-    last = F.lit((1 << 63) - 1)
-    lines = F.coalesce(F.split(F.col(f"`{text}`").cast("string"), "\n", -1), F.array().cast("array<string>"))
-    source = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"),
-                         F.coalesce(F.col(f"`{doc_id}`").cast("long"), last).alias("doc"), lines.alias("lines"))
+    documents = placed_documents(docs, doc_id, text, row)
+    own = judged_lines(documents, edits, least).groupBy("place").agg(
+        F.count_if(~F.col("near")).alias("n_kept"), F.count_if("near").alias("n_near"), F.sum("n_links").alias("n_links"),
+        F.collect_list(F.when(~F.col("near"), F.col("no"))).alias("places"))
+    lines = F.coalesce(F.split("text", "\n", -1), F.array().cast("array<string>"))
     count = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
     places = F.coalesce("places", F.array().cast("array<int>"))
     picked = F.array_join(F.transform(F.array_sort(places), lambda i: F.get("lines", i)), "\n")
-    return (source.join(own, "doc", "left")
+    return (documents.select("row", "place", lines.alias("lines")).join(own, "place", "left")
             .select("row", F.size("lines").cast("long").alias("n_lines"),
                     (F.size("lines") - F.coalesce("n_kept", F.lit(0)) - F.coalesce("n_near", F.lit(0))).cast("long").alias("n_equal"),
                     count("n_near"), count("n_kept"), count("n_links"), picked.alias("kept_text")))
