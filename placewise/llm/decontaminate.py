@@ -15,7 +15,8 @@ passes are joined for each document.
 Defined results: a null or empty text has no words and is clean; an item without words has no
 window; a short item is one window; repeated items count under each own item_id; repeated rows
 get equal verdicts; a null item_id counts as an item but cannot be named in the digest; an
-empty benchmark leaves every document clean.
+empty benchmark leaves every document clean; a very long text is a block of its own; the documents' columns
+travel in one struct and cannot clash.
 """
 
 from __future__ import annotations
@@ -36,7 +37,9 @@ from placewise.llm.blocks import WORDS_ONLY, as_bytes, bounds, over_blocks, stor
 WINDOW = 10
 PIECE_BYTES = 16 << 20
 UID = "_document_number"
-FIELDS = "n_words bigint, hits array<bigint>, items array<string>, n_unnamed bigint"
+FIELDS = ("n_words bigint, hits array<bigint>, items array<string>, n_unnamed bigint, "
+          "longest struct<n_words:bigint,before:bigint,item_id:string,item_word:bigint>")
+LONGEST = pa.struct([("n_words", pa.int64()), ("before", pa.int64()), ("item_id", pa.string()), ("item_word", pa.int64())])
 
 
 def words_of(data: bytes) -> list[bytes]:
@@ -52,13 +55,15 @@ class Items:
     sequence: np.ndarray
     item_of: np.ndarray     # of each place in the sequence, -1 at a cut
     window: np.ndarray      # window length at each place, 0 where none starts
+    begins: np.ndarray      # where each item begins in the sequence
 
     @classmethod
     def of(cls, rows: list[tuple[str | None, bytes]], window: int) -> Items:
         numbers: dict[bytes, int] = {}
-        sequence, item_of, lengths = [], [], []
+        sequence, item_of, lengths, begins = [], [], [], []
         for i, (_, data) in enumerate(rows):
             words = words_of(data)
+            begins.append(len(sequence))
             size = min(window, len(words))
             for at, word in enumerate(words):
                 sequence.append(numbers.setdefault(word, len(numbers) + 1))
@@ -68,7 +73,7 @@ class Items:
             item_of.append(-1)
             lengths.append(0)
         return cls(numbers, [r[0] for r in rows], np.array(sequence, dtype=np.int64),
-                   np.array(item_of, dtype=np.int64), np.array(lengths, dtype=np.int64))
+                   np.array(item_of, dtype=np.int64), np.array(lengths, dtype=np.int64), np.array(begins, dtype=np.int64))
 
 
 class SuffixArray:
@@ -151,13 +156,14 @@ def shard(data: list[bytes], items: Items) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def find_hits(block: dict[str, pa.Array], items: Items) -> list:
-    """Per document: word places inside an occurrence of a window, items with one, unnamed items."""
+    """Per document: word places inside an occurrence of a window, items with one, unnamed items, and its longest match."""
     sequence, offsets, counts = shard(as_bytes(block["text"]), items)
     starts = np.flatnonzero(items.window)
     size = items.window[starts]
     hits = [[] for _ in counts]
     named: list[set[str]] = [set() for _ in counts]
     unnamed: list[set[int]] = [set() for _ in counts]
+    longest: list[tuple | None] = [None] * len(counts)
     if len(starts) and sequence.any():
         array = SuffixArray(sequence, int(size.max()))
         length, low, high = array.longest(items.sequence, starts, size)
@@ -177,8 +183,30 @@ def find_hits(block: dict[str, pa.Array], items: Items) -> list:
                                     items.item_of[starts[which]]]), axis=1)
         for d, i in pairs.T:
             (named[d].add(items.ids[i]) if items.ids[i] is not None else unnamed[d].add(i))
+        for d, found in _longest_of(places, starts[which], size[which], offsets, items):
+            longest[d] = found
     return [counts, pa.array([list(map(int, h)) for h in hits], pa.list_(pa.int64())),
-            pa.array([sorted(x) for x in named], pa.list_(pa.string())), [len(x) for x in unnamed]]
+            pa.array([sorted(x) for x in named], pa.list_(pa.string())), [len(x) for x in unnamed],
+            pa.array([x and dict(zip(("n_words", "before", "item_id", "item_word"), x)) for x in longest], LONGEST)]
+
+
+def _longest_of(places: np.ndarray, starts: np.ndarray, sizes: np.ndarray, offsets: np.ndarray, items: Items) -> Iterator[tuple[int, tuple]]:
+    """(document, (words, minus its place, item id, place in the item)) of each document's longest verbatim match.
+
+    Windows that follow each other in the item and in the document are one match."""
+    if not len(places):
+        return
+    order = np.lexsort((starts, places - starts))
+    places, starts, sizes = places[order], starts[order], sizes[order]
+    new = np.concatenate([[True], (np.diff(starts) != 1) | (np.diff(places) != 1)])
+    first = np.flatnonzero(new)
+    n = np.diff(np.append(first, len(places))) + sizes[first] - 1
+    doc = np.searchsorted(offsets, places[first], side="right") - 1
+    word = places[first] - offsets[doc]
+    best = np.lexsort((starts[first], word, -n, doc))
+    for k in best[np.flatnonzero(np.diff(doc[best], prepend=-1))]:
+        item = items.item_of[starts[first[k]]]
+        yield int(doc[k]), (int(n[k]), -int(word[k]), items.ids[item], int(starts[first[k]] - items.begins[item]))
 
 
 def longest_matches(block: dict[str, pa.Array], items: Items) -> Iterator[tuple]:
@@ -217,30 +245,36 @@ def pieces(benchmark: DataFrame, item_id: str, text: str, limit: int) -> Iterato
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str | Column = "text", item_id: str = "item_id",
                   item_text: str = "text", window: int = WINDOW, row: list[str] | None = None,
                   piece_bytes: int = PIECE_BYTES) -> DataFrame:
-    """Column ``row`` (the document), n_words, n_hit, n_items, items (sorted item ids, those found)."""
+    """Column ``row`` (the document), n_words, n_hit, n_items, items (sorted item ids, those found), and the
+    longest verbatim match with an item: longest (words), item_id, item_word and doc_word (where it begins).
+
+    Of equally long matches the first in the document counts, then the first item."""
     spark = docs.sparkSession
     kept = docs.columns if row is None else row
 
-    def one_pass(source: DataFrame, rows: list, columns: list[str]) -> DataFrame:
+    def one_pass(source: DataFrame, own: str | Column, rows: list, columns: list[str]) -> DataFrame:
         shared = spark.sparkContext.broadcast(Items.of(rows, window))
-        return over_blocks(source, {"text": whole_text(text)}, lambda b: find_hits(b, shared.value), FIELDS, columns)
+        return over_blocks(source, {"text": whole_text(own)}, lambda b: find_hits(b, shared.value), FIELDS, columns)
 
     parts = pieces(benchmark, item_id, item_text, piece_bytes)
     first, second = next(parts, []), next(parts, None)
     if second is None:
-        found = one_pass(docs, first, kept)
+        found = one_pass(docs, text, first, kept)
     else:  # the documents are numbered once, and the passes are joined by that number
-        numbered = stored(docs.withColumn(UID, F.monotonically_increasing_id()), "numbered")
-        passes = [stored(one_pass(numbered, rows, [UID]), "hits") for rows in chain([first, second], parts)]
+        numbered = stored(docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), whole_text(text).alias("text"),
+                                      F.monotonically_increasing_id().alias(UID)), "numbered")
+        passes = [stored(one_pass(numbered, "text", rows, [UID]).withColumn("pass", F.lit(-number)), "hits")
+                  for number, rows in enumerate(chain([first, second], parts))]
         joined = (reduce(DataFrame.union, passes).groupBy(F.col(f"row.{UID}").alias(UID))
                   .agg(F.max("n_words").alias("n_words"), F.sum("n_unnamed").alias("n_unnamed"),
                        F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"),
-                       F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")))
-        found = (numbered.select(UID, F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"))
-                 .join(joined, UID).drop(UID))
+                       F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+                       F.max_by("longest", F.when(F.col("longest").isNotNull(), F.struct("longest.n_words", "longest.before", "pass"))).alias("longest")))
+        found = numbered.select(UID, "row").join(joined, UID).drop(UID)
     return found.select("row", "n_words", F.size("hits").cast("long").alias("n_hit"),
                         (F.size("items") + F.col("n_unnamed")).cast("long").alias("n_items"),
-                        F.array_sort("items").alias("items"))
+                        F.array_sort("items").alias("items"), F.coalesce("longest.n_words", F.lit(0)).cast("long").alias("longest"),
+                        "longest.item_id", "longest.item_word", (-F.col("longest.before")).alias("doc_word"))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -12,7 +12,8 @@ template's anchor, with its least and greatest distance from the start of a matc
 automaton start only at such distances before an anchor; elsewhere nothing can match. Texts are
 whole, blocks of documents stay in their partition, nothing is shuffled.
 
-Overlaps: of matches at one start the longest counts; all accepted templates give labels.
+Overlaps: of matches at one start, of one or several templates, the longest counts (ties all do), so a notice that
+goes on with the clause of another one has the label of the other; matches at other starts all give labels.
 
 Defined results: a null or empty text has no words, no labels and score 0; equal rows get equal
 results; input columns travel in one struct and cannot clash; an empty table gives an empty table.
@@ -34,6 +35,14 @@ from placewise.llm.blocks import WORDS_ONLY, as_bytes, over_blocks, whole_text
 #: Phrases of the base search and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
+#: Wording that two of the notices share.
+BSD_CLAUSES = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+               "the following conditions are met: <<beginOptional>>1.<<endOptional>> Redistributions of source code must "
+               "retain the above copyright notice, this list of conditions and the following disclaimer. "
+               "<<beginOptional>>2.<<endOptional>> Redistributions in binary form must reproduce the above copyright notice, "
+               "this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+               "with the distribution.")
+
 #: Wording of public license notices with optional and replaceable regions.
 TEMPLATES = (
     ("mit-notice", "<<beginOptional>>released<<endOptional>><<beginOptional>>licensed<<endOptional>> under the "
@@ -71,14 +80,9 @@ TEMPLATES = (
     ("isc", "Permission to use, copy, modify, and <<beginOptional>>or<<endOptional>> distribute this software for any purpose with "
             "or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all "
             "copies."),
-    ("bsd-2-clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
-                     "the following conditions are met: <<beginOptional>>1.<<endOptional>> Redistributions of source code must "
-                     "retain the above copyright notice, this list of conditions and the following disclaimer. "
-                     "<<beginOptional>>2.<<endOptional>> Redistributions in binary form must reproduce the above copyright notice, "
-                     "this list of conditions and the following disclaimer in the documentation and/or other materials provided "
-                     "with the distribution. <<beginOptional>><<beginOptional>>3.<<endOptional>> Neither the name of "
-                     "<<var;name=owner;match=1-12>> may be used to endorse or promote products derived from this software "
-                     "without specific prior written permission.<<endOptional>>"),
+    ("bsd-2-clause", BSD_CLAUSES),
+    ("bsd-3-clause", BSD_CLAUSES + " <<beginOptional>>3.<<endOptional>> Neither the name of <<var;name=owner;match=1-12>> may be used to "
+                     "endorse or promote products derived from this software without specific prior written permission."),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
@@ -261,6 +265,10 @@ class Scanner:
             return len(words), 0, None, None, "", "", 0.0, []
         places = list(self.base(words))
         found = list(self.matches(words))
+        most: dict[int, int] = {}
+        for _, start, n in found:
+            most[start] = max(n, most.get(start, 0))
+        found = [f for f in found if f[2] == most[f[1]]]
         base_labels = {label for _, label in places}
         score = MAX_PHRASE_SCORE if places else 0.0
         for k, _, n in found:
