@@ -12,6 +12,9 @@ CATEGORY_SEPARATOR = ", "
 # Fixed value: reviews with at least this many stars count as positive.
 POSITIVE_FROM = 2.5
 
+#: Mean radius of the earth in kilometres.
+EARTH_KM = 6371.0088
+
 
 def split_categories(categories: Column, pattern: str = CATEGORY_SEPARATOR) -> Column:
     """Category text as an array. ``pattern=r'\\s*,\\s*'`` also trims loose commas."""
@@ -24,6 +27,14 @@ def planar_distance(lat: Column, lon: Column, to_lat: Column, to_lon: Column) ->
     return F.sqrt(dlat * dlat + dlon * dlon)
 
 
+def haversine_distance(lat: Column, lon: Column, to_lat: Column, to_lon: Column) -> Column:
+    """Great-circle distance in kilometres; null when any coordinate is null."""
+    up, across = F.sin(F.radians(to_lat - lat) / 2), F.sin(F.radians(to_lon - lon) / 2)
+    part = up * up + F.cos(F.radians(lat)) * F.cos(F.radians(to_lat)) * across * across
+    # Rounding may bring antipodes just above 1. (least() would skip nulls.)
+    return F.asin(F.sqrt(F.when(part > 1, 1.0).otherwise(part))) * (2 * EARTH_KM)
+
+
 def as_label(column: str) -> Column:
     """A column as a double training label; text that is no number becomes null."""
     return F.col(column).try_cast("double").alias("label")

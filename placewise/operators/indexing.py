@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placewise.operators.ordering import number_rows
 
+#: Keys that are broadcast because many rows may share them: about 1 MB, whatever the size of the data.
+HEAD = 10_000
+
+
 def label_counts(df: DataFrame, column: str) -> DataFrame:
     """(label, n) for every non-null label; partial aggregation absorbs hot labels."""
     return (df.where(F.col(column).isNotNull())
@@ -24,9 +28,37 @@ def index_counts(counts: DataFrame, column: str, index: str, path: str | None =
     return number_rows(counts, [F.desc("n"), F.asc(column)], index, path=path).select(column, index)
 
 
-def index_reviews(review: DataFrame, user_map: DataFrame, business_map: DataFrame) -> DataFrame:
-    """Reviews plus userIndex and businessIndex; rows without either id drop out."""
-    return (review.join(business_map, "business_id").join(user_map, "user_id")
+def grown_index(known: DataFrame, counts: DataFrame, column: str, index: str, path: str | None = None) -> DataFrame:
+    """(column, index): all known numbers as they are, then the labels that are new in ``counts`` (column, n) by falling count.
+
+    Maps, ratings and factors that were stored under the old numbers stay valid. A known label that is
+    gone keeps its number.
+    """
+    new = counts.where(F.col(column).isNotNull()).join(known.select(column), column, "left_anti").select(column, "n")
+    last = known.agg(F.max(index)).first()[0]
+    numbered = number_rows(new, [F.desc("n"), F.asc(column)], index, start=0 if last is None else last + 1, path=path)
+    return known.select(column, F.col(index).cast("long").alias(index)).unionByName(numbered.select(column, index))
+
+
+def with_popular(rows: DataFrame, mapping: DataFrame, key: str, rank: Column, head: int = HEAD) -> DataFrame:
+    """``rows`` joined with ``mapping`` (one row for each ``key``), whose ``rank`` numbers the keys by falling count from 0.
+
+    A key that many rows share would send them all to one task. So the first ``head`` keys are broadcast, a table
+    of fixed size, and their rows stay where they are; only rows of rarer keys are shuffled.
+    """
+    popular = F.broadcast(mapping.where(rank < head))
+    rest = rows.join(popular.select(key), key, "left_anti").join(mapping.where(rank >= head), key)
+    return rows.join(popular, key).unionByName(rest)
+
+
+def index_reviews(review: DataFrame, user_map: DataFrame, business_map: DataFrame, head: int = HEAD) -> DataFrame:
+    """Reviews plus userIndex and businessIndex; rows without either id drop out.
+
+    Each review goes one of four ways, by whether its business and its user are popular; those of a popular
+    business by a popular user are not shuffled at all.
+    """
+    both = with_popular(review, business_map, "business_id", F.col("businessIndex"), head)
+    return (with_popular(both, user_map, "user_id", F.col("userIndex"), head)
             .select(*review.columns, "businessIndex", "userIndex"))
 
 

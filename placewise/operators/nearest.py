@@ -64,7 +64,7 @@ def location_index(features: DataFrame, n: int, path: str | None = None,
     spark = features.sparkSession
     path = path or scratch_path(spark, "locations")
     finest = levels[-1]
-    (_candidates(features, n).withColumns(_cell(finest))
+    (candidates(features, n).withColumns(_cell(finest))
      .write.mode("overwrite").parquet(f"{path}/sites"))
     cells = spark.read.schema(_SITES).parquet(f"{path}/sites").groupBy("cx", "cy").agg(
         F.count(F.lit(1)).alias("held"),
@@ -135,7 +135,7 @@ def search(index: LocationIndex, points: DataFrame, n: int) -> DataFrame:
             .select("point_id", "business_id", "distance", "rank"))
 
 
-def _candidates(features: DataFrame, n: int) -> DataFrame:
+def candidates(features: DataFrame, n: int) -> DataFrame:
     """Businesses that can be among the n nearest of any point.
 
     Businesses at one coordinate tie for every point and ties go to the smallest ids,

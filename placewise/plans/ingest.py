@@ -6,6 +6,7 @@ text or the reason in ``_bad_line``, and the file in ``_path``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,11 +14,11 @@ from pyspark.sql import functions as F
 
 from placewise.operators.business import latest_by_key
 from placewise.schemas import entity_schema
-from placewise.session import scratch_path
 from placewise.sources.bundles import list_bundles, scan_member
 from placewise.sources.json_lines import (BAD_LINE, LINE, LINE_JSON, MODIFIED, PATH, accepted, extra_columns,
                                           rejected, scan_entity, scan_inferred, with_place)
-from placewise.sources.tables import append_table, overwrite_table, read_path
+from placewise.sources.tables import append_table, delete_path, location_of, overwrite_table, widen_table
+from placewise.sources.versions import find
 
 # Entities that keep one row per key; a review is an event and stays as it came.
 KEYED = {"business": "business_id", "user": "user_id"}
@@ -76,31 +77,50 @@ def ingest_bundles(spark: SparkSession, path: str, prefix: str = "", fmt: str =
 def merge_table(records: DataFrame, name: str, key: str, fmt: str = "parquet") -> None:
     """Replace the stored rows of the keys in ``records`` (one row each) and add the others.
 
-    The new version is written beside the table and then takes its place.
+    The new rows are written once, beside the table; then the table is pointed to them, which is one change of
+    the catalog. Until then, and if the job is lost, the table is the old one.
     """
     spark = records.sparkSession
     if not spark.catalog.tableExists(name):
         return overwrite_table(records, name, fmt)
-    path = scratch_path(spark, "merged")
-    kept = spark.table(name).join(records.select(key), key, "left_anti")
-    kept.unionByName(records, allowMissingColumns=True).write.format(fmt).save(path)
-    return overwrite_table(read_path(spark, path, fmt), name, fmt)
+    stored = spark.table(name)
+    kept = stored.join(records.select(key), key, "left_anti")
+    merged = kept.unionByName(records, allowMissingColumns=True)
+    place = location_of(spark, name)
+    path = f"{place}-{uuid.uuid4().hex}"
+    merged.write.format(fmt).save(path)
+    widen_table(spark, name, merged)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+    delete_path(spark, place)
 
 
 def _store(scanned: DataFrame, entity: str, name: str, mode: str, fmt: str) -> None:
+    spark, key = scanned.sparkSession, KEYED.get(entity)
     good = newest(accepted(scanned, entity), entity)
     bad = rejected(scanned, entity).drop(MODIFIED, LINE)
-    if mode == "overwrite":
+    if (table := find(spark, name)) is not None:
+        # The name is a view of a versioned table, which keeps where each record stood.
+        table.merge(accepted(scanned, entity), key, replace=mode == "overwrite")
+        table.publish(name)
+    elif mode == "overwrite":
         overwrite_table(good, name, fmt)
-        overwrite_table(bad, f"{name}_rejected", fmt)
-        return
-    if entity in KEYED:
-        merge_table(good, name, KEYED[entity], fmt)
+    elif key:
+        merge_table(good, name, key, fmt)
     else:
         append_table(good, name, fmt, widen=True)
-    append_table(bad, f"{name}_rejected", fmt, widen=True)
+    refused = f"{name}_rejected"
+    if (table := find(spark, refused)) is not None:
+        table.merge(rejected(scanned, entity), None, replace=mode == "overwrite")
+        table.publish(refused)
+    elif mode == "overwrite":
+        overwrite_table(bad, refused, fmt)
+    else:
+        append_table(bad, refused, fmt, widen=True)
 
 
 def quarantine(spark: SparkSession, name: str) -> DataFrame:
     """(_path, _bad_line) of everything a job rejected for table ``name``."""
-    return spark.table(f"{name}_rejected").select(PATH, BAD_LINE)
+    refused = find(spark, f"{name}_rejected")
+    rows = refused.read(places=True) if refused is not None else spark.table(f"{name}_rejected")
+    return rows.select(PATH, BAD_LINE)

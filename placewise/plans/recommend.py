@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from placewise.operators.business import latest_by_key
+from placewise.operators.indexing import with_popular
 from placewise.operators.lookup import with_ids
 from placewise.operators.stats import rmse
+from placewise.operators.topk import top_lists
 from placewise.session import shared_dir
 
 # Settings of the explicit and of the implicit model.
@@ -87,13 +89,16 @@ def train_als(ratings: DataFrame, seed: int = 42, **settings) -> tuple[ALSModel,
 
 def recommend_users(model: ALSModel, n: int = 5, user_map: DataFrame | None = None,
                     users: Iterable[str] | DataFrame | None = None) -> DataFrame:
-    """Top ``n`` for the given user ids, or for all users, as (userIndex, recommendations)."""
-    if users is None:
-        return model.recommendForAllUsers(n)
-    if user_map is None:
-        raise ValueError("user_map is needed to resolve user ids")
-    chosen = with_ids(user_map, users, "user_id").select(F.col("userIndex").cast("int"))
-    return model.recommendForUserSubset(chosen, n)
+    """Top ``n`` for the given user ids, or for all users, as (userIndex, recommendations).
+
+    Equal ratings are ordered by index; items that cannot be among the best are not scored."""
+    factors = model.userFactors
+    if users is not None:
+        if user_map is None:
+            raise ValueError("user_map is needed to resolve user ids")
+        chosen = with_ids(user_map, users, "user_id").select(F.col("userIndex").cast("int").alias("id"))
+        factors = factors.join(chosen, "id", "left_semi")
+    return top_lists(factors, model.itemFactors, n).drop("scored")
 
 
 def resolve_ids(recommended: DataFrame, user_map: DataFrame, business_map: DataFrame) -> DataFrame:
@@ -105,8 +110,9 @@ def resolve_ids(recommended: DataFrame, user_map: DataFrame, business_map: DataF
     user_map = user_map.withColumn("userIndex", F.col("userIndex").cast("int"))
     business_map = business_map.withColumn("businessIndex", F.col("businessIndex").cast("int"))
     flat = recommended.select("userIndex", F.posexplode("recommendations").alias("rank", "entry"))
-    named = (flat.withColumn("businessIndex", F.col("entry.businessIndex"))
-             .join(business_map, "businessIndex")
+    # A popular business stands in many lists; its index is small, as the most reviewed come first.
+    named = (with_popular(flat.withColumn("businessIndex", F.col("entry.businessIndex")), business_map, "businessIndex",
+                          F.col("businessIndex"))
              .select("userIndex", "rank", F.struct("businessIndex", "business_id",
                                                    F.col("entry.rating").alias("rating")).alias("entry")))
     lists = named.groupBy("userIndex").agg(
@@ -119,7 +125,7 @@ def resolve_ids(recommended: DataFrame, user_map: DataFrame, business_map: DataF
 def recommend_all(model: ALSModel, user_map: DataFrame, business_map: DataFrame,
                   k: int = LIST_LENGTH) -> DataFrame:
     """Top ``k`` for every user of the model, with original ids, ready to store by user_id."""
-    return resolve_ids(model.recommendForAllUsers(k), user_map, business_map)
+    return resolve_ids(recommend_users(model, k), user_map, business_map)
 
 
 def flatten(recs: DataFrame) -> DataFrame:

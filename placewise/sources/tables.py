@@ -37,14 +37,32 @@ def append_table(df: DataFrame, name: str, fmt: str = DEFAULT_FORMAT, widen: boo
     """Append a batch whose columns may be a subset of the table's; ``widen`` adds new columns to the table."""
     spark = df.sparkSession
     if spark.catalog.tableExists(name):
-        known = spark.table(name).columns
-        new = [f for f in df.schema.fields if f.name not in known]
-        if widen and new:
-            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+        if widen:
+            widen_table(spark, name, df)
         df = align_to(df, spark.table(name))
     df.write.mode("append").format(fmt).saveAsTable(name)
 
 
+def widen_table(spark: SparkSession, name: str, df: DataFrame) -> None:
+    """Add the columns of ``df`` that a catalog table does not have."""
+    known = spark.table(name).columns
+    new = [f for f in df.schema.fields if f.name not in known]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+
+
+def location_of(spark: SparkSession, name: str) -> str:
+    """The folder of a catalog table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == "Location").collect()
+    return rows[0].data_type.rstrip("/")
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder, wherever the session's file systems have it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def overwrite_path(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT) -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 

@@ -9,20 +9,22 @@ a run repeated after a failure adds a record twice. Rejected records of the same
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placewise.operators.business import latest_by_key
-from placewise.plans.ingest import KEYED, merge_table
+from placewise.plans.ingest import KEYED
 from placewise.schemas import entity_schema
 from placewise.sources.bundles import BINARY_FILE_DDL, MEMBERS, scan_member
 from placewise.sources.json_lines import (BAD_LINE, LINE, LINE_JSON, MODIFIED, PATH, accepted, extra_columns, rejected,
                                           with_bad_line, with_place)
+from placewise.sources.versions import BUCKETS, adopt
 
 BATCH = "_batch"
 PLACE = [MODIFIED, PATH, LINE]
+#: Folders of a table (one for each batch of reviews) beyond which the job makes one of them.
+MOST_FOLDERS = 24
 
 
 def ingest_new_files(spark: SparkSession, source: str, entity: str, target: str, checkpoint: str,
@@ -42,17 +44,8 @@ def ingest_new_bundles(spark: SparkSession, source: str, target: str, checkpoint
     ``extras`` keeps columns that are not declared as a map of JSON texts in ``_extra``.
     """
     for entity in entities:
-        arriving = (spark.readStream.format("binaryFile").schema(BINARY_FILE_DDL)
-                    .option("maxFilesPerTrigger", bundles_per_batch).load(source)
-                    .select("path", "modificationTime"))
-
-        def scan(batch: DataFrame, entity=entity) -> DataFrame:
-            records = scan_member(batch, entity, place=True, extras=extras)
-            if extras:
-                records = records.withColumn("_extra", extra_columns(F.col(LINE_JSON), entity_schema(entity).names)).drop(LINE_JSON)
-            return records.join(batch.select(F.col("path").alias(PATH), F.col("modificationTime").alias(MODIFIED)), PATH)
-
-        _take(arriving, entity, f"{target}/{entity}", f"{checkpoint}/{entity}", scan)
+        _take(_arriving_bundles(spark, source, bundles_per_batch), entity, f"{target}/{entity}", f"{checkpoint}/{entity}",
+              lambda batch, entity=entity: _bundle_records(batch, entity, extras))
 
 
 def taken_records(spark: SparkSession, target: str) -> DataFrame:
@@ -84,24 +77,49 @@ def with_increments(base: DataFrame, target: str, key: str | None = None) -> Dat
     return base.join(arrived.select(key), key, "left_anti").unionByName(arrived, allowMissingColumns=True)
 
 
-def update_tables(spark: SparkSession, source: str, target: str, checkpoint: str, prefix: str = "", fmt: str = "parquet") -> dict[str, str]:
+def update_tables(spark: SparkSession, source: str, target: str, checkpoint: str, prefix: str = "",
+                  bundles_per_batch: int = 100, extras: bool = False, buckets: int = BUCKETS) -> dict[str, str]:
     """One job from newly arrived bundles to the tables that ``build_features`` reads.
 
-    New bundles are taken once; then a business or user replaces its stored row by its newest record, and the
-    review table is the reviews it started with (``<prefix>review_base``, if any) and all taken ones.
+    The tables are versioned ones under ``<target>/tables`` and views ``<prefix><entity>`` of the catalog; a plain table of
+    that name, as ``ingest`` writes it, is taken over first. Each batch is merged once, however often the
+    job is repeated: a business or user keeps its record of the last place, a review is added. Rejected
+    records go to ``<prefix><entity>_rejected`` in the same way.
     """
-    ingest_new_bundles(spark, source, target, checkpoint)
-    tables = {}
-    for entity in MEMBERS:
-        tables[entity] = name = f"{prefix}{entity}"
-        if entity in KEYED:
-            merge_table(current_records(spark, f"{target}/{entity}", KEYED[entity]), name, KEYED[entity], fmt)
-            continue
-        parts = [all_records(spark, f"{target}/{entity}")]
-        if spark.catalog.tableExists(f"{name}_base"):
-            parts.insert(0, spark.table(f"{name}_base"))
-        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).write.mode("overwrite").format(fmt).saveAsTable(name)
-    return tables
+    names = {entity: f"{prefix}{entity}" for entity in MEMBERS}
+    stored = {entity: (adopt(spark, name, f"{target}/tables/{entity}", KEYED.get(entity), buckets),
+                       adopt(spark, f"{name}_rejected", f"{target}/tables/{entity}_rejected")) for entity, name in names.items()}
+
+    def store(batch: DataFrame, number: int) -> None:
+        for entity, (table, refused) in stored.items():
+            # Each member of an archive is opened once; accepted and rejected records are told apart afterwards.
+            path = f"{target}/batches/{entity}/{BATCH}={number}"
+            _bundle_records(batch, entity, extras).write.mode("overwrite").parquet(path)
+            records = spark.read.parquet(path)
+            table.merge(accepted(records, entity), KEYED.get(entity), checkpoint, number, buckets)
+            refused.merge(rejected(records, entity), None, checkpoint, number)
+
+    (_arriving_bundles(spark, source, bundles_per_batch).writeStream.foreachBatch(store)
+     .option("checkpointLocation", f"{checkpoint}/bundles").trigger(availableNow=True).start().awaitTermination())
+    for entity, name in names.items():
+        for table, own in zip(stored[entity], (name, f"{name}_rejected")):
+            if table.state().version:
+                table.compact(MOST_FOLDERS)
+                table.publish(own)
+    return names
+
+
+def _arriving_bundles(spark: SparkSession, source: str, bundles_per_batch: int) -> DataFrame:
+    return (spark.readStream.format("binaryFile").schema(BINARY_FILE_DDL)
+            .option("maxFilesPerTrigger", bundles_per_batch).load(source).select("path", "modificationTime"))
+
+
+def _bundle_records(batch: DataFrame, entity: str, extras: bool) -> DataFrame:
+    """Parsed records of a batch of archives with their place."""
+    records = scan_member(batch, entity, place=True, extras=extras)
+    if extras:
+        records = records.withColumn("_extra", extra_columns(F.col(LINE_JSON), entity_schema(entity).names)).drop(LINE_JSON)
+    return records.join(batch.select(F.col("path").alias(PATH), F.col("modificationTime").alias(MODIFIED)), PATH)
 
 
 def _newest(stored: DataFrame, key: str) -> DataFrame:

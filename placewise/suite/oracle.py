@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from placewise.functions.columns import EARTH_KM
 from placewise.suite import fixtures
-from placewise.suite.queries import BATCH_HITS, ID_LIST, POINT, POINT_HITS, SIMILAR_BELOW, USER_ID
+from placewise.suite.queries import BATCH_HITS, ID_LIST, POINT, POINT_HITS, SIMILAR_BELOW, USER_ID, WEIGHTED_FROM
 
 _NAMES = {n: n for n in ("part", "lineitem", "orders", "customer", "events")}
 
@@ -81,6 +82,18 @@ pairs AS (
          1 - len(list_intersect(a.set, b.set))
              / CAST(len(a.set) + len(b.set) - len(list_intersect(a.set, b.set)) AS DOUBLE) AS distance
   FROM profiles a JOIN profiles b ON a.profile < b.profile),
+vectors AS (
+  SELECT business_id, list_sort(list((input, weight))) AS vector FROM (
+    SELECT business_id, unnest(['#stars', '#latitude', '#longitude', '#review_count', '#positive_review_count', '#negative_review_count']) AS input,
+           unnest([stars / 5, (latitude + 90) / 180, (longitude + 180) / 360, log2(review_count + 1.0) / 16,
+                   log2(positive_review_count + 1.0) / 16, log2(negative_review_count + 1.0) / 16]) AS weight
+    FROM business LEFT JOIN review_counts USING (business_id)
+    UNION ALL SELECT DISTINCT business_id, category, 1.0 FROM category_rows WHERE category IS NOT NULL) t
+  WHERE weight > 0 GROUP BY business_id),
+weighed AS (
+  SELECT min(business_id) AS profile, vector, list_sum(list_transform(vector, lambda x: x[2])) AS total FROM vectors GROUP BY vector),
+inputs AS (
+  SELECT profile, x[1] AS input, x[2] AS weight FROM (SELECT profile, unnest(vector) AS x FROM weighed)),
 complete AS (
   SELECT b.business_id, b.stars AS label, CAST(substr(b.business_id, 2) AS BIGINT) * 7919 % 10 < 8 AS train
   FROM business b JOIN review_counts USING (business_id)
@@ -91,6 +104,16 @@ _DISTANCE = "sqrt(({lat} - {to_lat}) * ({lat} - {to_lat}) + ({lon} - {to_lon}) *
 _TO_POINT = _DISTANCE.format(lat="latitude", lon="longitude", to_lat=f"CAST({POINT[0]} AS DOUBLE)",
                              to_lon=f"CAST({POINT[1]} AS DOUBLE)")
 _PAIR = _DISTANCE.format(lat="h.latitude", lon="h.longitude", to_lat="p.latitude", to_lon="p.longitude")
+
+
+def _arc(lat, lon, to_lat, to_lon) -> str:
+    """Great-circle kilometres in SQL."""
+    half = "sin(radians(CAST({b} AS DOUBLE) - {a}) / 2)"
+    up, across = half.format(a=lat, b=to_lat), half.format(a=lon, b=to_lon)
+    part = f"{up} * {up} + cos(radians({lat})) * cos(radians(CAST({to_lat} AS DOUBLE))) * {across} * {across}"
+    return f"asin(sqrt(CASE WHEN {part} > 1 THEN 1 ELSE {part} END)) * {2 * EARTH_KM}"
+
+
 _NUMBER = "CAST(substr(business_id, 2) AS BIGINT)"
 _IDS = ", ".join(f"'{i}'" for i in ID_LIST)
 
@@ -156,6 +179,9 @@ _SELECTS = {
     "label_projection": f"""
         SELECT business_id, CASE WHEN {_NUMBER} % 10 = 0 THEN NULL ELSE stars END AS label FROM business""",
     "distance_column": f"SELECT business_id, round({_TO_POINT}, 6) AS distance FROM business",
+    "distance_haversine": f"""
+        SELECT business_id, round({_arc('latitude', 'longitude', POINT[0], POINT[1])}, 3) AS distance,
+               round({_arc('latitude', 'longitude', '-latitude', 180)}, 3) AS across FROM business""",
     "skip_unlabelled": 'SELECT business_id, category, "categoryIndex" FROM joined JOIN category_index USING (category)',
     "skip_incomplete": 'SELECT * EXCLUDE ("categoryIndex") FROM hashed',
     "portable_split": "SELECT user_id, business_id, stars, train FROM split",
@@ -193,6 +219,16 @@ _SELECTS = {
         WHERE distance < {SIMILAR_BELOW} AND ({" OR ".join(
             f"{_set_mark('set_a', i)} = {_set_mark('set_b', i)}" for i in range(5))})""",
 
+    "similar_weighted": f"""
+        SELECT profile_a, profile_b, round(similarity, 6) AS similarity FROM (
+          SELECT a.profile AS profile_a, b.profile AS profile_b,
+                 round(least_sum / (a.total + b.total - least_sum), 9) AS similarity
+          FROM (SELECT a, b, sum(least(x.weight, y.weight)) AS least_sum FROM (
+                  SELECT x.profile AS a, y.profile AS b, x, y FROM inputs x JOIN inputs y ON x.input = y.input AND x.profile < y.profile)
+                GROUP BY a, b) p
+          JOIN weighed a ON a.profile = p.a JOIN weighed b ON b.profile = p.b)
+        WHERE similarity >= {WEIGHTED_FROM}""",
+
     "review_counts": "SELECT * FROM review_counts",
     "distinct_locations": "SELECT DISTINCT business_id, latitude, longitude FROM hashed",
     "category_ranking": 'SELECT category, "categoryIndex" FROM category_index',
@@ -217,6 +253,32 @@ _SELECTS = {
           FROM (SELECT p.point_id, h.business_id, {_PAIR} AS distance
                 FROM points p CROSS JOIN (SELECT DISTINCT business_id, latitude, longitude FROM hashed) h))
         WHERE rank <= {BATCH_HITS}""",
+    "nearest_planar_blocks": f"""
+        SELECT point_id, business_id, round(distance, 6) AS distance, rank FROM (
+          SELECT point_id, business_id, distance,
+                 row_number() OVER (PARTITION BY point_id ORDER BY distance, business_id) AS rank
+          FROM (SELECT p.point_id, h.business_id, {_PAIR} AS distance
+                FROM points p CROSS JOIN (SELECT DISTINCT business_id, latitude, longitude FROM hashed) h))
+        WHERE rank <= {BATCH_HITS}""",
+    "nearest_haversine": f"""
+        SELECT point_id, business_id, round(distance, 3) AS distance, rank FROM (
+          SELECT point_id, business_id, distance,
+                 row_number() OVER (PARTITION BY point_id ORDER BY round(distance, 6), business_id) AS rank
+          FROM (SELECT p.point_id, h.business_id, {_arc('h.latitude', 'h.longitude', 'p.latitude', 'p.longitude')} AS distance
+                FROM (SELECT * FROM points
+                      UNION ALL SELECT concat('e', point_id), latitude,
+                                       CASE WHEN CAST(substr(point_id, 2) AS BIGINT) % 2 = 0 THEN 180.0 ELSE -180.0 END FROM points
+                      UNION ALL SELECT concat('p', point_id), CASE WHEN CAST(substr(point_id, 2) AS BIGINT) % 2 = 0 THEN 90.0 ELSE -90.0 END,
+                                       longitude FROM points) p
+                CROSS JOIN (SELECT DISTINCT business_id, latitude, longitude FROM hashed) h))
+        WHERE rank <= {BATCH_HITS}""",
+    "top_items_exact": f"""
+        SELECT "user", rank, item, score FROM (
+          SELECT "user", item, score, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS rank
+          FROM (SELECT CAST(substr(user_id, 2) AS BIGINT) AS "user", {_NUMBER} AS item,
+                       (fans - 2) * stars * 2 + (u.review_count % 10) * (b.review_count % 13 - 6) + length(elite) * is_open * 3 AS score
+                FROM users u CROSS JOIN business b))
+        WHERE rank <= {BATCH_HITS}""",
     "rank_fixed_scores": """
         SELECT business_id, prediction, row_number() OVER (ORDER BY prediction DESC, business_id) AS rank
         FROM (SELECT business_id, round(avg(stars), 6) AS prediction FROM review GROUP BY 1)""",
@@ -231,6 +293,10 @@ _SELECTS = {
         SELECT business_id, 5 + "categoryIndex", 1.0 FROM hashed""",
 
     "indexed_reviews": "SELECT * FROM indexed",
+    "growing_index": """
+        SELECT business_id, CAST(row_number() OVER (ORDER BY good IS NULL, good DESC, CASE WHEN good IS NULL THEN n END DESC, business_id) - 1 AS BIGINT) AS "businessIndex"
+        FROM (SELECT business_id, count(*) AS n FROM review GROUP BY 1)
+        LEFT JOIN (SELECT business_id, count(*) AS good FROM review WHERE stars >= 5 GROUP BY 1) USING (business_id)""",
     "user_index_map": 'SELECT user_id, "userIndex" FROM user_index',
     "business_index_map": 'SELECT business_id, "businessIndex" FROM business_index',
     "minhash_signatures": f"""
@@ -243,6 +309,27 @@ _SELECTS = {
         UNION ALL SELECT concat('r', business_id), sum(stars) FROM review GROUP BY 1""",
     "append_bundles": """
         SELECT business_id, 2 * count(*) AS n, 2 * sum(stars) AS stars FROM review GROUP BY 1""",
+    "update_job": f"""
+        SELECT business_id AS id, CAST(1 AS BIGINT) AS n, stars + CASE WHEN {_NUMBER} % 4 = 0 THEN 20 WHEN {_NUMBER} % 2 = 0 THEN 10 ELSE 0 END AS value
+        FROM business WHERE {_NUMBER} % 3 <> 0 OR {_NUMBER} % 2 = 0
+        UNION ALL SELECT user_id, 1, CAST(fans + CASE WHEN k % 11 = 0 THEN 30 WHEN k % 3 = 0 THEN 20 WHEN k % 2 = 0 THEN 10 ELSE 0 END AS DOUBLE)
+        FROM (SELECT *, CAST(substr(user_id, 2) AS BIGINT) AS k FROM users)
+        UNION ALL SELECT concat('r', user_id), sum(times), sum(times * stars)
+        FROM (SELECT *, 1 + CASE WHEN CAST(substr(user_id, 2) AS BIGINT) % 5 = 0 THEN 1 ELSE 0 END
+                          + CASE WHEN CAST(substr(user_id, 2) AS BIGINT) % 7 = 0 THEN 1 ELSE 0 END AS times FROM review) GROUP BY user_id""",
+    "stored_rejects": f"""
+        SELECT bad_line, name, count(*) AS n FROM (
+          SELECT CASE WHEN {_NUMBER} % 5 = 0 THEN concat('broken ', business_id) END AS bad_line,
+                 CASE WHEN {_NUMBER} % 5 <> 0 THEN name END AS name FROM business WHERE {_NUMBER} % 5 = 0 OR {_NUMBER} % 7 = 0
+          UNION ALL SELECT NULL, name FROM business WHERE {_NUMBER} % 6 = 0) GROUP BY 1, 2""",
+    "stored_extras": """
+        SELECT user_id, concat(user_id, ' on ', business_id) AS text, 2 * count(*) AS n FROM review WHERE stars >= 4 GROUP BY 1, 2""",
+    "latest_ratings": """
+        SELECT "userIndex", "businessIndex", stars, round(mean, 6) AS mean FROM (
+          SELECT CAST(o_custkey AS BIGINT) AS "userIndex", CAST(l_partkey AS BIGINT) AS "businessIndex",
+                 arg_max(CAST(l_quantity AS DOUBLE), (CAST(o_orderdate AS VARCHAR), CAST(l_quantity AS DOUBLE))) AS stars,
+                 avg(CAST(l_quantity AS DOUBLE)) AS mean
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)""",
     "incremental_files": """
         SELECT * REPLACE (CASE WHEN CAST(substr(user_id, 2) AS BIGINT) % 3 = 0
                                THEN average_stars + 1 ELSE average_stars END AS average_stars) FROM users""",
@@ -259,6 +346,8 @@ _SELECTS = {
         SELECT count(*) AS scored, true AS within_spread, true AS no_leak FROM complete WHERE NOT train""",
     "rating_linear": """
         SELECT count(*) AS scored, true AS within_spread, true AS no_leak FROM complete WHERE NOT train""",
+    "rating_refit_statistics": """
+        SELECT business_id, label, true AS same, (SELECT count(*) FROM complete) AS n FROM complete""",
     "rating_refit": "SELECT count(*) AS scored, true AS beats_spread FROM complete",
 }
 
@@ -273,6 +362,8 @@ _TRAINED = {
     "als_lookup": f"""
         SELECT a.user_id, CASE WHEN t.user_id IS NULL THEN 0 ELSE n END AS listed
         FROM {_ASKED} a CROSS JOIN list_length LEFT JOIN trained_users t USING (user_id)""",
+    "als_fold_in": """
+        SELECT user_id, true AS same_factors, CAST(5 AS BIGINT) AS listed FROM trained_users""",
     "als_user_subset": """
         SELECT user_id, CAST(5 AS BIGINT) AS listed FROM trained_users JOIN users USING (user_id) WHERE elite = 'BUILDING'""",
 }

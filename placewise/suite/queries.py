@@ -10,14 +10,16 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placewise.functions.columns import as_label, densify, id_list, is_train, planar_distance
+from placewise.functions.columns import as_label, densify, haversine_distance, id_list, is_train, planar_distance
 from placewise.operators import business as ops
-from placewise.operators import lookup, similar, stats
-from placewise.operators.indexing import dimension_map, frequency_index, ids_of, index_reviews
+from placewise.operators import lookup, similar, stats, weighted
+from placewise.operators.indexing import dimension_map, frequency_index, grown_index, ids_of, index_reviews, label_counts
 from placewise.operators.nearest import located, nearest, nearest_to
+from placewise.operators.proximity import nearest_places
+from placewise.operators.topk import top_lists
 from placewise.plans import features as feature_plan
-from placewise.plans import rating, recommend
-from placewise.plans.ingest import ingest, ingest_bundles
+from placewise.plans import foldin, rating, recommend, statistics
+from placewise.plans.ingest import ingest, ingest_bundles, quarantine
 from placewise.session import scratch_path
 from placewise.sources import json_lines, runs, tables
 from placewise.sources.bundles import read_bundle
@@ -32,6 +34,7 @@ BATCH_HITS = 10
 ID_LIST = ["b1", "b7", "b20", "b33", "b150", "b-unknown"]
 USER_ID = "u7"
 SIMILAR_BELOW = 0.5
+WEIGHTED_FROM = 0.8
 SPLIT = (("businessIndex", 7919), ("userIndex", 104729))
 
 
@@ -249,6 +252,15 @@ def distance_column(t: Tables) -> DataFrame:
             .select("business_id", rounded("distance")))
 
 
+@query
+def distance_haversine(t: Tables) -> DataFrame:
+    """From one point, and from the place across the antimeridian."""
+    lat, lon = F.lit(POINT[0]), F.lit(POINT[1])
+    across = haversine_distance(F.col("latitude"), F.col("longitude"), -F.col("latitude"), F.lit(180.0))
+    return (t.business.withColumn("distance", haversine_distance(F.col("latitude"), F.col("longitude"), lat, lon))
+            .withColumn("across", across).select("business_id", rounded("distance", 3), rounded("across", 3)))
+
+
 @query
 def skip_unlabelled(t: Tables) -> DataFrame:
     encoded = feature_plan.encode_categories(_joined_rows(t), feature_plan.category_index(t.business))
@@ -352,6 +364,13 @@ def similar_minhash(t: Tables) -> DataFrame:
             .select("profile_a", "profile_b", rounded("distance")))
 
 
+@query
+def similar_weighted(t: Tables) -> DataFrame:
+    """Pairs of businesses alike over all numbers and categories."""
+    profiles, _ = weighted.distinct_vectors(weighted.vectors(t.business, ops.review_counts(t.review)))
+    return weighted.similar_vectors(profiles, WEIGHTED_FROM).select("profile_a", "profile_b", rounded("similarity"))
+
+
 # ---------------------------------------------------------------- aggregates
 
 @query
@@ -401,6 +420,40 @@ def nearest_to_points(t: Tables) -> DataFrame:
     return found.select("point_id", "business_id", rounded("distance"), F.col("rank").cast("long").alias("rank"))
 
 
+def edge_points(t: Tables) -> DataFrame:
+    """The points, and for each of them one on the antimeridian and one at a pole."""
+    n = number("point_id")
+    edge = t.points.select(F.concat(F.lit("e"), "point_id").alias("point_id"), "latitude",
+                           F.when(n % 2 == 0, 180.0).otherwise(-180.0).alias("longitude"))
+    pole = t.points.select(F.concat(F.lit("p"), "point_id").alias("point_id"),
+                           F.when(n % 2 == 0, 90.0).otherwise(-90.0).alias("latitude"), "longitude")
+    return t.points.unionByName(edge).unionByName(pole)
+
+
+@query
+def nearest_haversine(t: Tables) -> DataFrame:
+    found = nearest_places(tables.read_path(t.spark, _built(t).business_hashed), edge_points(t), BATCH_HITS)
+    return found.select("point_id", "business_id", rounded("distance", 3), F.col("rank").cast("long").alias("rank"))
+
+
+@query
+def nearest_planar_blocks(t: Tables) -> DataFrame:
+    found = nearest_places(tables.read_path(t.spark, _built(t).business_hashed), t.points, BATCH_HITS, "planar")
+    return found.select("point_id", "business_id", rounded("distance"), F.col("rank").cast("long").alias("rank"))
+
+
+@query
+def top_items_exact(t: Tables) -> DataFrame:
+    """Best businesses for each user by the inner product of plain columns, whole in single precision."""
+    users = t.user.select(number("user_id").cast("int").alias("id"),
+                          F.array(F.col("fans") - 2, F.col("review_count") % 10, F.length("elite")).cast("array<float>").alias("features"))
+    items = t.business.select(number("business_id").cast("int").alias("id"),
+                              F.array(F.col("stars") * 2, F.col("review_count") % 13 - 6, F.col("is_open") * 3).cast("array<float>").alias("features"))
+    found = top_lists(users, items, BATCH_HITS).select("userIndex", F.posexplode("recommendations").alias("at", "entry"))
+    return found.select(F.col("userIndex").cast("long").alias("user"), (F.col("at") + 1).cast("long").alias("rank"),
+                        F.col("entry.businessIndex").cast("long").alias("item"), F.col("entry.rating").cast("double").alias("score"))
+
+
 @query
 def rank_fixed_scores(t: Tables) -> DataFrame:
     scores = t.review.groupBy("business_id").agg(F.round(F.avg("stars"), 6).alias("prediction"))
@@ -465,6 +518,14 @@ def indexed_reviews(t: Tables) -> DataFrame:
     return index_reviews(t.review, users, businesses)
 
 
+@query
+def growing_index(t: Tables) -> DataFrame:
+    """Numbers of businesses by their good reviews, then grown by all reviews: the first ones stay."""
+    path = scratch_path(t.spark, "first-index")
+    tables.overwrite_path(frequency_index(t.review.where(F.col("stars") >= 5), "business_id", "businessIndex"), path)
+    return grown_index(tables.read_path(t.spark, path), label_counts(t.review, "business_id"), "business_id", "businessIndex")
+
+
 @query
 def user_index_map(t: Tables) -> DataFrame:
     indexed = tables.read_path(t.spark, _built(t).review_transformed)
@@ -545,6 +606,20 @@ def als_user_subset(t: Tables) -> DataFrame:
             .select("user_id", F.size("recommendations").cast("long").alias("listed")))
 
 
+@query
+def als_fold_in(t: Tables) -> DataFrame:
+    """Trained users folded in from their ratings: whether they get their factors, and lists as new users."""
+    model, _ = _als(t)
+    seen = recommend.rating_rows(tables.read_path(t.spark, _built(t).review_transformed)).where(is_train(*SPLIT))
+    folded = foldin.fold_in(model.itemFactors, seen, model.rank)
+    trained = model.userFactors.select("id", F.col("features").alias("trained"))
+    apart = F.aggregate(F.zip_with("features", "trained", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda s, x: F.greatest(s, x.cast("double")))
+    arrived = seen.withColumn("userIndex", F.col("userIndex") + 1_000_000_000)
+    lists = foldin.recommend_arrived(model, arrived, 5).select((F.col("userIndex") - 1_000_000_000).alias("id"), F.size("recommendations").cast("long").alias("listed"))
+    return (trained.join(folded, "id", "left").join(lists, "id", "left").join(tables.read_path(t.spark, _built(t).user_map), F.col("id") == F.col("userIndex"))
+            .select("user_id", (apart < 0.005).alias("same_factors"), "listed"))
+
+
 @query
 def als_implicit(t: Tables) -> DataFrame:
     built = _built(t)
@@ -596,6 +671,20 @@ def rating_refit(t: Tables) -> DataFrame:
                                            (F.sqrt(F.avg(error * error)) < spread).alias("beats_spread"))
 
 
+@query
+def rating_refit_statistics(t: Tables) -> DataFrame:
+    """Sums of old rows plus those of new ones against a full fit: the model, and each business's prediction."""
+    rows = _rating_rows(t)
+    stored, arrived = rating.split_by_business(rows, _train_business())
+    path = scratch_path(t.spark, "statistics")
+    tables.overwrite_path(statistics.statistics(stored), path)
+    added = statistics.solve(statistics.together(tables.read_path(t.spark, path), statistics.statistics(arrived)))
+    full = statistics.solve(statistics.statistics(rows))
+    after = added.predict(rows).select("business_id", F.col("prediction").alias("after"))
+    return (full.predict(rows).join(after, "business_id")
+            .select("business_id", "label", (F.abs(F.col("prediction") - F.col("after")) < 1e-9).alias("same"), F.lit(added.rows).cast("long").alias("n")))
+
+
 def _rating_quality(t: Tables, kind: str) -> DataFrame:
     rows = _rating_rows(t)
     _, quality = rating.train_rating_model(rows, _train_business(), kind=kind)
@@ -635,6 +724,70 @@ def append_bundles(t: Tables) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n"), F.sum("stars").alias("stars")))
 
 
+@query
+def update_job(t: Tables) -> DataFrame:
+    """All three tables after a bootstrap, two bundles (the newer one first), both once more, and a later append."""
+    key, who = number("business_id"), number("user_id")
+    prefix, target, progress = f"{scratch_database(t.spark)}.", scratch_path(t.spark, "updated"), scratch_path(t.spark, "progress")
+    ingest(t.spark, {"business": write_json(full_business(t.business.where(key % 3 != 0)), "business-json"),
+                     "review": write_json(t.review, "review-json"), "user": write_json(t.user, "user-json")}, prefix=prefix)
+    older, newer = scratch_path(t.spark, "bundles"), scratch_path(t.spark, "bundles")
+    raised = lambda df, column, by: df.withColumn(column, F.col(column) + by)
+    first = write_bundles({"business": raised(full_business(t.business.where(key % 2 == 0)), "stars", 10), "review": t.review.where(who % 5 == 0),
+                           "user": raised(t.user.where(who % 2 == 0), "fans", 10)}, 2, older)
+    second = write_bundles({"business": raised(full_business(t.business.where(key % 4 == 0)), "stars", 20), "review": t.review.where(who % 7 == 0),
+                            "user": raised(t.user.where(who % 3 == 0), "fans", 20)}, 2, newer)
+    for name, bundles in (("newer", second), ("older", first), ("newer", second), ("older", first)):
+        names = increments.update_tables(t.spark, bundles, target, f"{progress}/{name}", prefix)
+    ingest(t.spark, {"user": write_json(raised(t.user.where(who % 11 == 0), "fans", 30), "user-json")}, mode="append", prefix=prefix)
+    names = increments.update_tables(t.spark, first, target, f"{progress}/older", prefix)
+    stored = {e: t.spark.table(n) for e, n in names.items()}
+    return (stored["business"].select(F.col("business_id").alias("id"), F.lit(1).cast("long").alias("n"), F.col("stars").alias("value"))
+            .unionByName(stored["user"].select(F.col("user_id").alias("id"), F.lit(1).cast("long").alias("n"), F.col("fans").cast("double").alias("value")))
+            .unionByName(stored["review"].groupBy(F.concat(F.lit("r"), "user_id").alias("id"))
+                         .agg(F.count(F.lit(1)).alias("n"), F.sum("stars").alias("value"))))
+
+
+@query
+def stored_rejects(t: Tables) -> DataFrame:
+    """What a bootstrap and a bundle job put aside, with the record or the raw text."""
+    key = number("business_id")
+    prefix, target = f"{scratch_database(t.spark)}.", scratch_path(t.spark, "updated")
+    line = F.when(key % 5 == 0, F.concat(F.lit("broken "), "business_id")).when(key % 7 == 0, F.to_json(F.struct("name"))).otherwise(F.to_json(F.struct("business_id", "name")))
+    path = scratch_path(t.spark, "mixed-lines")
+    t.business.select(line.alias("value")).write.text(path)
+    names = ingest(t.spark, {"business": path}, prefix=prefix)
+    unnamed = full_business(t.business.where(key % 6 == 0)).withColumn("business_id", F.lit(None).cast("string"))
+    bundles = write_bundles({"business": unnamed}, 2, scratch_path(t.spark, "bundles"))
+    names = increments.update_tables(t.spark, bundles, target, scratch_path(t.spark, "progress"), prefix)
+    return (t.spark.table(f"{names['business']}_rejected").groupBy(F.col("_bad_line").alias("bad_line"), "name").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query
+def stored_extras(t: Tables) -> DataFrame:
+    """Columns that are not declared: inferred from files, and as a map from bundles."""
+    prefix, target = f"{scratch_database(t.spark)}.", scratch_path(t.spark, "updated")
+    review = t.review.where(F.col("stars") >= 4).withColumn("text", F.concat("user_id", F.lit(" on "), "business_id"))
+    files = ingest(t.spark, {"review": write_json(review, "review-json")}, prefix=f"{prefix}file_", infer=True)
+    bundles = write_bundles({"review": review}, 2, scratch_path(t.spark, "bundles"))
+    names = increments.update_tables(t.spark, bundles, target, scratch_path(t.spark, "progress"), f"{prefix}bundle_", extras=True)
+    found = (t.spark.table(files["review"]).select("user_id", "text").unionByName(
+        t.spark.table(names["review"]).select("user_id", F.col("_extra")["text"].alias("text"))))
+    return found.groupBy("user_id", "text").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def latest_ratings(t: Tables) -> DataFrame:
+    """Each user's last rating of a business, and the mean of all of them."""
+    dated = t.raw("lineitem").join(t.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = dated.select(F.col("o_custkey").alias("userIndex"), F.col("l_partkey").alias("businessIndex"),
+                        F.col("l_quantity").cast("double").alias("stars"), F.col("o_orderdate").cast("string").alias("date"))
+    last, mean = recommend.rating_rows(rows, "last"), recommend.rating_rows(rows, "mean")
+    return (last.join(mean.withColumnRenamed("stars", "mean"), ["userIndex", "businessIndex"])
+            .select(F.col("userIndex").cast("long").alias("userIndex"), F.col("businessIndex").cast("long").alias("businessIndex"),
+                    "stars", rounded("mean")))
+
+
 @query
 def incremental_files(t: Tables) -> DataFrame:
     source, target = scratch_path(t.spark, "arriving"), scratch_path(t.spark, "taken")

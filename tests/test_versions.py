@@ -1,0 +1,180 @@
+"""Versioned tables: no change loses rows, beats a newer record or counts twice."""
+
+import json
+import zipfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from placewise.plans.ingest import ingest, quarantine
+from placewise.sources import versions
+from placewise.sources.versions import Conflict, VersionedTable
+from placewise.streaming import increments
+
+USER = "user_id string, fans long, _modified timestamp, _path string, _line long"
+
+
+def users(spark, *rows):
+    """(user, fans, minute, line) as records with a place."""
+    made = [(u, f, m, "f", line) for u, f, m, line in rows]
+    df = spark.createDataFrame(made, "user_id string, fans long, m int, _path string, _line long")
+    return df.withColumn("_modified", F.timestamp_seconds(F.col("m") * 60)).drop("m")
+
+
+def fans(table, **options):
+    return {r.user_id: r.fans for r in table.read(**options).collect()}
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    return VersionedTable(spark, str(tmp_path / "table"))
+
+
+def test_last_place_wins_in_any_order(spark, table):
+    table.merge(users(spark, ("a", 5, 5, 0), ("b", 1, 1, 0), ("b", 2, 1, 1)), "user_id", buckets=4)
+    assert fans(table) == {"a": 5, "b": 2}
+    table.merge(users(spark, ("a", 3, 3, 0), ("b", 9, 9, 0), ("c", 1, 1, 0)), "user_id")
+    assert fans(table) == {"a": 5, "b": 9, "c": 1}
+    assert fans(table, version=1) == {"a": 5, "b": 2}
+
+
+def test_rows_without_place_are_the_oldest(spark, table):
+    table.merge(spark.createDataFrame([("a", 1), ("b", 1)], "user_id string, fans long"), "user_id")
+    table.merge(users(spark, ("a", 7, 0, 0)), "user_id")
+    assert fans(table) == {"a": 7, "b": 1}
+
+
+def test_only_touched_buckets_are_written(spark, table):
+    rows = [(f"u{k}", k, 0, k) for k in range(200)]
+    first = table.merge(users(spark, *rows), "user_id", buckets=16)
+    second = table.merge(users(spark, ("u7", 1000, 1, 0)), "user_id")
+    kept, new = list(second.held.items())
+    assert len(first.held[kept[0]]) == 16 and len(kept[1]) == 15 and len(new[1]) == 1
+    assert fans(table) == {f"u{k}": 1000 if k == 7 else k for k in range(200)}
+
+
+def test_a_batch_counts_once(spark, table):
+    for _ in range(2):
+        for batch in range(3):
+            table.merge(users(spark, ("u", batch, 0, 0)), None, "stream", batch)
+    assert table.read().count() == 3 and table.state().version == 3
+    table.merge(users(spark, ("u", 9, 0, 0)), None, "other", 0)
+    assert table.read().count() == 4
+
+
+def test_a_killed_run_leaves_the_old_version(spark, table, monkeypatch):
+    table.merge(users(spark, ("a", 1, 0, 0)), "user_id")
+    with monkeypatch.context() as m:
+        m.setattr(VersionedTable, "_commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            table.merge(users(spark, ("a", 2, 1, 0)), "user_id", "stream", 0)
+    assert fans(table) == {"a": 1} and table.state().version == 1
+    table.merge(users(spark, ("a", 2, 1, 0)), "user_id", "stream", 0)
+    assert fans(table) == {"a": 2}
+    assert any("batch" in name for name in table.expire(1)) and fans(table) == {"a": 2}
+    assert table.versions() == [2]
+
+
+def test_of_two_runs_at_a_time_one_fails(spark, table, monkeypatch):
+    table.merge(users(spark, ("a", 1, 0, 0)), "user_id")
+    before = table.state()
+    table.merge(users(spark, ("b", 1, 0, 0)), "user_id")
+    with monkeypatch.context() as m:
+        m.setattr(VersionedTable, "state", lambda self, version=None: before)
+        with pytest.raises(Conflict):
+            table.merge(users(spark, ("c", 1, 0, 0)), "user_id")
+    assert fans(table) == {"a": 1, "b": 1}
+
+
+def test_columns_widen_and_keep_their_type(spark, table):
+    table.merge(users(spark, ("a", 1, 0, 0)), "user_id")
+    table.merge(users(spark, ("b", 2, 0, 0)).withColumn("elite", F.lit("x")), "user_id")
+    assert {tuple(r) for r in table.read().select("user_id", "elite").collect()} == {("a", None), ("b", "x")}
+    with pytest.raises(ValueError, match="fans"):
+        table.merge(users(spark, ("b", 2, 0, 0)).withColumn("fans", F.lit("x")), "user_id")
+    with pytest.raises(ValueError, match="key"):
+        table.merge(users(spark, ("b", 2, 0, 0)), "fans")
+
+
+def test_views_follow_versions_and_compaction(spark, table):
+    spark.sql("CREATE DATABASE IF NOT EXISTS seen")
+    for batch in range(5):
+        rows = users(spark, ("u", batch, 0, 0))
+        table.merge(rows.withColumn("more", F.lit(batch)) if batch > 2 else rows, None, "s", batch)
+    table.publish("seen.review")
+    assert spark.table("seen.review").columns == ["user_id", "fans", "more"]
+    assert sorted((r.fans, r.more) for r in spark.table("seen.review").collect()) == [(0, None), (1, None), (2, None), (3, 3), (4, 4)]
+    before = sorted(map(str, spark.table("seen.review").collect()))
+    assert table.compact(5).version == 5 and table.compact().version == 6 and len(table.state().held) == 1
+    table.publish("seen.review")
+    assert sorted(map(str, spark.table("seen.review").collect())) == before and len(before) == 5
+    table.merge(users(spark, ("u", 4, 0, 0)), None, "s", 4)
+    assert table.state().version == 6
+    assert versions.find(spark, "seen.review").root == table.root
+
+
+def test_empty_changes(spark, table):
+    table.merge(users(spark, ("a", 1, 0, 0)).limit(0), "user_id")
+    assert fans(table) == {} and table.state().version == 1
+    table.merge(users(spark, ("a", 1, 0, 0)), "user_id")
+    table.merge(users(spark, ("a", 1, 0, 0)), "user_id", replace=True)
+    assert fans(table) == {"a": 1}
+
+
+def bundle(path, **members):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for name, rows in members.items():
+            archive.writestr(f"{name}.json", "\n".join(r if isinstance(r, str) else json.dumps(r) for r in rows))
+
+
+def lines(path, rows):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("\n".join(json.dumps(r) for r in rows))
+    return str(path)
+
+
+def test_updates_keep_what_was_bootstrapped(spark, tmp_path):
+    """Ten stored reviews stay when one arrives, and a user appended later is not set back by an update."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS kept")
+    review = {"user_id": "u1", "business_id": "b1", "stars": 2}
+    ingest(spark, {"review": lines(tmp_path / "r" / "review.json", [review] * 10),
+                   "user": lines(tmp_path / "r" / "user.json", [{"user_id": "u0", "fans": 5}])}, prefix="kept.")
+    folder, target, done = tmp_path / "zips", str(tmp_path / "out"), str(tmp_path / "done")
+    bundle(folder / "1.zip", review=[review, "junk"], user=[{"user_id": "u1", "fans": 1}])
+    for _ in range(2):
+        names = increments.update_tables(spark, f"{folder}/*.zip", target, done, prefix="kept.")
+    assert spark.table(names["review"]).count() == 11
+    assert [r._bad_line for r in quarantine(spark, names["review"]).collect()] == ["junk"]
+    ingest(spark, {"user": lines(tmp_path / "late" / "user.json", [{"user_id": "u1", "fans": 99}])}, mode="append", prefix="kept.")
+    increments.update_tables(spark, f"{folder}/*.zip", target, done, prefix="kept.")
+    assert {r.user_id: r.fans for r in spark.table(names["user"]).collect()} == {"u0": 5, "u1": 99}
+    bundle(folder / "2.zip", review=[review] * 2, user=[{"user_id": "u0", "fans": 6}], business=[{"business_id": "b1", "stars": 1.0}])
+    increments.update_tables(spark, f"{folder}/*.zip", target, done, prefix="kept.")
+    assert spark.table(names["review"]).count() == 13
+    assert {r.user_id: r.fans for r in spark.table(names["user"]).collect()} == {"u0": 6, "u1": 99}
+    assert [r.stars for r in spark.table(names["business"]).collect()] == [1.0]
+
+
+def test_extra_columns_travel_to_the_tables(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS extras")
+    folder = tmp_path / "zips"
+    bundle(folder / "1.zip", review=[{"user_id": "u", "business_id": "b", "stars": 1, "text": "hi"}], user=[{"user_id": "u", "useful": 3}])
+    names = increments.update_tables(spark, f"{folder}/*.zip", str(tmp_path / "out"), str(tmp_path / "done"), prefix="extras.", extras=True)
+    assert spark.table(names["review"]).first()._extra == {"text": "hi"} and spark.table(names["user"]).first()._extra == {"useful": "3"}
+
+
+def test_merge_points_the_table_to_the_new_rows(spark, tmp_path):
+    """A job lost while it writes leaves the stored table."""
+    from placewise.plans.ingest import merge_table
+    from placewise.sources import tables
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS pointed")
+    first = spark.createDataFrame([("a", 1), ("b", 1)], "user_id string, fans long")
+    tables.overwrite_table(first, "pointed.user")
+    fail = F.udf(lambda x: 1 // 0, "long")
+    with pytest.raises(Exception):
+        merge_table(first.withColumn("fans", fail("fans")), "pointed.user", "user_id")
+    assert spark.table("pointed.user").count() == 2
+    merge_table(spark.createDataFrame([("b", 2, "x"), ("c", 3, "y")], "user_id string, fans long, elite string"), "pointed.user", "user_id")
+    assert {tuple(r) for r in spark.table("pointed.user").collect()} == {("a", 1, None), ("b", 2, "x"), ("c", 3, "y")}
