@@ -258,9 +258,10 @@ def frequent_phrases(blocks: DataFrame, shards: int = SHARDS, threshold: int = T
         made = blocks.where(F.col("shard") == step % shards).mapInArrow(run, _COUNT).withColumn("held", F.lit(0).cast("long"))
         if held is not None:
             made = made.unionByName(held)
-        counts = stored(made.groupBy("lang", "phrase", "size", "start").agg(F.sum("n").alias("n"), F.max("held").alias("held")),
-                        "phrase-counts", "zstd")
+        # What has been through its cycle and stays below the threshold is not written.
         often, complete = F.col("n") >= threshold, F.col("start") <= step - shards + 1
+        counts = stored(made.groupBy("lang", "phrase", "size", "start").agg(F.sum("n").alias("n"), F.max("held").alias("held"))
+                        .where(~complete | often), "phrase-counts")
         done.append(counts.where(complete & often).select("lang", "phrase", "size", "n"))
         entered = enter(table, counts.where(often & (F.col("held") < threshold) & (F.col("size") < LONGEST)), step + 1)
         if (entered != table).any():
