@@ -161,6 +161,10 @@ _SELECTS = {
     "sink_overwrite_path": "SELECT * FROM review",
     "sink_external_table": "SELECT * FROM users",
     "sink_sorted_by_key": "SELECT * FROM business WHERE business_id = 'b33'",
+    "sink_bucketed": """
+        SELECT user_id, fans, n, r.stars, business_ids FROM users
+        LEFT JOIN (SELECT user_id, count(*) AS n, sum(stars) AS stars FROM indexed GROUP BY 1) r USING (user_id)
+        LEFT JOIN (SELECT user_id, string_agg(business_id, ',' ORDER BY rk) AS business_ids FROM best GROUP BY 1) USING (user_id)""",
     "sink_metric": """
         SELECT 'stand-in' AS experiment, run_id, 'rmse' AS metric, round(value, 6) AS value, run_id = 'run2' AS latest
         FROM (SELECT 'run1' AS run_id, sqrt(avg((label - prediction) * (label - prediction))) AS value FROM scored
@@ -314,7 +318,7 @@ _SELECTS = {
         FROM business WHERE {_NUMBER} % 3 <> 0 OR {_NUMBER} % 2 = 0
         UNION ALL SELECT user_id, 1, CAST(fans + CASE WHEN k % 11 = 0 THEN 30 WHEN k % 3 = 0 THEN 20 WHEN k % 2 = 0 THEN 10 ELSE 0 END AS DOUBLE)
         FROM (SELECT *, CAST(substr(user_id, 2) AS BIGINT) AS k FROM users)
-        UNION ALL SELECT concat('r', user_id), sum(times), sum(times * stars)
+        UNION ALL SELECT concat('r', user_id), CAST(sum(times) AS BIGINT), sum(times * stars)
         FROM (SELECT *, 1 + CASE WHEN CAST(substr(user_id, 2) AS BIGINT) % 5 = 0 THEN 1 ELSE 0 END
                           + CASE WHEN CAST(substr(user_id, 2) AS BIGINT) % 7 = 0 THEN 1 ELSE 0 END AS times FROM review) GROUP BY user_id""",
     "stored_rejects": f"""

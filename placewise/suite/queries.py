@@ -183,6 +183,18 @@ def sink_sorted_by_key(t: Tables) -> DataFrame:
     return lookup.point_lookup(tables.read_path(t.spark, path), "business_id", "b33")
 
 
+@query
+def sink_bucketed(t: Tables) -> DataFrame:
+    """Users, their lists and their reviews, each stored by user in buckets, joined without a shuffle of the stored sides."""
+    where, built = scratch_database(t.spark), _built(t)
+    counts = tables.read_path(t.spark, built.review_transformed).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("stars").alias("stars"))
+    lists = _stand_in_lists(t).select("user_id", F.array_join(id_list(), ",").alias("business_ids"))
+    for name, df in (("users", t.user), ("counts", counts), ("lists", lists)):
+        tables.write_bucketed(df, f"{where}.{name}", "user_id", 8)
+    users, counts, lists = (t.spark.table(f"{where}.{n}") for n in ("users", "counts", "lists"))
+    return (users.join(counts, "user_id", "left").join(lists, "user_id", "left").select("user_id", "fans", "n", "stars", "business_ids"))
+
+
 @query
 def sink_metric(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "runs")
@@ -738,7 +750,7 @@ def update_job(t: Tables) -> DataFrame:
     second = write_bundles({"business": raised(full_business(t.business.where(key % 4 == 0)), "stars", 20), "review": t.review.where(who % 7 == 0),
                             "user": raised(t.user.where(who % 3 == 0), "fans", 20)}, 2, newer)
     for name, bundles in (("newer", second), ("older", first), ("newer", second), ("older", first)):
-        names = increments.update_tables(t.spark, bundles, target, f"{progress}/{name}", prefix)
+        increments.update_tables(t.spark, bundles, target, f"{progress}/{name}", prefix, buckets=8)
     ingest(t.spark, {"user": write_json(raised(t.user.where(who % 11 == 0), "fans", 30), "user-json")}, mode="append", prefix=prefix)
     names = increments.update_tables(t.spark, first, target, f"{progress}/older", prefix)
     stored = {e: t.spark.table(n) for e, n in names.items()}

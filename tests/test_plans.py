@@ -96,3 +96,32 @@ def test_stored_lists_are_clustered_by_key(spark, built):
     ranges = (read_path(spark, built.business).groupBy(F.input_file_name().alias("f"))
               .agg(F.min("business_id").alias("low"), F.max("business_id").alias("high")).orderBy("low").collect())
     assert all(a.high < b.low for a, b in zip(ranges, ranges[1:]))
+
+
+def test_bucketed_tables_join_without_a_shuffle_and_prune(spark, tables, shuffled):
+    from placewise.sources.tables import write_bucketed
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucketed")
+    write_bucketed(tables.user, "bucketed.users", "user_id", 4)
+    write_bucketed(tables.review, "bucketed.review", "user_id", 4)
+    users, review = spark.table("bucketed.users"), spark.table("bucketed.review")
+    text = plan(users.join(review, "user_id"))
+    assert count("Exchange", text) == 0 and count("SortMergeJoin", text) == 1 and "SelectedBucketsCount: 4 out of 4" in text
+    assert "SelectedBucketsCount: 1 out of 4" in plan(lookup.point_lookup(users, "user_id", "u7"))
+    counted = plan(review.groupBy("user_id").count())
+    assert count("Exchange", counted) == 0
+
+
+def test_lists_for_all_users_make_no_product(spark, built):
+    model = recommend.fit_als(recommend.rating_rows(read_path(spark, built.review_transformed)), rank=3, maxIter=2)
+    text = plan(recommend.recommend_all(model, read_path(spark, built.user_map), read_path(spark, built.business_map)))
+    assert no_cross_join(text) and "MapInArrow" in text
+
+
+def test_point_search_by_blocks_shuffles_little(spark, built, tables, shuffled):
+    """After the index and the distinct places are written: the points' curve, and the join back."""
+    from placewise.operators import proximity
+
+    found = proximity.nearest_places(read_path(spark, built.business_hashed), tables.points, 5)
+    text = plan(found)
+    assert no_cross_join(text) and count("Exchange", text) <= 3 and "EvalPython" not in text
