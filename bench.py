@@ -8,16 +8,17 @@ import sys
 import tempfile
 import time
 
-from placewise.plans import rating, recommend
+from placewise.plans import foldin, rating, recommend, statistics
 from placewise.plans.ingest import ingest_bundles
 from placewise.plans.features import build_features, rating_features
 from placewise.operators import similar
 from placewise.operators.indexing import frequency_index
 from placewise.operators.lookup import recommendations_for
 from placewise.operators.nearest import nearest, nearest_to
+from placewise.operators.proximity import nearest_places
 from placewise.session import builder, scratch_path
 from placewise.sources.tables import overwrite_path, read_path, write_by_key
-from placewise.streaming.increments import ingest_new_files
+from placewise.streaming.increments import ingest_new_files, update_tables
 from placewise.suite.fixtures import Tables, full_business, write_bundles
 
 
@@ -60,11 +61,16 @@ def main() -> None:
     timed("bundle_ingest", lambda: ingest_bundles(spark, bundled, prefix="bench_tables."))
     timed("incremental_ingest", lambda: ingest_new_files(
         spark, arriving, "review", scratch_path(spark, "bench-taken"), scratch_path(spark, "bench-progress")))
+    timed("update_tables", lambda: update_tables(spark, bundled, scratch_path(spark, "bench-versions"), scratch_path(spark, "bench-update"),
+                                                 "bench_tables.versioned_"))
     timed("id_index", lambda: materialize(frequency_index(review, "user_id", "userIndex")))
     built = timed("feature_build", lambda: build_features(business, review))
     hashed = read_path(spark, built.business_hashed)
     timed("nearest_one_point", lambda: materialize(nearest_to(hashed, 40.5, -73.9)))
+    timed("nearest_one_stored_location", lambda: materialize(nearest_to(read_path(spark, built.locations), 40.5, -73.9, repeated=False)))
     timed("nearest_all_points", lambda: materialize(nearest(hashed, points, 10)))
+    timed("nearest_all_points_blocks", lambda: materialize(nearest_places(hashed, points, 10, "planar")))
+    timed("nearest_all_points_sphere", lambda: materialize(nearest_places(hashed, points, 10)))
 
     known = scratch_path(spark, "bench-profiles")
     timed("category_profiles", lambda: overwrite_path(
@@ -79,6 +85,7 @@ def main() -> None:
     lists = scratch_path(spark, "bench-lists")
     timed("als_top20_all_users", lambda: write_by_key(recommend.recommend_all(
         model, read_path(spark, built.user_map), read_path(spark, built.business_map)), lists, "user_id"))
+    timed("fold_in_all_users", lambda: materialize(foldin.fold_in(model.itemFactors, train, model.rank)))
     timed("list_lookup", lambda: materialize(recommendations_for(read_path(spark, lists), user)))
 
     rated = scratch_path(spark, "bench-rating-rows")
@@ -86,6 +93,7 @@ def main() -> None:
         rating_features(business, read_path(spark, built.review_counts).drop("n")), rated))
     rows = read_path(spark, rated)
     linear = timed("linear_fit", lambda: rating.fit_rating_model(rows, "linear"))
+    timed("statistics_fit", lambda: statistics.solve(statistics.statistics(rows)))
     timed("trees_fit", lambda: rating.fit_rating_model(rows, "gbt"))
     timed("rank_all", lambda: materialize(rating.rank_businesses(linear, rows, review.where("stars >= 4"))))
 

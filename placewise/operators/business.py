@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from placewise.functions.columns import CATEGORY_SEPARATOR, POSITIVE_FROM, split_categories
 
 
+# The columns of these two projections.
 def business_numerics(business: DataFrame) -> DataFrame:
     return business.select("business_id", "stars", "review_count", "latitude", "longitude")
 
@@ -34,6 +35,7 @@ def review_totals(review: DataFrame, positive_from: float = POSITIVE_FROM) -> Da
     one row per task.
     """
     stars = F.col("stars")
+    # The names of the counts.
     return review.groupBy("business_id").agg(
         F.count(F.when(stars >= positive_from, True)).alias("positive_review_count"),
         F.count(F.when(stars < positive_from, True)).alias("negative_review_count"),

@@ -34,14 +34,16 @@ def located(features: DataFrame) -> DataFrame:
     return usable_locations(features).distinct()
 
 
-def nearest_to(features: DataFrame, latitude: float, longitude: float, n: int = 5) -> DataFrame:
+def nearest_to(features: DataFrame, latitude: float, longitude: float, n: int = 5, repeated: bool = True) -> DataFrame:
     """The ``n`` businesses closest to one point, nearest first, ties by id.
 
-    Sort plus limit runs as a per-partition top-n followed by a merge of the tops.
+    Sort plus limit runs as a per-partition top-n followed by a merge of the tops. A table with one row for each
+    business (``FeatureTables.locations``) is said not to be ``repeated``; then nothing else is shuffled.
     """
     distance = planar_distance(F.col("latitude"), F.col("longitude"),
                                F.lit(float(latitude)), F.lit(float(longitude)))
-    return (located(features).withColumn("distance", distance)
+    rows = located(features) if repeated else usable_locations(features)
+    return (rows.withColumn("distance", distance)
             .orderBy("distance", "business_id").limit(n)
             .select("business_id", "distance"))
 

@@ -12,6 +12,7 @@ from placewise.functions.columns import CATEGORY_SEPARATOR, POSITIVE_FROM, split
 from placewise.operators.business import (category_rows, review_totals, with_categories,
                                           without_missing)
 from placewise.operators.indexing import frequency_index, index_counts, index_reviews
+from placewise.operators.nearest import located
 from placewise.operators.similar import signatures
 from placewise.session import scratch_path, shuffle_partitions
 from placewise.sources.tables import overwrite_path, read_path, write_by_key
@@ -93,17 +94,18 @@ class FeatureTables:
     review_transformed: str
     user_map: str
     business_map: str
+    locations: str
 
 
 def build_features(business: DataFrame, review: DataFrame, base: str | None = None,
                    positive_from: float = POSITIVE_FROM, tables: int = 5, seed: int = 42) -> FeatureTables:
-    """Write the business table, hashed features, numbered reviews and both id maps under ``base``.
+    """Write the business table, hashed features, locations, numbered reviews and both id maps under ``base``.
 
     Each table is computed once and written; later tables start from written ones.
     """
     spark = business.sparkSession
     base = base or scratch_path(spark, "features")
-    names = ("business", "review_counts", "business_hashed", "review_transformed", "user_map", "business_map")
+    names = ("business", "review_counts", "business_hashed", "review_transformed", "user_map", "business_map", "locations")
     out = FeatureTables(*[f"{base}/{name}" for name in names])
     write_by_key(business, out.business, "business_id")
     business = read_path(spark, out.business)
@@ -112,6 +114,8 @@ def build_features(business: DataFrame, review: DataFrame, base: str | None = No
     totals = read_path(spark, out.review_counts)
     hashed = signatures(business_features(business, totals.drop("n")), tables=tables, seed=seed)
     overwrite_path(hashed, out.business_hashed)
+    # The hashed table repeats a business for each category; lookups by place need it once.
+    overwrite_path(located(read_path(spark, out.business_hashed)), out.locations)
 
     overwrite_path(index_counts(totals, "business_id", "businessIndex"), out.business_map)
     # Users are counted on the reviews left once those without a business are gone.

@@ -47,8 +47,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no other job uses."""
-    return f"{shared_dir(spark)}/placewise/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no other job uses, in the folder of this application."""
+    return f"{shared_dir(spark)}/placewise/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession, application: str | None = None) -> bool:
+    """Removes what an application (by default this one) has written to scratch paths; whether there was any.
+
+    For the end of a run: DataFrames that were made from scratch tables cannot be read any more.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/placewise/{application or spark.sparkContext.applicationId}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -250,6 +250,10 @@ _SELECTS = {
         SELECT business_id, round(distance, 6) AS distance
         FROM (SELECT DISTINCT business_id, {_TO_POINT} AS distance FROM hashed)
         ORDER BY distance, business_id LIMIT {POINT_HITS}""",
+    "nearest_to_stored_location": f"""
+        SELECT business_id, round(distance, 6) AS distance
+        FROM (SELECT DISTINCT business_id, {_TO_POINT} AS distance FROM hashed)
+        ORDER BY distance, business_id LIMIT {POINT_HITS}""",
     "nearest_to_points": f"""
         SELECT point_id, business_id, round(distance, 6) AS distance, rank FROM (
           SELECT point_id, business_id, distance,

@@ -426,6 +426,12 @@ def nearest_to_point(t: Tables) -> DataFrame:
     return nearest_to(features, *POINT, n=POINT_HITS).select("business_id", rounded("distance"))
 
 
+@query
+def nearest_to_stored_location(t: Tables) -> DataFrame:
+    locations = tables.read_path(t.spark, _built(t).locations)
+    return nearest_to(locations, *POINT, n=POINT_HITS, repeated=False).select("business_id", rounded("distance"))
+
+
 @query
 def nearest_to_points(t: Tables) -> DataFrame:
     found = nearest(tables.read_path(t.spark, _built(t).business_hashed), t.points, BATCH_HITS)

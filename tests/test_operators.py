@@ -245,3 +245,11 @@ def test_limits_that_cannot_be_met_are_refused(spark, limit):
     known = spark.createDataFrame([("b1", [1, 2])], "profile string, slots array<int>")
     with pytest.raises(ValueError, match="max_distance"):
         similar.similar_profiles(known, limit)
+
+
+def test_scratch_of_a_run_can_be_cleared(spark):
+    other = session.scratch_path(spark, "x").replace(spark.sparkContext.applicationId, "finished-run")
+    spark.range(3).write.parquet(other)
+    assert session.clear_scratch(spark, "finished-run") and not session.clear_scratch(spark, "finished-run")
+    with pytest.raises(Exception):
+        spark.read.parquet(other)
