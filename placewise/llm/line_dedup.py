@@ -4,8 +4,8 @@ A line is dropped when an equal line, or one within ``EDITS`` edits, stands earl
 document, or earlier in the same one). Lines shorter than ``LEAST`` characters are only compared
 for equality, since an edit makes another word of them.
 
-1. Lines are exploded and joined to distinct ones, partly before the shuffle, with their first position,
-   and get a number. From here on only numbers and keys travel until candidates are known.
+1. Lines are exploded and joined to distinct ones by a 128-bit digest, partly before the shuffle, with their first
+   position. Only digests and keys travel until candidates are known, then the texts of those.
 2. A line is split into EDITS + 1 segments. Of two lines within EDITS edits the shorter has a
    segment that the longer has unchanged, at a place that its number and the lengths bound. So
    each line is stored under its segments, with number and length, and probes the substrings
@@ -43,6 +43,8 @@ LETTERS = "etaonisrhldumc"
 #: A position is the document's place and, in the lower bits, the line's number.
 LINES_BITS = 27
 PLACES = 1 << (63 - LINES_BITS)
+#: Bits of the filter of paired lines (2 MB). A full one only costs moving lines that have no partner.
+FILTER_BITS = 1 << 24
 
 
 def _segment(length: Column, number: int, edits: int) -> tuple[Column, Column]:
@@ -92,30 +94,48 @@ def placed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 
 def lines_of(documents: DataFrame) -> DataFrame:
-    """position, line of every line of documents with their places."""
+    """id (a 128-bit digest), position, line of every line of documents with their places."""
     lines = documents.select("place", F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
     fits = F.when(F.col("no") < (1 << LINES_BITS), F.col("no")).otherwise(F.raise_error(F.lit("a document has too many lines")).cast("int"))
-    return lines.select((F.shiftleft("place", LINES_BITS) + fits).alias("position"), "line")
+    digest = F.struct(F.xxhash64("line").alias("high"), F.xxhash64("line", F.lit("line")).alias("low"))
+    return lines.select(digest.alias("id"), (F.shiftleft("place", LINES_BITS) + fits).alias("position"), "line")
 
 
 def distinct_lines(lines: DataFrame) -> DataFrame:
-    """A stored row for each distinct line: id, line, first position, number of places ``n``."""
-    made = lines.groupBy("line").agg(F.min("position").alias("position"), F.count(F.lit(1)).alias("n"))
-    return stored(made.withColumn("id", F.monotonically_increasing_id()), "distinct-lines", "zstd")
+    """A stored row for each distinct line, without its text: id, first position, number of places ``n``."""
+    return stored(lines.groupBy("id").agg(F.min("position").alias("position"), F.count(F.lit(1)).alias("n")), "distinct-lines", "zstd")
 
 
 def candidate_pairs(lines: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
-    """Ids of a line and an as long or shorter one (id, o_id) that share a key, each pair once."""
+    """Ids of a line and an as long or shorter one (id, o_id) that share a key, each pair once.
+
+    Keys of repeated lines become one before they move."""
     near = lines.where(F.char_length("line") >= max(least, edits + 1))
     length = F.char_length("line").alias("length")
-    left = near.select("id", length, F.explode(F.array_distinct(F.array(*_probe_keys(F.col("line"), edits)))).alias("key"))
-    right = near.select(F.col("id").alias("o_id"), length.alias("o_length"), F.explode(F.array(*_stored_keys(F.col("line"), edits))).alias("o_key"))
+    left = near.select("id", length, F.explode(F.array(*_probe_keys(F.col("line"), edits))).alias("key")).distinct()
+    right = near.select(F.col("id").alias("o_id"), length.alias("o_length"), F.explode(F.array(*_stored_keys(F.col("line"), edits))).alias("o_key")).distinct()
     less = F.col("length") - F.col("o_length")
     once = (less > 0) | (F.col("id") > F.col("o_id"))
     meet = (F.col("key") == F.col("o_key")) & (less >= 0) & (less <= edits) & once
     return left.join(right, meet).select("id", "o_id").distinct()
 
 
+def _bit(id: str = "id") -> tuple[Column, Column]:
+    """The word of the filter and the bit in it of a line."""
+    place = F.col(f"{id}.high").bitwiseAND(F.lit(FILTER_BITS - 1))
+    return F.shiftright(place, 6).cast("int"), F.expr(f"shiftleft(1L, cast({id}.high & 63 AS INT))")
+
+
+def marked(wanted: DataFrame) -> Column:
+    """``FILTER_BITS`` bits as an array, those of the ``wanted`` ids set: a table of fixed size, so that most lines
+    that no pair names need not move to find that out."""
+    word, bit = _bit()
+    found = wanted.select(word.cast("long").alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    every = wanted.sparkSession.range(FILTER_BITS // 64).withColumnRenamed("id", "word").join(found, "word", "left")
+    ordered = F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
+    return every.agg(F.transform(ordered, lambda x: x["bits"]).alias("bits")).scalar()
+
+
 def letters_apart(a: Column, b: Column) -> Column:
     """By how much the counts of ``LETTERS`` differ, together."""
     def times(line: Column, c: str) -> Column:
@@ -176,8 +196,10 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
 
 def judged_pairs(lines: DataFrame, pairs: DataFrame, edits: int = EDITS) -> DataFrame:
     """The ``pairs`` and whether their lines are within ``edits`` edits (``near``). Only paired lines bring their texts."""
-    wanted = pairs.select("id").union(pairs.select("o_id")).distinct()
-    texts = stored(lines.select("id", "line").join(wanted, "id", "left_semi"), "paired-lines", "zstd")
+    wanted = stored(pairs.select("id").union(pairs.select("o_id")).distinct(), "wanted-lines")
+    word, bit = _bit()
+    likely = lines.where(F.get(marked(wanted), word).bitwiseAND(bit) != 0)
+    texts = stored(likely.groupBy("id").agg(F.min("line").alias("line")).join(wanted, "id", "left_semi"), "paired-lines", "zstd")
     met = (pairs.join(texts, "id").join(texts.select(F.col("id").alias("o_id"), F.col("line").alias("o_line")), "o_id")
            .where(letters_apart(F.col("line"), F.col("o_line")) <= 2 * edits))
     # Few bytes but much work: dealt by number, since sizes would leave it in a few tasks. The verdict is a column and
@@ -189,9 +211,10 @@ def judged_pairs(lines: DataFrame, pairs: DataFrame, edits: int = EDITS) -> Data
 def judged_lines(documents: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
     """A row for each distinct line: n, place and no of its first position, n_links, and whether an
     earlier line within the edits makes it ``near``."""
-    known = distinct_lines(lines_of(documents))
-    pairs = stored(candidate_pairs(known, edits, least), "line-pairs")
-    links = stored(judged_pairs(known, pairs, edits), "line-links").where("near").select("id", "o_id")
+    lines = lines_of(documents)
+    known = distinct_lines(lines)
+    pairs = stored(candidate_pairs(lines, edits, least), "line-pairs")
+    links = stored(judged_pairs(lines, pairs, edits), "line-links").where("near").select("id", "o_id")
     place = known.select("id", "position")
     both = links.union(links.select("o_id", "id"))
     earliest = (both.join(place.select(F.col("id").alias("o_id"), F.col("position").alias("o_position")), "o_id").groupBy("id")
@@ -215,7 +238,7 @@ def dedupe_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
     count = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
     places = F.coalesce("places", F.array().cast("array<int>"))
     picked = F.array_join(F.transform(F.array_sort(places), lambda i: F.get("lines", i)), "\n")
-    return (documents.select("row", "place", lines.alias("lines")).join(own, "place", "left")
+    return (documents.join(own, "place", "left").withColumn("lines", lines)
             .select("row", F.size("lines").cast("long").alias("n_lines"),
                     (F.size("lines") - F.coalesce("n_kept", F.lit(0)) - F.coalesce("n_near", F.lit(0))).cast("long").alias("n_equal"),
                     count("n_near"), count("n_kept"), count("n_links"), picked.alias("kept_text")))

@@ -110,9 +110,10 @@ def plan(df, part="toString"):
 
 def test_plans_are_native_and_verify_outside_of_joins(odd):
     documents = line_dedup.placed_documents(odd)
-    known = line_dedup.distinct_lines(line_dedup.lines_of(documents))
-    pairs = line_dedup.candidate_pairs(known)
-    judged = line_dedup.judged_pairs(known, pairs)
+    lines = line_dedup.lines_of(documents)
+    known = line_dedup.distinct_lines(lines)
+    pairs = line_dedup.candidate_pairs(lines)
+    judged = line_dedup.judged_pairs(lines, pairs)
     plans = [plan(df) for df in (documents, known, pairs, judged, line_dedup.dedupe_lines(odd))]
     assert not any(re.search("Python|Arrow|Pandas", p) for p in plans)
     tree = judged._jdf.queryExecution().optimizedPlan().toString()
