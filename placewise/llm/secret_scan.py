@@ -4,9 +4,12 @@ Every run of key-like characters with a digit or a known prefix, and every value
 candidate. Its features are those that tell keys from ordinary strings: length, character
 transitions (how usual each step from character to character is in the corpus, and how often
 the class changes), coverage by a dictionary of the corpus's words, signs of a path, and
-the words around it. A Spark ML random forest, trained from labelled findings, gives each
+the words next to it. A Spark ML random forest, trained from labelled findings, gives each
 candidate its probability of being a secret.
 
+The words around it count by themselves (the ``WORDS_BEFORE`` before and ``WORDS_AFTER`` after it, hashed to cells) and
+through the list of credential names.
+
 Statistics come from all documents: the table of character steps has ``N_CLASSES`` squared
 cells, and the dictionary keeps the ``DICTIONARY_WORDS`` most frequent words of three letters
 or more, so both have a fixed size, whatever the corpus. The forest is fit on at most
@@ -16,13 +19,15 @@ before; what they leave open is not learned from. If one label is missing there
 the label rule decides alone, and what it leaves open is reported as a secret with score 0.5.
 
 Defined results: a null or empty text has no candidates; repeated rows give repeated findings;
-an empty table gives an empty table; of the input only the id and text columns are read. Values
+an empty table gives an empty table; of the input only the id and text columns are read; a very long text is a block
+of its own and a very long value one candidate; ties of the training sample's hash go by id and place. Values
 are reported by position and SHA-256, never in clear.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -56,6 +61,11 @@ TRAIN_ROWS = 10_000
 TREES, DEPTH, SEED = 30, 6, 17
 FEATURES = ("n_chars", "step_mean", "step_min", "class_changes", "digit_share", "upper_share", "other_share",
             "distinct_share", "coverage", "separators", "in_path", "assigned", "quoted", "named", "named_before")
+#: The words next to a candidate, as features of their own: numbers of words that fall into each of so many hash
+#: cells, those before and those after it apart. The forest learns from the labelled findings which of them tell.
+CELLS = 24
+WORDS_BEFORE, WORDS_AFTER = 3, 3
+NEXT_WORD = re.compile(r"[^\W\d_]+")
 STATISTICS = "kind string, cell bigint, n bigint"
 
 
@@ -132,26 +142,52 @@ def corpus_statistics(docs: DataFrame, text: str | Column = "text") -> tuple[np.
 
 # ---------------------------------------------------------------- candidates
 
+def covered_places(small: bytes, dictionary: frozenset[int]) -> np.ndarray:
+    """Which characters of a lower-case value lie in a word of the dictionary."""
+    covered = np.zeros(len(small), dtype=bool)
+    sizes = sorted({code & 63 for code in dictionary})
+    for letters in LETTERS.finditer(small):
+        first, end = letters.span()
+        if end - first <= LONGEST:
+            for size in sizes:
+                for at in range(first, end - size + 1):
+                    if word_code(small[at:at + size]) in dictionary:
+                        covered[at:at + size] = True
+            continue
+        # A long run: the codes of all places at once, for each size.
+        run, known = np.frombuffer(small[first:end], dtype=np.uint8).astype(np.int64) - 96, np.array(sorted(dictionary), dtype=np.int64)
+        for size in sizes:
+            codes = np.zeros(end - first - size + 1, dtype=np.int64)
+            for k in range(size):  # wraps as word_code does
+                codes = codes * 27 + run[k:k + len(codes)]
+            for at in np.flatnonzero(np.isin(codes * 64 + size, known)):
+                covered[first + at:first + at + size] = True
+    return covered
+
+
+def neighbours(before: str, after: str) -> list[float]:
+    """Words next to a candidate by hash cell: the last before it, then the first after it."""
+    cells = np.zeros(2 * CELLS)
+    for side, words in enumerate((NEXT_WORD.findall(before)[-WORDS_BEFORE:], NEXT_WORD.findall(after)[:WORDS_AFTER])):
+        for word in words:
+            cells[side * CELLS + zlib.crc32(word.lower().encode()) % CELLS] += 1
+    return cells.tolist()
+
+
 def features(value: str, before: str, after: str, name: str | None, steps: np.ndarray, dictionary: frozenset[int]) -> list[float]:
     raw = np.frombuffer(value.encode(), dtype=np.uint8)
     classes = CLASS_OF[raw]
     likely = steps[classes[:-1], classes[1:]]
     kind = np.select([classes < 26, classes < 36, classes == 36], [0, 1, 2], 3)
     small = value.lower().encode()
-    covered = np.zeros(len(small), dtype=bool)
-    sizes = sorted({code & 63 for code in dictionary})
-    for letters in LETTERS.finditer(small):
-        for size in sizes:
-            for at in range(letters.start(), letters.end() - size + 1):
-                if word_code(small[at:at + size]) in dictionary:
-                    covered[at:at + size] = True
+    covered = covered_places(small, dictionary)
     n = len(raw)
     return [float(n), float(likely.mean()), float(likely.min()), float((kind[1:] != kind[:-1]).sum() / n),
             float((kind == 1).sum() / n), float((kind == 2).sum() / n), float((kind == 3).sum() / n),
             len(set(value)) / n, float(covered.sum() / n), float(value.count("/") + value.count(".")),
             float("://" in before or before.endswith(("/", "\\", "@", "www.")) or after.startswith((".", "/", "@"))),
             float(name is not None), float(before[-1:] in ("\"", "'") and after[:1] in ("\"", "'")),
-            float(bool(name and NAMES.search(name))), float(bool(NAMES.search(before)))]
+            float(bool(name and NAMES.search(name))), float(bool(NAMES.search(before))), *neighbours(before, after)]
 
 
 def candidates_of(text: str) -> list[tuple[int, str, str | None]]:
