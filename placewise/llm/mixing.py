@@ -7,10 +7,10 @@ The weight of a cell is its tokens times one factor for each margin, so a step r
 factors of one margin from the cells and the other factors.
 A document of a cell is drawn with probability rate * weight / tokens of the cell, at most 1.
 The draw is a hash of id and text, so a recomputed task decides alike.
-A document can be kept once at most, so a cell whose weight passes its tokens is drawn short of its weight and
-the kept documents stay between the data and the targets. ``copies`` has no such bound: it is
-the whole part of rate * weight / tokens, plus one with the probability of the rest, and meets the targets
-in the mean. ``sampled(docs, repeat=True)`` writes each document so many times.
+``copies`` says how often a document is drawn: the whole part of rate * weight / tokens, plus one with the
+probability of the rest, so the drawn tokens meet the targets in the mean. ``sampled(docs, repeat=True)`` writes each
+document so many times. ``kept`` is whether it is drawn at all; with it alone a cell whose weight passes its tokens falls
+short of its weight, and the kept documents stay between the data and the targets.
 
 All of it is DataFrame work. Only cells and margins are shuffled more than once, each margin is
 summed before its shuffle, and joins to cells and margins broadcast only where Spark finds the
@@ -18,8 +18,8 @@ side small. Factors are written to the shared folder, so no step is computed twi
 
 Defined results: null source, language or topic is a value of its own; a null text has no
 tokens and meets no topic cue; a cell without tokens has rate ``rate`` (its documents add nothing to any
-margin); equal rows (id and text) get the same draw; an empty table gives an empty table; the
-input's columns travel in one struct, so none can clash.
+margin); equal rows (id and text) get the same draw; a very long text is one document of many tokens; an empty table
+gives an empty table; the input's columns travel in one struct, so none can clash.
 """
 
 from __future__ import annotations
@@ -139,7 +139,7 @@ def sampled(docs: DataFrame, repeat: bool = False, **options) -> DataFrame:
 
 
 def mix_sql(rounds: int = ROUNDS, rate: float = RATE, powers: dict[str, float] | None = None) -> str:
-    """The same for DuckDB, rounds written out; doc_id, the values, tokens, weight, probability, kept."""
+    """The same for DuckDB, rounds written out; doc_id, the values, tokens, weight, probability, kept, copies."""
     topic = f"'{OTHER_TOPIC}'"
     for name, cue in reversed(CUES):
         topic = f"CASE WHEN contains(coalesce(text, ''), '{cue}') THEN '{name}' ELSE {topic} END"
@@ -165,8 +165,10 @@ def mix_sql(rounds: int = ROUNDS, rate: float = RATE, powers: dict[str, float] |
   CASE WHEN {own} > 0 THEN weight * (to_{m} * total) / {own} ELSE weight END AS weight) FROM w{step})""")
             step += 1
     same = " AND ".join(f"d.{m} IS NOT DISTINCT FROM w.{m}" for m in MARGINS)
-    chance = f"CASE WHEN w.tokens > 0 THEN least(1.0, {rate} * w.weight / w.tokens) ELSE least(1.0, {rate}) END"
+    times = f"(CASE WHEN w.tokens > 0 THEN {rate} * w.weight / w.tokens ELSE {rate} END)"
+    chance = f"least(1.0, {times})"
     return f"""WITH {', '.join(parts)}
 SELECT d.doc_id, d.source, d.lang, d.topic, CAST(d.tokens AS BIGINT) AS tokens, round(w.weight, 3) AS weight,
-       round({chance}, 6) AS probability, d.draw < {chance} AS kept
+       round({chance}, 6) AS probability, d.draw < {chance} AS kept,
+       CAST(floor({times}) AS BIGINT) + CAST(d.draw < {times} - floor({times}) AS BIGINT) AS copies
 FROM d JOIN w{step} AS w ON {same}"""

@@ -54,7 +54,7 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def op4_raked_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, folder), row=["doc_id"])
     return mixed.select("row.doc_id", "source", "lang", "topic", "tokens", F.round("weight", 3).alias("weight"),
-                        F.round("probability", 6).alias("probability"), "kept")
+                        F.round("probability", 6).alias("probability"), "kept", "copies")
 
 
 ORACLE["op4_raked_mix"] = mixing.mix_sql()
