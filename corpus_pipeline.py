@@ -1,4 +1,9 @@
-"""Corpus pipeline over ``documents``: a list of stages, each written as Parquet before the next."""
+"""Corpus pipeline over ``documents``: a list of stages, each written as Parquet before the next.
+
+Nulls, empty and very long texts, repeated rows and ties have in each stage the result that its operator's module
+defines: a null or empty text has no words (the quality rules reject it), a null id is a document like any other, and
+an empty table goes through all stages as an empty one.
+"""
 
 from __future__ import annotations
 
@@ -14,9 +19,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates within op3's radius, that of the smallest doc_id.
-
-    Most pairs of a similarity of 0.8 to 0.95 are beyond it; the README has the recall."""
+    """One document of each group of near-duplicates by op3's shingles and radius, that of the smallest doc_id; null ids come last."""
     return simhash.keep_one(docs)
 
 
@@ -26,8 +29,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn so that sources, languages and topics approach their target weights."""
-    return mixing.sampled(docs)
+    """Documents drawn so that the tokens of sources, languages and topics meet their target weights; one of a value
+    that must be raised may come more than once. Equal rows are drawn alike."""
+    return mixing.sampled(docs, repeat=True)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
