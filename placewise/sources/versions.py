@@ -276,15 +276,15 @@ def find(spark: SparkSession, name: str) -> VersionedTable | None:
 def adopt(spark: SparkSession, name: str, root: str, key: str | None = None, buckets: int = BUCKETS) -> VersionedTable:
     """The versioned table of a catalog name, taking over the rows of a plain table of that name.
 
-    Taking over is committed before the plain table gives its name to the view.
+    Taking over is committed before the plain table gives its name to the view; a run that is lost in between does it
+    again. A plain table that was made anew under the name of a versioned one takes the place of its rows.
     """
     known = find(spark, name)
     if known is not None:
         return known
     table = VersionedTable(spark, root)
     if spark.catalog.tableExists(name):
-        if not table.state().version:
-            table.merge(spark.table(name), key, buckets=buckets)
+        table.merge(spark.table(name), key, buckets=buckets, replace=table.state().version > 0)
         spark.sql(f"DROP TABLE {name}")
         table.publish(name)
     return table

@@ -1,7 +1,13 @@
-import pytest
+import os
 
-from placewise.session import builder
-from placewise.suite.fixtures import Tables
+# Numpy gets one thread, as Spark's tasks give it; it reads this when it is loaded.
+for _name in ("OPENBLAS_NUM_THREADS", "OMP_NUM_THREADS", "MKL_NUM_THREADS"):
+    os.environ.setdefault(_name, "1")
+
+import pytest  # noqa: E402
+
+from placewise.session import builder  # noqa: E402
+from placewise.suite.fixtures import Tables  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 

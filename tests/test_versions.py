@@ -178,3 +178,23 @@ def test_merge_points_the_table_to_the_new_rows(spark, tmp_path):
     assert spark.table("pointed.user").count() == 2
     merge_table(spark.createDataFrame([("b", 2, "x"), ("c", 3, "y")], "user_id string, fans long, elite string"), "pointed.user", "user_id")
     assert {tuple(r) for r in spark.table("pointed.user").collect()} == {("a", 1, None), ("b", 2, "x"), ("c", 3, "y")}
+
+
+def test_taking_over_is_repeated_after_a_loss(spark, tmp_path, monkeypatch):
+    from placewise.sources import tables
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS adopted")
+    first = spark.createDataFrame([("a", 1), ("b", 1)], "user_id string, fans long")
+    tables.overwrite_table(first, "adopted.user")
+    with monkeypatch.context() as m:
+        m.setattr(VersionedTable, "publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            versions.adopt(spark, "adopted.user", str(tmp_path / "t"), "user_id")
+    tables.overwrite_table(first, "adopted.user")  # as if it was lost before the plain table was dropped
+    table = versions.adopt(spark, "adopted.user", str(tmp_path / "t"), "user_id")
+    assert fans(table) == {"a": 1, "b": 1} and spark.table("adopted.user").count() == 2
+    assert versions.adopt(spark, "adopted.user", str(tmp_path / "other"), "user_id").root == table.root
+    spark.sql("DROP VIEW adopted.user")
+    tables.overwrite_table(first.withColumn("fans", F.col("fans") + 1).limit(1), "adopted.user")
+    again = versions.adopt(spark, "adopted.user", str(tmp_path / "t"), "user_id")
+    assert fans(again) == {"a": 2} and fans(again, version=1) == {"a": 1, "b": 1}
