@@ -17,10 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placewise.functions.columns import CATEGORY_SEPARATOR, split_categories
-from placewise.session import scratch_path
+from placewise.session import scratch_path, shuffle_partitions
 
-DRAWS = 3
-BANDS = 32
+DRAWS = 4
+BANDS = 40
+#: Weight of a number at the upper end of its scale; a category weighs 1. Numbers that all businesses have in common
+#: in part would otherwise make any two somewhat alike, and most of them candidates.
+NUMBER_WEIGHT = 1 / 3
 DIGITS = 9
 _VECTOR = "array<struct<input: string, weight: double>>"
 
@@ -37,7 +40,7 @@ def number_inputs() -> dict[str, Column]:
 def vectors(business: DataFrame, counts: DataFrame, pattern: str = CATEGORY_SEPARATOR, category_weight: float = 1.0) -> DataFrame:
     """(business_id, vector): the numbers and a fixed weight for each category; missing inputs weigh nothing."""
     joined = business.select("business_id", "categories", "stars", "latitude", "longitude", "review_count").join(counts, "business_id", "left")
-    numbers = [F.struct(F.lit(f"#{n}").alias("input"), c.alias("weight")) for n, c in number_inputs().items()]
+    numbers = [F.struct(F.lit(f"#{n}").alias("input"), (c * NUMBER_WEIGHT).alias("weight")) for n, c in number_inputs().items()]
     names = F.array_distinct(F.coalesce(split_categories(F.col("categories"), pattern), F.array().cast("array<string>")))
     named = F.transform(names, lambda c: F.struct(c.alias("input"), F.lit(category_weight).alias("weight")))
     every = F.concat(F.array(*numbers), named)
@@ -53,14 +56,14 @@ def distinct_vectors(known: DataFrame) -> tuple[DataFrame, DataFrame]:
     return profiles, stored.join(profiles, "vector").select("business_id", "profile")
 
 
-def _uniform(name: Column, draw: int, part: int) -> Column:
+def _uniform(name: Column, draw: Column, part: int) -> Column:
     """A number in (0, 1] fixed by an input, a draw and a part."""
-    return (F.shiftrightunsigned(F.xxhash64(name, F.lit(draw), F.lit(part)), 11) + 1).cast("double") / float(1 << 53)
+    return (F.shiftrightunsigned(F.xxhash64(name, draw, F.lit(part)), 11) + 1).cast("double") / float(1 << 53)
 
 
-def _drawn(vector: Column, draw: int) -> Column:
-    """The input and the level that a vector draws."""
-    def level(x: Column) -> Column:
+def draws(vector: Column, n: int = DRAWS * BANDS) -> Column:
+    """What a vector draws, ``n`` times: an input and a level."""
+    def level(x: Column, draw: Column) -> Column:
         name, weight = x["input"], x["weight"]
         r = -F.log(_uniform(name, draw, 1) * _uniform(name, draw, 2))
         c = -F.log(_uniform(name, draw, 3) * _uniform(name, draw, 4))
@@ -68,36 +71,37 @@ def _drawn(vector: Column, draw: int) -> Column:
         t = F.floor(F.log(weight) / r + b)
         return F.struct((F.log(c) - r * (t - b) - r).alias("least"), name.alias("input"), t.cast("long").alias("level"))
 
-    return F.array_min(F.transform(vector, level))
+    def one(draw: Column) -> Column:
+        least = F.array_min(F.transform(vector, lambda x: level(x, draw)))
+        return least.dropFields("least")
 
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), one)
 
-def band_keys(vector: Column) -> Column:
-    """``BANDS`` keys of a vector."""
-    def key(band: int) -> Column:
-        drawn = [_drawn(vector, band * DRAWS + k) for k in range(DRAWS)]
-        return F.xxhash64(F.lit(band), *[x for d in drawn for x in (d["input"], d["level"])])
 
-    return F.array(*[key(b) for b in range(BANDS)])
-
-
-def weighted_jaccard(a: Column, b: Column) -> Column:
-    """Sum of the smaller weights over the sum of the larger ones."""
-    total = lambda v: F.aggregate(v, F.lit(0.0), lambda s, x: s + x["weight"])
-    held = F.map_from_entries(b)
-    least = F.aggregate(a, F.lit(0.0), lambda s, x: s + F.least(x["weight"], F.coalesce(F.try_element_at(held, x["input"]), F.lit(0.0))))
-    return F.round(least / (total(a) + total(b) - least), DIGITS)
+def band_keys(drawn: Column) -> Column:
+    """``BANDS`` keys from a stored column of draws."""
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.slice(drawn, b * DRAWS + 1, F.lit(DRAWS))))
 
 
 def similar_vectors(profiles: DataFrame, at_least: float = 0.8) -> DataFrame:
     """(profile_a, profile_b, similarity) of all pairs of different vectors from ``at_least`` on, a < b."""
     spark = profiles.sparkSession
-    path = scratch_path(spark, "keyed-vectors")
-    profiles.withColumn("keys", band_keys(F.col("vector"))).write.parquet(path)
-    keyed = spark.read.parquet(path)
-    keys = keyed.select("profile", F.explode("keys").alias("key"))
-    pairs = (keys.withColumnRenamed("profile", "profile_a").join(keys.withColumnRenamed("profile", "profile_b"), "key")
-             .where("profile_a < profile_b").select("profile_a", "profile_b").distinct())
-    side = lambda s: keyed.select(F.col("profile").alias(f"profile_{s}"), F.col("vector").alias(s))
-    similarity = weighted_jaccard(F.col("a"), F.col("b"))
-    return (pairs.join(side("a"), "profile_a").join(side("b"), "profile_b")
-            .select("profile_a", "profile_b", similarity.alias("similarity")).where(F.col("similarity") >= at_least))
+    path = scratch_path(spark, "drawn-vectors")
+    total = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x["weight"])
+    # Few bytes but much work: spread by number, since sizes would leave it in one task.
+    spread = profiles.repartition(shuffle_partitions(spark), "profile")
+    made = spread.select("profile", "vector", total.alias("total"), F.map_from_entries("vector").alias("held"), draws(F.col("vector")).alias("drawn"))
+    made.write.parquet(path)  # drawn once, whatever uses it
+    known = spark.read.schema(made.schema).parquet(path)
+    keys = known.select("profile", "total", F.explode(band_keys(F.col("drawn"))).alias("key"))
+    # The smaller of two sums over the larger bounds the similarity.
+    near = F.least("total_a", "total_b") >= F.greatest("total_a", "total_b") * (at_least - 1e-6)
+    pairs = (keys.withColumnsRenamed({"profile": "profile_a", "total": "total_a"})
+             .join(keys.withColumnsRenamed({"profile": "profile_b", "total": "total_b"}), "key")
+             .where((F.col("profile_a") < F.col("profile_b")) & near).select("profile_a", "profile_b", "total_a", "total_b").distinct())
+    shared = F.aggregate("vector", F.lit(0.0), lambda s, x: s + F.least(x["weight"], F.coalesce(F.try_element_at("held", x["input"]), F.lit(0.0))))
+    met = (pairs.join(known.select(F.col("profile").alias("profile_a"), "vector"), "profile_a")
+           .join(known.select(F.col("profile").alias("profile_b"), "held"), "profile_b")
+           .withColumn("shared", shared))
+    similarity = F.round(F.col("shared") / (F.col("total_a") + F.col("total_b") - F.col("shared")), DIGITS)
+    return met.select("profile_a", "profile_b", similarity.alias("similarity")).where(F.col("similarity") >= at_least)

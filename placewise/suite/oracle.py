@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from placewise.functions.columns import EARTH_KM
+from placewise.operators.weighted import NUMBER_WEIGHT
 from placewise.suite import fixtures
 from placewise.suite.queries import BATCH_HITS, ID_LIST, POINT, POINT_HITS, SIMILAR_BELOW, USER_ID, WEIGHTED_FROM
 
@@ -86,7 +87,7 @@ vectors AS (
   SELECT business_id, list_sort(list((input, weight))) AS vector FROM (
     SELECT business_id, unnest(['#stars', '#latitude', '#longitude', '#review_count', '#positive_review_count', '#negative_review_count']) AS input,
            unnest([stars / 5, (latitude + 90) / 180, (longitude + 180) / 360, log2(review_count + 1.0) / 16,
-                   log2(positive_review_count + 1.0) / 16, log2(negative_review_count + 1.0) / 16]) AS weight
+                   log2(positive_review_count + 1.0) / 16, log2(negative_review_count + 1.0) / 16]) * {NUMBER_WEIGHT!r} AS weight
     FROM business LEFT JOIN review_counts USING (business_id)
     UNION ALL SELECT DISTINCT business_id, category, 1.0 FROM category_rows WHERE category IS NOT NULL) t
   WHERE weight > 0 GROUP BY business_id),
