@@ -69,8 +69,7 @@ def ingest_bundles(spark: SparkSession, path: str, prefix: str = "", fmt: str =
         scan = scan_member(bundles, entity, place=True, extras=extras)
         if extras:
             scan = scan.withColumn("_extra", extra_columns(F.col(LINE_JSON), entity_schema(entity).names)).drop(LINE_JSON)
-        when = bundles.select(F.col("path").alias(PATH), F.col("modificationTime").alias(MODIFIED))
-        _store(scan.join(when, PATH), entity, tables[entity], "append", fmt)
+        _store(scan, entity, tables[entity], "append", fmt)
     return tables
 
 

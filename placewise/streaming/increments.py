@@ -119,7 +119,7 @@ def _bundle_records(batch: DataFrame, entity: str, extras: bool) -> DataFrame:
     records = scan_member(batch, entity, place=True, extras=extras)
     if extras:
         records = records.withColumn("_extra", extra_columns(F.col(LINE_JSON), entity_schema(entity).names)).drop(LINE_JSON)
-    return records.join(batch.select(F.col("path").alias(PATH), F.col("modificationTime").alias(MODIFIED)), PATH)
+    return records
 
 
 def _newest(stored: DataFrame, key: str) -> DataFrame:

@@ -79,6 +79,21 @@ def test_bundle_members_stream_line_by_line(spark, tmp_path):
     assert json_lines.rejected(scan, "business").first()[json_lines.BAD_LINE] == "broken"
 
 
+def test_lines_of_bundles_carry_the_archives_time_without_a_join(spark, tmp_path):
+    for i in range(2):
+        write_zip(tmp_path / f"{i}.zip", {"user.json": [{"user_id": f"u{i}"}, "junk"]})
+        os.utime(tmp_path / f"{i}.zip", ns=(0, (1_700_000_000 + i) * 10**9 + 123_456_000))
+    listed = bundles.list_bundles(spark, str(tmp_path))
+    records = increments._bundle_records(listed, "user", extras=True)
+    # As a join the records, which look as small as the list of archives, would be broadcast through the driver.
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Broadcast" not in plan
+    times = {r.path.rpartition("/")[2]: r.modificationTime for r in listed.collect()}
+    got = [(r[json_lines.PATH].rpartition("/")[2], r[json_lines.LINE], r.user_id, r[json_lines.MODIFIED]) for r in records.collect()]
+    assert sorted(got, key=str) == sorted([(f"{i}.zip", n, f"u{i}" if n == 0 else None, times[f"{i}.zip"])
+                                           for i in range(2) for n in range(2)], key=str)
+
+
 def test_bundles_append_to_tables(spark, tmp_path):
     spark.sql("CREATE DATABASE IF NOT EXISTS zipped")
     write_zip(tmp_path / "z" / "1.zip", {"business.json": [BUSINESS], "user.json": [{"user_id": "u1"}],
