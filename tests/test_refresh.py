@@ -69,6 +69,26 @@ def test_folding_in_a_trained_user_gives_its_factors(spark, tables):
     assert foldin.fold_in(model.itemFactors, ratings.limit(0), 6).count() == 0
 
 
+def test_sums_before_and_after_the_shuffle_give_the_same_factors(spark):
+    """Users above and below ``hot``, with ratings over several Arrow batches."""
+    items = spark.range(40).select(F.col("id").cast("int"), F.transform(F.sequence(F.lit(1), F.lit(4)), lambda k: (
+        F.pmod(F.xxhash64("id", k), F.lit(1000)) / 1000).cast("float")).alias("features"))
+    ratings = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("userIndex"),
+                                       F.pmod(F.xxhash64("id"), F.lit(45)).alias("businessIndex"), (F.col("id") % 5 + 1.0).alias("stars"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = [{r.id: np.array(r.features) for r in foldin.fold_in(items, ratings, 4, hot=hot).collect()} for hot in (0, 100, 10**9)]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert found[0].keys() == found[1].keys() == found[2].keys() == set(range(50))
+    assert all(np.abs(found[0][u] - other[u]).max() < 1e-5 for other in found[1:] for u in other)
+    v = {r.id: np.array(r.features, dtype=float) for r in items.collect()}
+    own = [(v[r.businessIndex], r.stars) for r in ratings.where("userIndex = 7").collect() if r.businessIndex in v]
+    a = sum(np.outer(x, x) for x, _ in own) + 0.3 * len(own) * np.eye(4)
+    assert np.abs(foldin.least_squares(a, sum(x * stars for x, stars in own)) - found[2][7]).max() < 1e-5
+
+
 def test_a_grown_index_changes_no_number(spark):
     first = spark.createDataFrame([("b", 5), ("a", 5), ("c", 1)], "k string, n long")
     known = indexing.index_counts(first, "k", "i")
