@@ -36,6 +36,28 @@ def test_als_beats_the_spread_with_nonnegative_factors(als, ratings):
     assert model.userFactors.select(F.min(F.array_min("features"))).first()[0] >= 0
 
 
+def test_als_blocks_do_not_follow_the_number_of_businesses(spark, monkeypatch):
+    """A factor goes to every block that uses it, so blocks that grow with the businesses are bytes in the square."""
+    found = {}
+
+    class Fitted(Exception):
+        pass
+
+    def fit(self, _):
+        found.update(users=self.getNumUserBlocks(), items=self.getNumItemBlocks())
+        raise Fitted
+
+    monkeypatch.setattr(recommend.ALS, "fit", fit)
+    ratings = spark.range(100).select("id", (F.col("id") * 10_000_000).alias("businessIndex"), F.lit(1.0).alias("stars")).withColumnRenamed("id", "userIndex")
+    with pytest.raises(Fitted):
+        recommend.fit_als(ratings)
+    assert found == {"users": 8, "items": 8}
+    monkeypatch.setattr(recommend, "RATINGS_PER_BLOCK", 9)
+    with pytest.raises(Fitted):
+        recommend.fit_als(ratings)
+    assert found == {"users": 12, "items": 12}
+
+
 def test_full_lists_are_complete_ordered_and_known(als, maps):
     lists = recommend.recommend_all(als[0], *maps, k=20).collect()
     known = {r.business_id for r in maps[1].collect()}
