@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from placewise.plans.ingest import ingest, ingest_bundles, quarantine
 from placewise.sources import bundles, json_lines, tables
 from placewise.streaming import increments
+from placewise.suite import fixtures
 
 BUSINESS = {"business_id": "b1", "name": "One", "categories": "A, B", "stars": 4.5,
             "hours": {"Monday": "9:0-17:0"}, "attributes": {"ByAppointmentOnly": "True", "Other": "x"}}
@@ -94,6 +95,20 @@ def test_lines_of_bundles_carry_the_archives_time_without_a_join(spark, tmp_path
                                            for i in range(2) for n in range(2)], key=str)
 
 
+def test_more_rows_are_more_archives(spark, tables, tmp_path, monkeypatch):
+    """No task sorts, packs or reads more rows than an archive is meant to hold, with the same rows in the end."""
+    monkeypatch.setattr(fixtures, "ROWS_PER_BUNDLE", 700)
+    entities = {"review": tables.review, "user": tables.user}
+    n = sum(df.count() for df in entities.values())
+    pattern = fixtures.write_bundles(entities, 2, str(tmp_path / "zips"))
+    assert len(list((tmp_path / "zips").glob("*.zip"))) == -(-n // 700) > 2
+    for entity, df in entities.items():
+        got = bundles.read_bundle(spark, pattern, entity).select(*df.columns)
+        assert got.count() == df.count() and got.exceptAll(df).count() == 0
+    fixtures.write_bundles({"user": tables.user}, 3, str(tmp_path / "few"))
+    assert len(list((tmp_path / "few").glob("*.zip"))) == 3
+
+
 def test_bundles_append_to_tables(spark, tmp_path):
     spark.sql("CREATE DATABASE IF NOT EXISTS zipped")
     write_zip(tmp_path / "z" / "1.zip", {"business.json": [BUSINESS], "user.json": [{"user_id": "u1"}],
