@@ -9,6 +9,7 @@ from placewise.operators import business as ops
 from placewise.operators import lookup, nearest, similar
 from placewise.plans import features, recommend
 from placewise.sources.tables import read_path
+from placewise.suite import queries
 
 
 @pytest.fixture(scope="module")
@@ -134,3 +135,13 @@ def test_point_search_by_blocks_shuffles_little(spark, built, tables, shuffled):
     found = proximity.nearest_places(read_path(spark, built.business_hashed), tables.points, 5)
     text = plan(found)
     assert no_cross_join(text) and count("Exchange", text) <= 3 and "EvalPython" not in text
+
+
+def test_rating_rows_of_the_queries_are_made_once(tables):
+    """Each pass of a fit or a prediction would join and count all reviews again."""
+    rows = queries._rating_rows(tables)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and queries._rating_rows(tables) is rows
+    made = features.rating_features(tables.business, ops.review_counts(tables.review))
+    assert rows.schema == made.schema and rows.count() == made.count()
+    assert made.join(rows.withColumnsRenamed({"label": "l", "features": "f"}), "business_id").where("label = l and features = f").count() == made.count()
