@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,6 +46,27 @@ def test_draws_agree_as_often_as_vectors_are_alike(spark):
     assert same == pytest.approx(jaccard(a, b), abs=0.08)
 
 
+def test_draws_in_batches_agree_as_often_as_vectors_are_alike():
+    names, weights = np.array([1, 2, 3, 1, 2, 4, 3], dtype=np.uint64), np.array([1.0, 0.5, 2.0, 0.5, 0.5, 1.0, 1.5])
+    a, b = weighted.drawn(names, weights, np.array([0, 3]), 4000)
+    assert (a == b).mean() == pytest.approx(2.5 / 4.5, abs=0.03)
+    alone = weighted.drawn(names[3:], weights[3:], np.array([0]), 4000)[0]
+    assert (alone == b).all()  # whatever else is in the batch
+
+
+def test_the_bound_of_a_pair_is_above_what_it_shares(spark):
+    """And far below it for most pairs, so that few candidates are compared."""
+    rnd = random.Random(5)
+    rows = {f"b{k}": {f"c{rnd.randrange(40)}": rnd.choice([1.0, 1.0, 0.3, 2.0]) for _ in range(7)} for k in range(60)}
+    known = table(spark, rows).select("business_id", "vector", F.aggregate("vector", F.lit(0.0), lambda s, x: s + x["weight"]).alias("total"),
+                                      *weighted.sketch(F.col("vector"))).drop("vector")
+    a, b = (known.withColumnsRenamed({c: f"{c}_{side}" for c in known.columns}) for side in "ab")
+    found = a.crossJoin(b).where("business_id_a < business_id_b").select("business_id_a", "business_id_b", weighted.most_shared("a", "b")).collect()
+    shared = [(bound, sum(min(w, rows[y].get(k, 0)) for k, w in rows[x].items()), sum(rows[x].values())) for x, y, bound in found]
+    assert len(found) == 60 * 59 // 2 and all(bound >= real - 1e-9 for bound, real, _ in shared)
+    assert sum(bound < 0.8 * total for bound, _, total in shared) > len(found) / 2
+
+
 def test_odd_businesses(spark):
     schema = "business_id string, categories string, stars double, latitude double, longitude double, review_count long"
     business = spark.createDataFrame([("a", "X, Y", 4.0, 1.0, 2.0, 3), ("b", "X, Y", 4.0, 1.0, 2.0, 3), ("c", None, None, None, None, None),
