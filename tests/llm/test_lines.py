@@ -120,3 +120,32 @@ def test_plans_are_native_and_verify_outside_of_joins(odd):
     above = tree[:tree.index("Repartition")]
     assert "aggregate(" in above and "aggregate(" not in tree[tree.index("Repartition"):]
     assert not re.search("Cartesian|NestedLoop", " ".join(plans))
+
+
+def test_crowded_keys_make_no_pairs_and_lose_no_link(spark, monkeypatch):
+    """Lines that share a half with many others are grouped and not paired; counts are those of all pairs."""
+    rng = np.random.default_rng(3)
+    rows, head = [], "the same first half of "
+    for k in range(40):
+        tail = list("aabbccddeeffgghhiijjkkl")
+        tail[int(rng.integers(23))] = str(rng.choice(list("abxyé😀")))
+        rows += [head + "".join(tail), head[:-2] + "".join(tail), "".join(tail) + head, head + "".join(tail[:11] + tail[12:]), head + "x" + "".join(tail)]
+        at = int(rng.integers(15, 30))
+        rows += [rows[-1][:at] + rows[-1][at + 1:], rows[-2][:at] + rows[-2][at] + rows[-2][at:]]
+    docs = [(k, "\n".join(rows[k::20])) for k in range(20)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    want = brute(docs)
+    for hot in (0, 3):
+        monkeypatch.setattr(line_dedup, "HOT", hot)
+        assert deduped(df) == want, hot
+
+
+def test_rows_follow_the_lines_of_a_crowded_key(spark):
+    """Many lines that share their first half and differ in more than one edit: no pairs of them."""
+    rows = [(k, f"one and the same beginning of a line {k * 7919 % 100003:06d} {k * 104729 % 1000003:07d} end of it") for k in range(400)]
+    lines = line_dedup.lines_of(line_dedup.placed_documents(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    keys = line_dedup.stored_keys(lines)
+    crowded = line_dedup.crowded_keys(keys)
+    assert crowded.count() == 1
+    sparse = keys.join(crowded, F.col("o_key") == F.col("key"), "left_anti")
+    assert line_dedup.candidate_pairs(lines).count() > 50_000 and line_dedup.candidate_pairs(lines, keys=sparse).count() < 2 * len(rows)
