@@ -56,3 +56,11 @@ def test_rows_of_hot_ids_stay_where_they_are(spark, reviews, maps):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_reviews_are_read_once_to_be_numbered(spark, reviews, maps, tmp_path):
+    reviews.write.parquet(str(tmp_path / "review"))
+    stored = spark.read.parquet(str(tmp_path / "review"))
+    plan = indexing.index_reviews(stored, *maps, head=10)._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("== Initial Plan ==")[0]
+    assert len(re.findall(rf"FileScan parquet .*{re.escape(str(tmp_path / 'review'))}", plan)) == 1
