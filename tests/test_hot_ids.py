@@ -66,10 +66,10 @@ def test_reviews_are_read_once_to_be_numbered(spark, reviews, maps, tmp_path):
     assert len(re.findall(rf"FileScan parquet .*{re.escape(str(tmp_path / 'review'))}", plan)) == 1
 
 
-@pytest.mark.parametrize("head", [0, 10, 10_000])
+@pytest.mark.parametrize("head", [[], [0], [10]])
 def test_map_of_indexed_rows_deals_rare_ids_before_it_groups_them(spark, reviews, maps, head):
     indexed = indexing.index_reviews(reviews, *maps)
-    got = indexing.dimension_map(indexed, "business_id", "businessIndex", head)
+    got = indexing.dimension_map(indexed, "business_id", "businessIndex", *head)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, maps[1].select("business_id", "businessIndex").collect()))
     # Under the first grouping of rare ids stands the shuffle that deals them.
     rare = got._jdf.queryExecution().optimizedPlan().toString().split("Union")[1]
