@@ -149,3 +149,37 @@ def test_rows_follow_the_lines_of_a_crowded_key(spark):
     assert crowded.count() == 1
     sparse = keys.join(crowded, F.col("o_key") == F.col("key"), "left_anti")
     assert line_dedup.candidate_pairs(lines).count() > 50_000 and line_dedup.candidate_pairs(lines, keys=sparse).count() < 2 * len(rows)
+
+
+def generated(df):
+    """Rows out of each Generate of a plan that has run."""
+    out = []
+
+    def visit(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "GenerateExec":
+            out.append(node.metrics().apply("numOutputRows").value())
+        inner = [node.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [node.plan()] if kind.endswith("QueryStageExec") else []
+        children = node.children()
+        for child in inner + [children.apply(k) for k in range(children.size())]:
+            visit(child)
+
+    df.collect()
+    visit(df._jdf.queryExecution().executedPlan())
+    return out
+
+
+def test_lines_of_a_crowded_key_are_written_where_another_one_may_differ(spark):
+    """Near copies of a long line: rows follow the lines and the few places of the edit, not the length of the line."""
+    rng = np.random.default_rng(9)
+    base = "".join(rng.choice(list("abcdefgh "), 400))
+    inner = [f"{k:04d}" for k in range(300)] + [f"{k:03d}" for k in range(20)]
+    rows = [(k, base[:250] + x + base[250:]) for k, x in enumerate(inner)]
+    lines = line_dedup.lines_of(line_dedup.placed_documents(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    known, keys = line_dedup.distinct_lines(lines), line_dedup.stored_keys(lines)
+    links = line_dedup.crowded_links(lines, known, keys, line_dedup.crowded_keys(keys))
+    made = generated(links)
+    assert made and max(made) <= 20 * len(rows), made
+    got = links.join(known, "id").select(F.shiftright("position", line_dedup.LINES_BITS).alias("k"), "n_links", F.shiftright("o_position", line_dedup.LINES_BITS).alias("o")).collect()
+    near = {k: [o for o, y in enumerate(inner) if o != k and edit_distance(x, y) <= 1] for k, x in enumerate(inner)}
+    assert {r.k: (r.n_links, min(r.k, r.o)) for r in got} == {k: (len(o), min(k, *o)) for k, o in near.items() if o}
