@@ -185,10 +185,11 @@ class VersionedTable:
             touched = {r[0] for r in rows.select(BUCKET).distinct().collect()}
             if old.held and touched:
                 rows = rows.unionByName(self._rows(old, touched).withColumn(BUCKET, bucket), allowMissingColumns=True)
-                # One shuffle: the grouping and the writer both use the rows as dealt by bucket.
-                rows = self._newest(rows.repartition(len(touched), BUCKET), [BUCKET, key])
+                # One shuffle: the grouping and the writer both use the rows as dealt by bucket, a task for each. A hash of
+                # the bucket's number would bring several buckets to one task and none to others.
+                rows = self._newest(rows.repartitionById(now.buckets, BUCKET), [BUCKET, key])
             else:
-                rows = rows.repartition(max(1, len(touched)), BUCKET)
+                rows = rows.repartitionById(now.buckets, BUCKET)
             now.held = {f: left for f, held in now.held.items() if (left := [b for b in held if b not in touched])}
         self._write(rows.select(*now.schema.names, BUCKET), folder, now)
         return self._commit(now)
@@ -213,7 +214,7 @@ class VersionedTable:
         bucket = F.pmod(F.xxhash64(now.key), F.lit(now.buckets)).cast("int") if now.key else F.lit(0)
         rows = self._rows(now).withColumn(BUCKET, bucket)
         after = State(now.version + 1, now.key, now.buckets, now.schema, applied=now.applied)
-        self._write(rows.repartition(now.buckets, BUCKET) if now.key else rows, f"v{after.version:010d}-{uuid.uuid4().hex}", after)
+        self._write(rows.repartitionById(now.buckets, BUCKET) if now.key else rows, f"v{after.version:010d}-{uuid.uuid4().hex}", after)
         return self._commit(after)
 
     def expire(self, keep: int = 2) -> list[str]:

@@ -10,6 +10,7 @@ from placewise.plans.ingest import ingest, ingest_bundles, quarantine
 from placewise.sources import bundles, json_lines, tables
 from placewise.streaming import increments
 from placewise.suite import fixtures
+from placewise.suite.queries import QUERIES
 
 BUSINESS = {"business_id": "b1", "name": "One", "categories": "A, B", "stars": 4.5,
             "hours": {"Monday": "9:0-17:0"}, "attributes": {"ByAppointmentOnly": "True", "Other": "x"}}
@@ -212,3 +213,28 @@ def test_update_job_from_bundles_to_tables(spark, tmp_path):
     assert [r.stars for r in spark.table(names["business"]).collect()] == [1.0]
     assert [r.fans for r in spark.table(names["user"]).collect()] == [3]
     assert spark.table(names["review"]).count() == 3
+
+
+def test_update_job_makes_each_review_once(spark, tables, monkeypatch):
+    """The reviews are a join: the bootstrap, two sets of bundles and their counts read what it gave."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(stars):
+        made.add(1)
+        return stars
+
+    review = tables.review
+    monkeypatch.setattr(fixtures.Tables, "review", property(lambda self: review.withColumn("stars", counted("stars"))))
+    out = QUERIES["update_job"](spark, tables.folder)
+    assert made.value == review.count()
+    assert out.where("id like 'ru%'").agg(F.sum("n")).first()[0] > review.count()
+
+
+def test_lines_of_an_archive_keep_their_numbers(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bundles, "_LINES_PER_BATCH", 3)
+    texts = ["{}", "", " \t", "a\r", "b", "", "　", "\x1f", "last"]
+    write_zip(tmp_path / "1.zip", {"user.json": texts})
+    write_zip(tmp_path / "2.zip", {"user.json": []})
+    rows = bundles.member_lines(bundles.list_bundles(spark, f"{tmp_path}/*.zip"), "user").collect()
+    assert {(r.number, r.line, r.failure) for r in rows} == {(0, "{}", None), (3, "a", None), (4, "b", None), (8, "last", None)}

@@ -198,3 +198,15 @@ def test_taking_over_is_repeated_after_a_loss(spark, tmp_path, monkeypatch):
     tables.overwrite_table(first.withColumn("fans", F.col("fans") + 1).limit(1), "adopted.user")
     again = versions.adopt(spark, "adopted.user", str(tmp_path / "t"), "user_id")
     assert fans(again) == {"a": 2} and fans(again, version=1) == {"a": 1, "b": 1}
+
+
+def test_each_touched_bucket_has_a_task_of_its_own(spark, table, tmp_path):
+    """A task with several buckets is as much longer, however many cores there are."""
+    rows = spark.range(200).select(F.concat(F.lit("u"), "id").alias("user_id"), F.col("id").alias("fans"))
+    for version in (1, 2, 3):
+        table.merge(rows, "user_id", buckets=8) if version < 3 else table.compact(0)
+        folder, = table.state().held
+        writers = {b: {f.name.split("-")[1] for f in (tmp_path / "table/data" / folder / f"_bucket={b}").glob("part-*")} for b in table.state().held[folder]}
+        assert len(writers) == 8 and all(len(w) == 1 for w in writers.values())
+        assert len(set.union(*writers.values())) == 8, writers
+    assert len(fans(table)) == 200
