@@ -159,7 +159,8 @@ def links(prints: DataFrame, radius: int = RADIUS, slice_rows: int = SLICE) -> D
     n_slices = F.ceil(F.col("n") / slice_rows)
     own = F.pmod(F.xxhash64("fp"), n_slices)
     other = F.explode(F.sequence(F.lit(0).cast("long"), n_slices - 1))
-    tiles = (bucketed.join(shared, ["mask", "bucket"])
+    # Spark takes the rows of an explode to be as many as before it, so it would broadcast the tables' 31 rows for each print.
+    tiles = (bucketed.join(shared.hint("merge"), ["mask", "bucket"])
              .select("mask", "bucket", "fp", own.alias("own"), n_slices.alias("slices"), other.alias("other"))
              .select("mask", "bucket", "fp",
                      (F.least("own", "other") * F.col("slices") + F.greatest("own", "other")).alias("tile")))

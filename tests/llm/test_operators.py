@@ -238,6 +238,15 @@ def test_hot_bucket_is_cut_and_complete(spark):
                 assert (roots[prints[i]] == roots[prints[j]]) == (expected[i] == expected[j])
 
 
+def test_tables_are_not_broadcast(spark, odd, tmp_path):
+    """Their rows are 31 for each fingerprint, which Spark's estimate of an explode leaves out."""
+    odd.select(F.xxhash64("text").alias("fp")).distinct().write.parquet(str(tmp_path / "prints"))
+    found = simhash.links(spark.read.parquet(str(tmp_path / "prints")))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    found.collect()
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 # ---------------------------------------------------------------- 4 mixing
 
 def test_raked_weights_meet_targets(spark):
