@@ -58,6 +58,20 @@ def test_als_blocks_do_not_follow_the_number_of_businesses(spark, monkeypatch):
     assert found == {"users": 12, "items": 12}
 
 
+def test_als_drops_what_an_iteration_was_made_from(spark, ratings, monkeypatch):
+    """Shuffled factors of ten iterations are many times the ratings; a model of RDDs keeps the shuffled ratings as well."""
+    intervals, fit = [], recommend.ALS.fit
+    monkeypatch.setattr(recommend.ALS, "fit", lambda self, rows: intervals.append(self.getCheckpointInterval()) or fit(self, rows))
+    model = recommend.fit_als(ratings, rank=3, maxIter=3)
+    assert intervals == [1]
+    assert model.userFactors.inputFiles() and model.itemFactors.inputFiles()
+    plain = recommend.ALS(userCol="userIndex", itemCol="businessIndex", ratingCol="stars", numUserBlocks=8, numItemBlocks=8,
+                          **{**recommend.EXPLICIT, "rank": 3, "maxIter": 3})
+    theirs = {r.id: r.features for r in fit(plain, recommend._int_keys(ratings)).userFactors.collect()}
+    ours = {r.id: r.features for r in model.userFactors.collect()}
+    assert ours.keys() == theirs.keys() and all(a == pytest.approx(theirs[u], abs=1e-4) for u, a in ours.items())
+
+
 def test_full_lists_are_complete_ordered_and_known(als, maps):
     lists = recommend.recommend_all(als[0], *maps, k=20).collect()
     known = {r.business_id for r in maps[1].collect()}
