@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,3 +79,25 @@ def test_odd_businesses(spark):
     profiles, members = weighted.distinct_vectors(known)
     assert {tuple(r) for r in members.collect()} == {("a", "a"), ("b", "a"), ("d", "d")}
     assert weighted.similar_vectors(profiles).count() == 0 and weighted.similar_vectors(profiles.limit(0)).count() == 0
+
+
+def test_groups_of_equal_names_are_compared_in_tiles(spark, monkeypatch):
+    """Many vectors with the same names: every pair once, with slices of a few rows, and none of them by keys."""
+    rnd = random.Random(7)
+    rows = {f"b{k}": {"c1": rnd.choice([1.0, 0.5]), "é2": 1.0, "#x": rnd.random(), **({"#y": rnd.random()} if k % 3 else {})} for k in range(90)}
+    rows |= {f"n{k}": {"#x": 0.2 + rnd.random(), "#y": rnd.random()} for k in range(70)}
+    rows |= {f"m{k}": {**rows[f"b{k}"], "c3": 0.1} for k in range(20)} | {"one": {"c9": 1.0}}
+    monkeypatch.setattr(weighted, "SLICE", 16)
+    monkeypatch.setattr(weighted, "_PAIRS", 40)
+    profiles, _ = weighted.distinct_vectors(table(spark, rows))
+    expected = {(a, b): jaccard(rows[a], rows[b]) for a in rows for b in rows if a < b and round(jaccard(rows[a], rows[b]), 9) >= 0.8}
+    found = weighted.similar_vectors(profiles, 0.8)
+    got = [(r.profile_a, r.profile_b, r.similarity) for r in found.collect()]
+    assert len(got) == len({x[:2] for x in got}) and {x[:2] for x in got} == expected.keys()
+    assert all(s == pytest.approx(expected[a, b], abs=1e-8) for a, b, s in got)
+    within = sum(x[0][0] == y[0] for x, y in expected)
+    assert within > 500 and len(expected) > within > len(expected) / 2
+    # Without candidates by keys only the pairs of different groups are gone.
+    monkeypatch.setattr(weighted, "_keyed", lambda batches: (b.drop_columns(["names", "weights"]).append_column(
+        "keys", pa.array([[]] * b.num_rows, pa.list_(pa.int64()))) for b in batches))
+    assert {x[:2] for x in weighted.similar_vectors(profiles, 0.8).collect()} == {k for k in expected if k[0][0] == k[1][0]}
