@@ -89,6 +89,20 @@ def test_sums_before_and_after_the_shuffle_give_the_same_factors(spark):
     assert np.abs(foldin.least_squares(a, sum(x * stars for x, stars in own)) - found[2][7]).max() < 1e-5
 
 
+def test_users_are_folded_in_by_rounds(spark, monkeypatch):
+    """A round holds the factors of its own ratings only, and all rounds together every user."""
+    items = spark.range(30).select(F.col("id").cast("int"), F.transform(F.sequence(F.lit(1), F.lit(3)), lambda k: (
+        F.pmod(F.xxhash64("id", k), F.lit(1000)) / 1000).cast("float")).alias("features"))
+    ratings = spark.range(1000).select((F.col("id") % 60).alias("userIndex"), F.pmod(F.xxhash64("id"), F.lit(33)).alias("businessIndex"), (F.col("id") % 5 + 1.0).alias("stars"))
+    whole = {r.id: np.array(r.features) for r in foldin.fold_in(items, ratings, 3).collect()}
+    sizes, folded = [], foldin._folded
+    monkeypatch.setattr(foldin, "ROUND", 150)
+    monkeypatch.setattr(foldin, "_folded", lambda rated, *rest: sizes.append(rated.count()) or folded(rated, *rest))
+    found = foldin.fold_in(items, ratings, 3, hot=16).collect()
+    assert len(sizes) == 7 and sum(sizes) == 1000 and max(sizes) < 400
+    assert len(found) == len(whole) == 60 and all(np.abs(whole[r.id] - r.features).max() < 1e-5 for r in found)
+
+
 def test_a_grown_index_changes_no_number(spark):
     first = spark.createDataFrame([("b", 5), ("a", 5), ("c", 1)], "k string, n long")
     known = indexing.index_counts(first, "k", "i")
